@@ -64,12 +64,12 @@ def write_table(
 ) -> None:
     """Overwrite a table; CSV gets a header.
 
-    A partitioned table is first laid out by partition and a hash of the task, so
-    that a large partition is still written by many tasks and a small one does
-    not leave a file per task.
+    A partitioned table is rebalanced by partition first: adaptive execution then
+    writes a large partition from several tasks and does not scatter a small one
+    over a file per task.
     """
     if partition_by:
-        df = df.repartition(*partition_by, F.pmod(F.spark_partition_id(), F.lit(4)))
+        df = df.hint("rebalance", *partition_by)
     writer = df.write.mode("overwrite")
     if partition_by:
         writer = writer.partitionBy(*partition_by)

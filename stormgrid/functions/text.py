@@ -83,11 +83,11 @@ def _expand_hangul(ch: Column) -> Column:
 def _fold_wide(c: Column) -> Column:
     sources, targets, grown = _fold_table(0x80, _LAST_MAPPED)
     keys = "".join(grown)
-    values = F.array(*[F.lit(v) for v in grown.values()])
+    values = F.split(F.lit("\x00".join(grown.values())), "\x00")  # folded to one literal
     needs_growth = f"[{_char_class(keys)}\\x{{{_HANGUL_FIRST:X}}}-\\x{{{_HANGUL_LAST:X}}}]"
 
     def grow(ch: Column) -> Column:
-        place = F.locate(ch, F.lit(keys)) if isinstance(ch, str) else F.instr(F.lit(keys), ch)
+        place = F.instr(F.lit(keys), ch)
         return (
             F.when(F.octet_length(ch) == 1, ch)
             .when(F.ascii(ch).between(_HANGUL_FIRST, _HANGUL_LAST), _expand_hangul(ch))

@@ -48,12 +48,15 @@ def style(
     no_data: str = D.NO_DATA_COLOR,
     risk: str = "riesgo",
 ) -> DataFrame:
-    """Every region with the fill of its risk class, or the no-data fill."""
+    """Every region with the fill of its risk class, or the no-data fill.
+
+    Both sides have one row per region, so the join needs neither hint nor salt.
+    """
     known = slice_df.select(key, F.col(risk), F.lit(True).alias("_hit"))
     colors = F.create_map(*[F.lit(x) for pair in palette.items() for x in pair])
     hit = F.coalesce(F.col("_hit"), F.lit(False))
     return (
-        lookup_join(regions, known, [key], "left")
+        regions.join(known, [key], "left")
         .withColumns({
             "fill_color": F.when(
                 hit, F.coalesce(F.try_element_at(colors, F.col(risk)), F.lit(D.UNKNOWN_RISK_COLOR))

@@ -13,6 +13,7 @@ from stormgrid.operators.columns import present, rename, require_columns
 from stormgrid.operators.joins import attach, keep_known
 from stormgrid.operators.series import fill
 from stormgrid.operators.spatial import spatial_join
+from stormgrid.session import materialize
 from stormgrid.sources.payload import explode_parameters
 
 REGION_CELL = 0.05
@@ -23,8 +24,11 @@ def located_points(points: DataFrame, regions: DataFrame, cell: float = REGION_C
     """(lat, lon, alcaldia) of the distinct points inside some region.
 
     Points are made distinct before the polygon test: a point occurs once per day.
+    The result is small next to its source and is read twice (size check, join),
+    so it is written once.
     """
-    return spatial_join(points.select(*POINT).distinct(), regions, "lat", "lon", cell)
+    spots = points.select(*POINT).distinct()
+    return materialize(spatial_join(spots, regions, "lat", "lon", cell))
 
 
 def weather_from_payloads(payloads: DataFrame, points: DataFrame) -> DataFrame:

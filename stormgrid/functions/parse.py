@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterable
 
 from pyspark.sql import Column
@@ -37,10 +38,38 @@ def parse_ymd(c: Column) -> Column:
     )
 
 
+def _shape(fmt: str) -> str | None:
+    """Regex every text of a numeric date format fits; None for other formats."""
+    out = "^"
+    for token in re.findall(r"'[^']*'|[A-Za-z]+|.", fmt):
+        if token.startswith("'"):
+            out += re.escape(token[1:-1])
+        elif token == "[":
+            out += "(?:"
+        elif token == "]":
+            out += ")?"
+        elif token.isalpha():
+            if len(set(token)) > 1 or token[0] not in "yMdHmsS" or token in ("MMM", "MMMM"):
+                return None
+            fixed = token[0] != "S" and len(token) > 1
+            out += rf"\d{{{len(token)}}}" if fixed else rf"\d{{1,{max(2, len(token))}}}"
+        else:
+            out += re.escape(token)
+    return out + "$"
+
+
 def parse_day(c: Column, formats: Iterable[str] = D.DAY_FORMATS) -> Column:
-    """Timestamp text to its day; the first format that fits wins, else null."""
+    """Timestamp text to its day; the first format that fits wins, else null.
+
+    A failed parse costs an exception inside Spark, so each format is tried only
+    on text of its shape.
+    """
     text = F.trim(c.cast("string"))
-    return F.coalesce(*[F.try_to_timestamp(text, F.lit(f)) for f in formats]).cast("date")
+    tries = []
+    for fmt in formats:
+        shape, parsed = _shape(fmt), F.try_to_timestamp(text, F.lit(fmt))
+        tries.append(parsed if shape is None else F.when(text.rlike(shape), parsed))
+    return F.coalesce(*tries).cast("date")
 
 
 def to_upper(c: Column) -> Column:

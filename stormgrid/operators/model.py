@@ -66,7 +66,7 @@ def fit(
     numeric: Sequence[str],
     label: str = D.LABEL,
     max_iter: int = D.MAX_ITERATIONS,
-    tol: float = 1e-9,
+    tol: float = 1e-8,
 ) -> PipelineModel:
     """One-hot + population scaling + L2 logistic regression with balanced classes.
 

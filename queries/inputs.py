@@ -235,25 +235,45 @@ def calls_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 CALLS_CTE = """
-    calls_clean AS (
-        SELECT 'F' || o_orderkey AS id_incidente, CAST(o_orderdate AS DATE) AS fecha,
-               'NATION_' || (o_custkey % 25) AS alcaldia,
-               19 + (o_orderkey % 90 - 5) / CAST(128 AS DOUBLE) AS latitud,
-               -98.875::DOUBLE - (o_orderkey % 70) / CAST(128 AS DOUBLE) AS longitud,
-               CASE o_orderpriority WHEN '1-URGENT' THEN 'inundacion'
-                    WHEN '2-HIGH' THEN 'encharcamiento' WHEN '3-MEDIUM' THEN 'aguas negras'
-                    WHEN '4-NOT SPECIFIED' THEN 'fuga de agua'
-                    ELSE 'desborde canal rio presa' END AS tipo_incidente,
-               CASE o_orderstatus WHEN 'F' THEN 'a' ELSE 'afirmativo' END AS codigo_cierre
+    calls_raw AS (
+        SELECT 'F' || o_orderkey AS folio,
+               CASE WHEN o_orderkey % 31 = 0 THEN 'pendiente'
+                    WHEN o_orderkey % 2 = 0 THEN strftime(o_orderdate, '%Y-%m-%d %H:%M:%S')
+                    ELSE strftime(o_orderdate, '%-m/%-d/%Y') END AS fecha_creacion,
+               CASE WHEN o_orderkey % 19 = 0 THEN NULL WHEN o_orderkey % 23 = 0 THEN ''
+                    ELSE ' Natión_' || (o_custkey % 25) END AS alcaldia_cierre,
+               CASE WHEN o_orderkey % 29 = 0 THEN 'x'
+                    ELSE CAST(19::DOUBLE + (o_orderkey % 90 - 5) / 128::DOUBLE AS VARCHAR) END
+                   AS latitud,
+               CAST(-98.875::DOUBLE - (o_orderkey % 70) / 128::DOUBLE AS VARCHAR) AS longitud,
+               CASE o_orderpriority WHEN '1-URGENT' THEN 'Inundación'
+                    WHEN '2-HIGH' THEN E'  ENCHARCAMIENTO\\t' WHEN '3-MEDIUM' THEN 'Aguas   Negras'
+                    WHEN '4-NOT SPECIFIED' THEN 'Fuga de Agua'
+                    ELSE CASE WHEN o_orderkey % 4 = 0 THEN 'Bache'
+                              ELSE 'Desborde Canal Río Presa' END END AS incidente_c4,
+               CASE o_orderstatus WHEN 'F' THEN 'A' WHEN 'O' THEN ' Afirmativo ' ELSE 'N' END
+                   AS codigo_cierre
         FROM orders
-        WHERE o_orderstatus IN ('F', 'O')
-          AND NOT (o_orderpriority = '5-LOW' AND o_orderkey % 4 = 0)
-          AND o_orderkey % 31 <> 0 AND o_orderkey % 19 <> 0 AND o_orderkey % 23 <> 0
-          AND o_orderkey % 29 <> 0
-          AND 19 + (o_orderkey % 90 - 5) / CAST(128 AS DOUBLE)
-              BETWEEN CAST(19.0 AS DOUBLE) AND CAST(19.6 AS DOUBLE)
-          AND -98.875::DOUBLE - (o_orderkey % 70) / CAST(128 AS DOUBLE)
-              BETWEEN CAST(-99.4 AS DOUBLE) AND CAST(-98.9 AS DOUBLE)
+    ),
+    calls_typed AS (
+        SELECT folio AS id_incidente,
+               CAST(coalesce(try_strptime(fecha_creacion, '%Y-%m-%d %H:%M:%S'),
+                             try_strptime(fecha_creacion, '%m/%d/%Y')) AS DATE) AS fecha,
+               upper(trim(strip_accents(alcaldia_cierre))) AS alcaldia,
+               TRY_CAST(latitud AS DOUBLE) AS latitud, TRY_CAST(longitud AS DOUBLE) AS longitud,
+               regexp_replace(lower(trim(strip_accents(incidente_c4), E' \\t')), '\\s+', ' ', 'g')
+                   AS tipo_incidente,
+               lower(trim(codigo_cierre)) AS codigo_cierre
+        FROM calls_raw
+    ),
+    calls_clean AS (
+        SELECT * FROM calls_typed
+        WHERE tipo_incidente IN ('inundacion', 'encharcamiento', 'aguas negras', 'fuga de agua',
+                                 'desborde canal rio presa')
+          AND codigo_cierre IN ('a', 'afirmativo') AND fecha IS NOT NULL
+          AND alcaldia IS NOT NULL AND alcaldia <> ''
+          AND latitud BETWEEN 19.0::DOUBLE AND 19.6::DOUBLE
+          AND longitud BETWEEN -99.4::DOUBLE AND -98.9::DOUBLE
     ),
     counted AS (
         SELECT fecha, alcaldia,

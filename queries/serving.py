@@ -7,6 +7,7 @@ from queries.inputs import (
 )
 from queries.registry import query
 from stormgrid import operators as op
+from stormgrid.plans.weather import located_points
 
 DAY = "2024-01-15"
 _STYLE_SQL = """
@@ -29,8 +30,7 @@ def point_in_region(spark, sf_dir):
     rows = table(spark, sf_dir, "customer").withColumns(point("c_custkey")).select(
         "c_custkey", "lat", "lon"
     )
-    spots = op.distinct_by(rows.select("lat", "lon"), ["lat", "lon"])
-    located = op.spatial_join(spots, regions(spark, sf_dir), "lat", "lon", cell=0.5)
+    located = located_points(rows, regions(spark, sf_dir), cell=0.5)
     return op.attach(rows, located, ["lat", "lon"])
 
 

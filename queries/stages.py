@@ -8,6 +8,7 @@ from stormgrid import defaults as D
 from stormgrid.operators import sentinel_counts
 from stormgrid.plans.calls import clean_calls, daily_incidents
 from stormgrid.plans.panel import build_features, build_panel
+from stormgrid.plans.profile import stage_profile
 from stormgrid.plans.risk import train_and_score
 from stormgrid.plans.weather import clean_weather, typed_weather
 
@@ -49,6 +50,26 @@ def incidents_daily(spark, sf_dir):
     return daily_incidents(calls_clean(spark, sf_dir))
 
 
+@query(f"""
+    WITH {CALLS_CTE}
+    SELECT 'rows' AS metric, '' AS "column", CAST(count(*) AS VARCHAR) AS value FROM incidents_daily
+    UNION ALL SELECT 'columns', '', '10'
+    {" ".join(
+        f"UNION ALL SELECT 'nulls', '{c}', "
+        f"CAST(count(*) FILTER ({c} IS NULL) AS VARCHAR) FROM incidents_daily"
+        for c in ["fecha", "alcaldia", *COUNTS])}
+    {" ".join(
+        f"UNION ALL SELECT 'total', '{c}', CAST(sum({c}) AS VARCHAR) FROM incidents_daily"
+        for c in COUNTS)}
+    UNION ALL SELECT 'distinct', 'alcaldia', CAST(count(DISTINCT alcaldia) AS VARCHAR)
+              FROM incidents_daily
+    UNION ALL SELECT 'min', 'fecha', CAST(min(fecha) AS VARCHAR) FROM incidents_daily
+    UNION ALL SELECT 'max', 'fecha', CAST(max(fecha) AS VARCHAR) FROM incidents_daily
+""")
+def incidents_profile(spark, sf_dir):
+    return stage_profile(incidents_daily(spark, sf_dir))
+
+
 PANEL_CTE = f"""
     {WEATHER_CTE.strip()}, {CALLS_CTE.strip()},
     means AS (

@@ -45,16 +45,16 @@ def value_counts(df: DataFrame, col: str) -> DataFrame:
 
 
 def value_share(df: DataFrame, col: str, digits: int | None = None) -> DataFrame:
-    """(value, n, pct) by falling count; the total is a scalar subquery."""
-    rows = df.dropna(subset=[col])
-    all_rows = rows.select(F.count(F.lit(1)).alias("n")).scalar()
-    pct = F.col("n") / all_rows * 100
+    """(value, n, pct) by falling count.
+
+    The total is a scalar subquery over the same counts, so the table is read
+    once and no window gathers the values in one task.
+    """
+    counts = df.dropna(subset=[col]).groupBy(col).agg(F.count(F.lit(1)).alias("n"))
+    pct = F.col("n") / counts.select(F.sum("n").alias("all")).scalar() * 100
     if digits is not None:
         pct = F.round(pct, digits)
-    return (
-        rows.groupBy(col).agg(F.count(F.lit(1)).alias("n"))
-        .withColumn("pct", pct).orderBy(F.desc("n"), col)
-    )
+    return counts.withColumn("pct", pct).orderBy(F.desc("n"), col)
 
 
 def rate_by(df: DataFrame, key: str, flag: str) -> DataFrame:

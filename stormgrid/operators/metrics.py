@@ -149,23 +149,24 @@ def class_report(df: DataFrame, y: str, pred: str) -> DataFrame:
 def roc_auc(df: DataFrame, y: str, p: str, slice_rows: int = SLICE_ROWS) -> DataFrame:
     """One row (auc) by the rank formula, ties counting half.
 
-    Rows are first merged per score.  More than ``slice_rows`` distinct scores
-    are cut into score slices: the negatives below a score are those of lower
-    slices plus those below it in its own slice.
+    Rows are merged per score before anything is ordered.  More than
+    ``slice_rows`` rows are cut into score slices: the negatives below a score are
+    those of lower slices plus those below it in its own slice.
     """
-    scores = (
-        df.dropna(subset=[y, p]).groupBy(p)
-        .agg(F.count_if(F.col(y) == 1).alias("pos"), F.count_if(F.col(y) != 1).alias("neg"))
-    )
-    cuts = slice_cuts(scores, [], [p], slice_rows)
+    rows = df.dropna(subset=[y, p]).select(y, p)
+    cuts = slice_cuts(rows, [], [p], slice_rows)
+    counts = [
+        F.count_if(F.col(y) == 1).alias("pos"), F.count_if(F.col(y) != 1).alias("neg"),
+    ]
 
     def before(c: str, w) -> Column:
         return F.coalesce(F.sum(c).over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
 
     if cuts is None:
+        scores = rows.groupBy(p).agg(*counts)
         ranked = scores.withColumn("below", before("neg", Window.orderBy(p)))
     else:
-        sliced = with_slices(scores, cuts, [], [p])
+        sliced = with_slices(rows, cuts, [], [p]).groupBy("_slice", p).agg(*counts)
         lower = (
             sliced.groupBy("_slice").agg(F.sum("neg").alias("neg"))
             .select("_slice", before("neg", Window.orderBy("_slice")).alias("_lower"))

@@ -25,11 +25,9 @@ def select_features(df: DataFrame) -> tuple[list[str], list[str]]:
 
 def class_weights(df: DataFrame, label: str) -> DataFrame:
     """(label, n, weight) with ``weight = rows / (2 * n)``."""
-    rows = df.dropna(subset=[label])
-    all_rows = rows.select(F.count(F.lit(1)).alias("n")).scalar()
-    return rows.groupBy(label).agg(F.count(F.lit(1)).alias("n")).withColumn(
-        "weight", all_rows / (2 * F.col("n"))
-    )
+    counts = df.dropna(subset=[label]).groupBy(label).agg(F.count(F.lit(1)).alias("n"))
+    all_rows = counts.select(F.sum("n").alias("all")).scalar()
+    return counts.withColumn("weight", all_rows / (2 * F.col("n")))
 
 
 def scaling(df: DataFrame, cols: Sequence[str]) -> dict[str, tuple[float, float]]:

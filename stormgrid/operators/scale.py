@@ -178,37 +178,40 @@ def kth_key(
 ) -> Row | None:
     """Ordering key of the ``k``-th row (1-based) under ``order``, or None past the end.
 
-    Equal keys are first merged into one weighted row.  While more than
-    ``slice_rows`` distinct keys remain, the frame is cut into slices, the slices
+    While more than ``slice_rows`` rows remain they are cut into slices, the slices
     are counted, and only the slice holding the k-th row is kept; a trillion rows
-    take two such passes.  The last pass sorts at most ``slice_rows`` keys.
+    take two such passes, and none of them shuffles rows.  What is left is merged
+    into one weighted row per key, so copies of a key cost nothing, and sorted.
     """
     order = list(order)
     if k < 1:
         return None
     while True:
-        keys = df.groupBy(*order).agg(F.count(F.lit(1)).alias("_n"))
-        cuts = slice_cuts(keys, [], order, slice_rows)
+        cuts = slice_cuts(df, [], order, slice_rows)
         if cuts is None:
-            running = F.sum("_n").over(
-                Window.orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
-            )
-            return (
-                keys.withColumn("_seen", running).filter(F.col("_seen") >= k)
-                .orderBy("_seen").select(*order).first()
-            )
+            break
         sliced = with_slices(df, cuts, [], order)
-        before = 0
-        chosen = None
-        for row in sliced.groupBy("_slice").count().orderBy("_slice").collect():
+        counts = sliced.groupBy("_slice").count().orderBy("_slice").collect()
+        before, chosen = 0, None
+        for row in counts:
             if before + row["count"] >= k:
-                chosen = row["_slice"]
+                chosen = row
                 break
             before += row["count"]
         if chosen is None:
             return None
-        df = sliced.filter(F.col("_slice") == chosen).drop("_slice")
+        if len(counts) == 1:  # the cut fell on the lowest key: nothing was separated
+            break
+        df = sliced.filter(F.col("_slice") == chosen["_slice"]).drop("_slice")
         k -= before
+    keys = df.groupBy(*order).agg(F.count(F.lit(1)).alias("_n"))
+    running = F.sum("_n").over(
+        Window.orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    )
+    return (
+        keys.withColumn("_seen", running).filter(F.col("_seen") >= k)
+        .orderBy("_seen").select(*order).first()
+    )
 
 
 def up_to(order: Sequence[str], at: Row, kinds: T.StructType) -> Column:

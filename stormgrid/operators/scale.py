@@ -83,8 +83,20 @@ def salted_join(
 # ---------------------------------------------------------------------------
 # Ordered slices
 # ---------------------------------------------------------------------------
-def order_struct(order: Sequence[str]) -> Column:
-    return F.struct(*[F.col(c) for c in order])
+def order_value(order: Sequence[str]) -> Column:
+    """The ordering key of a row as one comparable value."""
+    return F.col(order[0]) if len(order) == 1 else F.struct(*[F.col(c) for c in order])
+
+
+def _not_after(cut: Column, order: Sequence[str]) -> Column:
+    """``cut <= row`` field by field, which is cheaper than building a struct per test."""
+    if len(order) == 1:
+        return cut <= F.col(order[0])
+    *first, last = order
+    test = cut[last] <= F.col(last)
+    for c in reversed(first):
+        test = (cut[c] < F.col(c)) | ((cut[c] == F.col(c)) & test)
+    return test
 
 
 def slice_cuts(
@@ -112,7 +124,7 @@ def slice_cuts(
     hot = counts.filter(F.col("_n") > per_slice)
     rows = df.join(F.broadcast(hot), keys, "left_semi") if keys else df
     samples = (
-        rows.select(*keys, order_struct(order).alias("_at"))
+        rows.select(*keys, order_value(order).alias("_at"))
         .sample(fraction=min(1.0, SAMPLES_PER_SLICE / per_slice), seed=42)
         .groupBy(*keys)
         .agg(F.sort_array(F.collect_set("_at")).alias("_at"))
@@ -130,9 +142,10 @@ def slice_cuts(
     if not found:
         return None
     at = T.StructType([T.StructField(c, df.schema[c].dataType) for c in order])
+    kind = at.fields[0].dataType if len(order) == 1 else at
     schema = T.StructType(
         [T.StructField(k, df.schema[k].dataType) for k in keys]
-        + [T.StructField("_cuts", T.ArrayType(T.ArrayType(at)))]
+        + [T.StructField("_cuts", T.ArrayType(T.ArrayType(kind)))]
     )
     return spark.createDataFrame(found, schema)
 
@@ -141,33 +154,25 @@ def with_slices(
     df: DataFrame, cuts: DataFrame, keys: Sequence[str], order: Sequence[str]
 ) -> DataFrame:
     """Add ``_slice``: 0, 1, 2, ... rising with ``order`` inside each key."""
-    at = order_struct(list(order))
-    group = F.size(F.filter(F.col("_cuts"), lambda g: g[0] <= at))
-    inner = F.size(F.filter(F.try_element_at(F.col("_cuts"), group), lambda p: p <= at))
-    width = F.size(F.col("_cuts")[0])
-    place = F.when(group > 0, (group - 1) * width + inner).otherwise(0)
+    order = list(order)
     if keys:
         joined = df.join(F.broadcast(cuts), list(keys), "left")
     else:
-        joined = df.withColumn("_cuts", _literal_cuts(cuts))
-    return joined.withColumn(
-        "_slice", F.when(F.col("_cuts").isNull(), 0).otherwise(place).cast("int")
-    ).drop("_cuts")
-
-
-def _literal_cuts(cuts: DataFrame) -> Column:
-    """The single row of cuts of an ungrouped frame as a literal."""
-    field = cuts.schema["_cuts"].dataType.elementType.elementType
-    groups = cuts.first()["_cuts"]
-    return F.array(*[F.array(*[_literal(p, field) for p in g]) for g in groups])
-
-
-def _literal(at: Row, kind: T.StructType) -> Column:
-    # Text keeps every value exact and leaves time zones out of it.
-    return F.struct(*[
-        F.lit(None if at[f.name] is None else str(at[f.name])).cast(f.dataType).alias(f.name)
-        for f in kind.fields
-    ])
+        # One row of cuts for the whole frame: a literal, folded when planned.
+        text = cuts.select(F.to_json("_cuts")).first()[0]
+        joined = df.withColumn("_cuts", F.from_json(F.lit(text), cuts.schema["_cuts"].dataType))
+    group = F.size(F.filter(F.col("_cuts"), lambda g: _not_after(g[0], order)))
+    inner = F.size(F.filter(F.col("_cuts")[F.col("_group") - 1], lambda p: _not_after(p, order)))
+    width = F.size(F.col("_cuts")[0])
+    return (
+        joined.withColumn("_group", F.when(F.col("_cuts").isNotNull(), group).otherwise(0))
+        .withColumn(
+            "_slice",
+            F.when(F.col("_group") == 0, 0)
+            .otherwise((F.col("_group") - 1) * width + inner).cast("int"),
+        )
+        .drop("_cuts", "_group")
+    )
 
 
 # ---------------------------------------------------------------------------

@@ -17,7 +17,7 @@ from pyspark.sql.window import Window, WindowSpec
 
 from stormgrid import defaults as D
 from stormgrid.operators.scale import (
-    SLICE_ROWS, kth_key, order_struct, slice_cuts, up_to, with_slices,
+    SLICE_ROWS, kth_key, order_value, slice_cuts, up_to, with_slices,
 )
 
 _START, _END = Window.unboundedPreceding, Window.unboundedFollowing
@@ -52,7 +52,7 @@ def fill(
             for c in cols
         })
     sliced = with_slices(df, cuts, keys, order)
-    at = order_struct(order)
+    at = order_value(order)
     ends = (
         sliced.join(F.broadcast(cuts.select(*keys)), keys, "left_semi")
         .groupBy(*keys, "_slice")

@@ -22,7 +22,10 @@ COUNTS = D.INCIDENT_COLUMNS + D.INCIDENT_TOTALS
     SELECT fecha, lat, lon, {", ".join(M)}, alcaldia FROM weather_clean
 """)
 def weather_clean(spark, sf_dir):
-    return clean_weather(weather_raw(spark, sf_dir), regions(spark, sf_dir), REGION_CELL)
+    """The raw table is grouped by point and day, so a point's rows are bounded by days."""
+    return clean_weather(
+        weather_raw(spark, sf_dir), regions(spark, sf_dir), REGION_CELL, slice_rows=None
+    )
 
 
 @query(f"""

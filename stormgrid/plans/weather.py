@@ -11,6 +11,7 @@ from stormgrid.functions.text import normalize_key
 from stormgrid.operators.clean import drop_null, mask_sentinel, numbers
 from stormgrid.operators.columns import present, rename, require_columns
 from stormgrid.operators.joins import attach, keep_known
+from stormgrid.operators.scale import SLICE_ROWS
 from stormgrid.operators.series import fill
 from stormgrid.operators.spatial import spatial_join
 from stormgrid.session import materialize
@@ -49,13 +50,18 @@ def typed_weather(raw: DataFrame, regions: DataFrame, cell: float = REGION_CELL)
     return numbers(rows, present(rows, D.WEATHER_MEASURES))
 
 
-def clean_weather(raw: DataFrame, regions: DataFrame, cell: float = REGION_CELL) -> DataFrame:
+def clean_weather(
+    raw: DataFrame,
+    regions: DataFrame,
+    cell: float = REGION_CELL,
+    slice_rows: int | None = SLICE_ROWS,
+) -> DataFrame:
     """Typed, sentinel-free, gap-filled point-days with a normalised region.
 
-    The fill runs per point, which has one row per day, so its groups are bounded
-    by the length of the calendar.
+    The fill runs per point.  ``slice_rows=None`` saves its count of rows per point;
+    use it where a point is known to have one row per day.
     """
     typed = typed_weather(raw, regions, cell)
     measures = present(typed, D.WEATHER_MEASURES)
-    filled = fill(mask_sentinel(typed, measures), POINT, "fecha", measures, slice_rows=None)
+    filled = fill(mask_sentinel(typed, measures), POINT, "fecha", measures, slice_rows)
     return drop_null(filled.withColumn("alcaldia", normalize_key(F.col("alcaldia"))), ["alcaldia"])

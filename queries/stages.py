@@ -86,7 +86,9 @@ PANEL_CTE = f"""
 
 
 def _panel(spark, sf_dir):
-    return build_panel(weather_clean(spark, sf_dir), incidents_daily(spark, sf_dir))
+    return build_panel(
+        weather_clean(spark, sf_dir), incidents_daily(spark, sf_dir), normalized=True
+    )
 
 
 @query(f"WITH {PANEL_CTE} SELECT * FROM panel")

@@ -10,15 +10,19 @@ from pyspark.sql import functions as F
 
 from stormgrid import defaults as D
 
-# Java's own parser would also take "1.5d", "0x1p3" or "NaN"; the pattern does not.
-_NUMBER = r"(?i)^\s*[+-]?(\d+\.?\d*|\.\d+)(e[+-]?\d+)?\s*$"
+# Java's number parser also takes "1.5d" and "0x1p3"; such texts hold one of these letters.
+_ODD_NUMBER = "[dDfFxXpP]"
 _INFINITE = r"(?i)^\s*[+-]?inf(inity)?\s*$"
 
 
 def to_number(c: Column) -> Column:
     """Text to double; anything that is not a number, and NaN, becomes null."""
     text = c.cast("string")
-    return F.when(text.rlike(_NUMBER) | text.rlike(_INFINITE), text.try_cast("double"))
+    value = text.try_cast("double")
+    missing = F.lit(None).cast("double")
+    return F.when(~text.rlike(_ODD_NUMBER), F.nanvl(value, missing)).when(
+        text.rlike(_INFINITE), value
+    )
 
 
 def null_if_token(c: Column, tokens: Iterable[str] = D.NULL_TOKENS) -> Column:

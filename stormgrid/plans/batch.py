@@ -38,7 +38,7 @@ def prepare(
     raw_calls = read_csv(spark, calls_csv, encoding=calls_encoding, multi_line=multi_line)
     calls = _written(spark, clean_calls(raw_calls), f"{out}/calls_clean")
     incidents = _written(spark, daily_incidents(calls), f"{out}/incidents_daily")
-    panel = _written(spark, build_panel(weather, incidents), f"{out}/panel")
+    panel = _written(spark, build_panel(weather, incidents, normalized=True), f"{out}/panel")
     return _written(spark, build_features(panel), f"{out}/features")
 
 

@@ -16,16 +16,21 @@ from stormgrid.operators.series import history
 KEYS = ["fecha", "alcaldia"]
 
 
-def build_panel(weather: DataFrame, incidents: DataFrame) -> DataFrame:
+def build_panel(
+    weather: DataFrame, incidents: DataFrame, normalized: bool = False
+) -> DataFrame:
     """Mean weather per day and region with that day's incident counts.
 
     Weather is aggregated before the join, so both sides are unique per key.
+    ``normalized=True`` skips the folding of region names that the cleaning stages
+    have already done; leave it off for tables from elsewhere.
     """
-    key = normalize_key(F.col("alcaldia"))
     measures = [c for c in weather.columns if c not in (*KEYS, "lat", "lon")]
-    means = mean_by(weather.withColumn("alcaldia", key), KEYS, measures)
-    counts = incidents.withColumn("alcaldia", key)
-    return left_zero(means, counts, KEYS, D.INCIDENT_COLUMNS + D.INCIDENT_TOTALS)
+    if not normalized:
+        key = normalize_key(F.col("alcaldia"))
+        weather, incidents = (t.withColumn("alcaldia", key) for t in (weather, incidents))
+    means = mean_by(weather, KEYS, measures)
+    return left_zero(means, incidents, KEYS, D.INCIDENT_COLUMNS + D.INCIDENT_TOTALS)
 
 
 def build_features(panel: DataFrame) -> DataFrame:

@@ -39,13 +39,18 @@ def weather_from_payloads(payloads: DataFrame, points: DataFrame) -> DataFrame:
 
 
 def typed_weather(raw: DataFrame, regions: DataFrame, cell: float = REGION_CELL) -> DataFrame:
-    """Rows inside a region, with dates and numeric measures; sentinels not yet masked."""
+    """Rows inside a region, with dates, numeric measures and a normalised region.
+
+    Sentinels are not masked yet.
+    """
     named = require_columns(rename(raw, D.WEATHER_CODES), D.WEATHER_REQUIRED, "weather table")
     inside = located_points(named, regions, cell)
     if "alcaldia" in named.columns:
         rows = keep_known(named, inside, POINT)
+        rows = rows.withColumn("alcaldia", normalize_key(F.col("alcaldia")))
     else:
-        rows = attach(named, inside, POINT)
+        # The region comes from the small table of points: normalise it there, once.
+        rows = attach(named, inside.withColumn("alcaldia", normalize_key(F.col("alcaldia"))), POINT)
     rows = drop_null(rows.withColumn("fecha", parse_ymd(F.col("fecha"))), ["fecha"])
     return numbers(rows, present(rows, D.WEATHER_MEASURES))
 
@@ -64,4 +69,4 @@ def clean_weather(
     typed = typed_weather(raw, regions, cell)
     measures = present(typed, D.WEATHER_MEASURES)
     filled = fill(mask_sentinel(typed, measures), POINT, "fecha", measures, slice_rows)
-    return drop_null(filled.withColumn("alcaldia", normalize_key(F.col("alcaldia"))), ["alcaldia"])
+    return drop_null(filled, ["alcaldia"])

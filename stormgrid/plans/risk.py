@@ -73,7 +73,11 @@ def train_and_score(
 
 
 def write_cube(predictions: DataFrame, path: str, order_col: str = "fecha") -> None:
-    """Write ``dim_time``, ``dim_region`` and the fact, partitioned by day, under ``path``."""
+    """Write ``dim_time``, ``dim_region`` and the fact, partitioned by day, under ``path``.
+
+    Predictions normally have one row per day and region; where they repeat, name
+    the column that says which row is the latest.
+    """
     fact = fact_risk(predictions, order_col)
     write_table(dim_time(predictions), f"{path}/dim_time")
     write_table(dim_region(predictions), f"{path}/dim_region")

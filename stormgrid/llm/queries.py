@@ -5,12 +5,16 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stormgrid.llm.exact_dedup import exact_groups
+from stormgrid.llm.language_id import identify
 from stormgrid.llm.packing import pack
+from stormgrid.llm.quality_gam import quality_scores
+from stormgrid.llm.quality_rules import judge
 from stormgrid.llm.simhash import near_groups
+from stormgrid.llm.suffix_dedup import cut_repeats
 from stormgrid.llm.texts import table
 from stormgrid.llm.token_counts import prefix_counts
 
@@ -29,6 +33,17 @@ def query(sql: str | None = None):
     return add
 
 
+def remainder(divisor: int) -> Column:
+    """crc32 of the id as text, by which rows are held out."""
+    return F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(divisor))
+
+
+@query()
+def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Base counts, distances to the language references and the verdict of every document."""
+    return judge(table(spark, sf_dir, "documents"))
+
+
 @query()
 def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Tokens of every document, and where a budget of 1,024 tokens ends."""
@@ -55,6 +70,24 @@ def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_groups(table(spark, sf_dir, "documents"))
 
 
+@query()
+def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every document; four of five documents may be learned from."""
+    found = identify(table(spark, sf_dir, "documents"), remainder(5) != 0)
+    return found.select("doc_id", (remainder(5) == 0).alias("held_out"), "lang_pred", "score")
+
+
+@query()
+def op6_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What stays of every document after strings of 100 bytes that occurred earlier are cut out."""
+    cut = cut_repeats(table(spark, sf_dir, "documents"))
+    gone = F.aggregate("removed", F.lit(0).cast("long"), lambda a, s: a + s["end"] - s["start"])
+    return cut.select(
+        "doc_id", "n_bytes", gone.alias("n_removed"), F.size("removed").cast("long").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"),
+    )
+
+
 @query()
 def op7_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprints and components of fingerprints at most three bits apart."""
@@ -62,6 +95,15 @@ def op7_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return groups.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+@query()
+def op9_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality of every document; two of three labelled documents may be learned from."""
+    scores = quality_scores(
+        table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), remainder(3) != 1)
+    return scores.select(
+        "doc_id", (remainder(3) == 1).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
 @query()
 def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every piece of every document in sequences of at most 2,048 tokens."""

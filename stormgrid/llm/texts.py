@@ -2,17 +2,36 @@
 
 from __future__ import annotations
 
+import os
+import shutil
+import tempfile
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
+import stormgrid
+
 #: Rows handed back to Spark at a time; bounds what a task holds besides its input batch.
 SLICE = 512
 
 
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Give the package to the executors' Python once a session, in case they have no copy."""
+    context = spark.sparkContext
+    if context.applicationId not in _SHIPPED:
+        root = os.path.dirname(os.path.dirname(os.path.abspath(stormgrid.__file__)))
+        path = os.path.join(tempfile.mkdtemp(), "stormgrid")
+        context.addPyFile(shutil.make_archive(path, "zip", root, "stormgrid"))
+        _SHIPPED.add(context.applicationId)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    ship_package(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 

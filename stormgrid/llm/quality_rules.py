@@ -28,7 +28,7 @@ COMMON_WORDS = {
     "de": "der die und in den von zu das mit sich des auf für ist im dem nicht ein eine als auch es an er so".split(),
     "es": "de la que el en y a los del se las por un para con no una su al es lo como más pero sus".split(),
 }
-MAX_CLASS_DISTANCE = 0.27
+MAX_CLASS_DISTANCE = 0.3
 MAX_WORD_DISTANCE = 0.275
 MIN_CHARS = 200
 MIN_WORDS = 100

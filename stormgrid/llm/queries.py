@@ -9,10 +9,12 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stormgrid.llm.exact_dedup import exact_groups
+from stormgrid.llm.html_text import label_blocks
 from stormgrid.llm.language_id import identify
 from stormgrid.llm.packing import pack
 from stormgrid.llm.quality_gam import quality_scores
 from stormgrid.llm.quality_rules import judge
+from stormgrid.llm.sentence_pieces import decode, encode
 from stormgrid.llm.simhash import near_groups
 from stormgrid.llm.suffix_dedup import cut_repeats
 from stormgrid.llm.texts import table
@@ -22,6 +24,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
 BYTE_BPE = "byte_bpe_50k.json"
+PIECE_BPE = "piece_bpe_32k.model"
 
 
 def query(sql: str | None = None):
@@ -70,6 +73,16 @@ def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_groups(table(spark, sf_dir, "documents"))
 
 
+@query()
+def op4_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page."""
+    pages = table(spark, sf_dir, "pages")
+    main = label_blocks(pages.select("page_id", "html", "url"), keep="url")
+    chosen = F.filter("blocks", lambda b: b["probability"] >= 0.5)
+    text = F.array_join(F.transform(chosen, lambda b: b["text"]), "\n\n")
+    return main.select("page_id", "url", text.alias("text")).withColumn("n_chars", F.char_length("text").cast("long"))
+
+
 @query()
 def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Language of every document; four of five documents may be learned from."""
@@ -95,6 +108,24 @@ def op7_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return groups.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+@query()
+def op8_sentence_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pieces of every document, a checksum of their ids, and whether they decode to its text."""
+    path = public_tokenizers.path(PIECE_BPE)
+    documents = table(spark, sf_dir, "documents")
+    parts = encode(documents, path)
+    texts = decode(parts, path, keep_ids=True)
+    whole = texts.filter(F.col("row").isNull()).select("doc_id", "ids", "text", F.lit(1).cast("long").alias("n_parts"))
+    split = texts.filter(F.col("row").isNotNull()).groupBy("row").agg(
+        F.first("doc_id").alias("doc_id"), F.sort_array(F.collect_list(F.struct("part", "ids", "text"))).alias("p"))
+    joined = split.select(
+        "doc_id", F.aggregate("p", F.lit(b""), lambda a, x: F.concat(a, x["ids"])).alias("ids"),
+        F.array_join(F.transform("p", lambda x: x["text"]), "").alias("text"), F.size("p").cast("long").alias("n_parts"))
+    return whole.union(joined).select(
+        "doc_id", (F.octet_length("ids") / 4).cast("long").alias("n_pieces"), F.crc32("ids").alias("ids_crc32"),
+        "n_parts", F.sha2("text", 256).alias("decoded_sha256"))
+
+
 @query()
 def op9_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Quality of every document; two of three labelled documents may be learned from."""

@@ -21,45 +21,49 @@ def normalised(text: Column) -> Column:
     return F.regexp_replace(F.coalesce(text.cast("string"), F.lit("")), r"[\x20\x09-\x0D]+", " ")
 
 
-def exact_groups(
-    df: DataFrame, id_col: str = "doc_id", text_col: str = "text", carry: bool = False
-) -> DataFrame:
-    """One row per input row: id, keep_id, group_size, kept, text_sha256, and with ``carry`` row.
+def exact_groups(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """One row per input row: id, keep_id, group_size, kept, text_sha256.
 
     Of rows with equal normalised text the smallest id is kept; null ids come last, and among
-    repeated ids one row is kept.  ``row`` is the input row as a struct, so columns of any name
-    go along.  An empty table gives an empty result; empty and null texts form one group.
+    repeated ids one row is kept.  An empty table gives an empty result; empty and null texts form
+    one group.  Other columns are left out.
     """
+    return _groups(df, df[id_col], df[text_col], F.lit(0)).drop("tie").withColumnRenamed("id", id_col)
+
+
+def _groups(df: DataFrame, row_id: Column, text: Column, tie: Column) -> DataFrame:
     parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    salt_of = F.when(df[id_col].isNull(), F.xxhash64(df[text_col])).otherwise(F.xxhash64(df[id_col]))
+    norm = normalised(text)
     rows = df.select(
-        df[id_col].alias("id"), normalised(df[text_col]).alias("norm"),
-        F.pmod(salt_of, F.lit(parts)).cast("int").alias("salt"),
-        *([F.struct(*[df[c] for c in df.columns]).alias("row")] if carry else []),
+        row_id.alias("id"), tie.cast("long").alias("tie"), norm.alias("norm"),
+        F.pmod(F.when(row_id.isNull(), F.xxhash64(text)).otherwise(F.xxhash64(row_id)), F.lit(parts))
+        .cast("int").alias("salt"),
     )
-    sorted_rows = rows.repartitionByRange("norm", "salt").sortWithinPartitions("norm", "salt")
+    ordered = (F.col("id").asc_nulls_last(), "tie")
     piece = Window.partitionBy("norm", "salt")
-    pieces = sorted_rows.select(
-        "id", *(["row"] if carry else []), "salt", F.sha2("norm", 256).alias("text_sha256"),
+    pieces = materialize(rows.repartitionByRange("norm", "salt").sortWithinPartitions("norm", "salt").select(
+        "id", "tie", "salt", F.sha2("norm", 256).alias("text_sha256"),
         F.min("id").over(piece).alias("least"), F.count(F.lit(1)).over(piece).alias("n"),
-        F.row_number().over(piece.orderBy(F.col("id").asc_nulls_last())).alias("nth"),
-    )
-    pieces = materialize(pieces)
+        F.row_number().over(piece.orderBy(*ordered)).alias("nth"),
+    ))
     content = Window.partitionBy("text_sha256")
     of_piece = pieces.filter("nth = 1").select(
         "text_sha256", "salt", F.min("least").over(content).alias("keep_id"),
         F.sum("n").over(content).alias("group_size"),
-        (F.row_number().over(content.orderBy(F.col("least").asc_nulls_last(), "salt")) == 1)
-        .alias("leads"),
+        (F.row_number().over(content.orderBy(*ordered, "salt")) == 1).alias("leads"),
     )
     return pieces.join(of_piece, ["text_sha256", "salt"]).select(
-        F.col("id").alias(id_col), "keep_id", "group_size",
-        (F.col("leads") & (F.col("nth") == 1)).alias("kept"), "text_sha256",
-        *(["row"] if carry else []),
+        "id", "tie", "keep_id", "group_size", (F.col("leads") & (F.col("nth") == 1)).alias("kept"), "text_sha256"
     )
 
 
 def drop_copies(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of ``df`` that stay, with all their columns."""
-    groups = exact_groups(df, id_col, text_col, carry=True)
-    return groups.filter("kept").select("row.*")
+    """The rows of ``df`` that stay, with all their columns; rows equal in every column are one row.
+
+    Columns may have any names and any types that can be hashed.
+    """
+    key = F.xxhash64(*[df[c] for c in df.columns])
+    kept = _groups(df, df[id_col], df[text_col], key).filter("kept").select("id", "tie")
+    rows = df.select(F.struct(*[df[c] for c in df.columns]).alias("row"), df[id_col].alias("id"), key.alias("tie"))
+    met = rows.join(kept, rows["id"].eqNullSafe(kept["id"]) & (rows["tie"] == kept["tie"]), "left_semi")
+    return met.dropDuplicates(["id", "tie"]).select("row.*")

@@ -327,3 +327,18 @@ def near_groups(
     least = linked.groupBy("root").agg(F.min("least").alias("component_id"))
     named = materialize(linked.join(least, "root").select("fp", "component_id"))
     return fps.join(named, "fp").select(F.col("id").alias(id_col), "fp", "component_id")
+
+
+def drop_near_copies(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", radius: int = 3) -> DataFrame:
+    """One row of each component, that of the smallest id, with all its columns.
+
+    Null ids come last; rows of one id are in order of a hash of all columns, and rows equal in
+    every column are one row.
+    """
+    last = F.when(df[id_col].isNull(), 1).otherwise(0)
+    key = F.struct(last.alias("last"), df[id_col].alias("id"), F.xxhash64(*[df[c] for c in df.columns]).alias("tie"))
+    rows = df.select(F.struct(*[df[c] for c in df.columns]).alias("row"), key.alias("key"), df[text_col].alias("text"))
+    groups = near_groups(rows, "key", "text", radius)
+    first = groups.filter(F.col("key") == F.col("component_id")).select("component_id")
+    met = rows.select("row", "key").join(first, F.col("key").eqNullSafe(F.col("component_id")), "left_semi")
+    return met.dropDuplicates(["key"]).select("row.*")

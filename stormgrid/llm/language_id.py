@@ -30,6 +30,8 @@ LANDMARKS = 128
 FIT_PER_LANGUAGE = 300
 FIT_ROWS = 6_000
 FIT_CHARS = 20_000
+#: Languages that can be learned, the most frequent ones.
+FIT_LANGUAGES = 200
 RIDGE = 1e-2
 _LETTER = re.compile(r"[^\W\d_]")
 _LOWER = np.arange(256, dtype=np.uint8)
@@ -136,6 +138,14 @@ def fit_sample(
         & F.col(text_col).rlike(r"\p{L}")
     ).select(F.col(text_col).alias("text"), F.col(lang_col).cast("string").alias("lang"),
              F.xxhash64(id_col, text_col).alias("at"))
+    # Per language about four times as many as wanted pass a threshold, so that what tasks send on
+    # does not grow with their number.
+    counts = usable.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(FIT_LANGUAGES).collect()
+    limit = F.lit(0)
+    for row in counts:
+        share = min(1.0, 4 * per_language / row["count"])
+        limit = F.when(F.col("lang") == row["lang"], F.lit(int(share * (1 << 40)))).otherwise(limit)
+    usable = usable.filter(F.pmod("at", F.lit(1 << 40)) < limit)
     nth = F.row_number().over(Window.partitionBy("lang").orderBy("at"))
     return usable.withColumn("nth", nth).filter(F.col("nth") <= per_language).orderBy("nth", "at", "lang").limit(rows)
 

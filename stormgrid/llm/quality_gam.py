@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
 from stormgrid.llm.text_counts import basic_counts, class_counts
-from stormgrid.llm.texts import slices, strings
+from stormgrid.llm.texts import hashed_sample, slices, strings
 from stormgrid.session import materialize
 
 FEATURES = (
@@ -186,9 +186,8 @@ def quality_scores(
     rows = materialize(feature_rows(df, id_col, text_col))
     marked = labels.filter(learn & F.col(label_col).isNotNull()).groupBy(F.col(id_col).alias("id")).agg(
         F.max(label_col).cast("double").alias("y"))
-    sample = (
-        rows.join(marked, "id").select("x", "y", F.xxhash64("id", "x").alias("at")).orderBy("at", "y").limit(fit_rows)
-    ).collect()
+    usable = rows.join(marked, "id").select("id", "x", "y")
+    sample = sorted(hashed_sample(usable, F.xxhash64("id", "x"), fit_rows).select("x", "y").collect())
     x = np.array([r["x"] for r in sample], float).reshape(len(sample), len(FEATURES))
     model = df.sparkSession.sparkContext.broadcast(fit(x, np.array([r["y"] for r in sample], float)))
     kind = to_arrow_type(df.schema[id_col].dataType)

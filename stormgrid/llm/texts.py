@@ -9,9 +9,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 import stormgrid
+from stormgrid.session import table_path
 
 #: Rows handed back to Spark at a time; bounds what a task holds besides its input batch.
 SLICE = 512
@@ -35,6 +37,26 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def written(df: DataFrame) -> DataFrame:
+    """The rows as a Parquet table below the shared folder: smaller than a checkpoint, and columnar."""
+    path = table_path(df.sparkSession, "kept")
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
+def hashed_sample(df: DataFrame, at: Column, rows: int) -> DataFrame:
+    """Up to so many rows, those first by the hash ``at``.
+
+    Rows are counted first and only about four times as many as wanted pass a threshold, so what
+    tasks send to be merged does not grow with their number.
+    """
+    share = 4 * rows / max(1, df.count())
+    found = df.withColumn("_at", at)
+    if share < 1:
+        found = found.filter(F.pmod("_at", F.lit(1 << 40)) < F.lit(int(share * (1 << 40))))
+    return found.orderBy("_at").limit(rows).drop("_at")
+
+
 def slices(batch: pa.RecordBatch, rows: int = SLICE) -> Iterator[pa.RecordBatch]:
     for at in range(0, batch.num_rows, rows):
         yield batch.slice(at, rows)

@@ -4,12 +4,13 @@ A string of ``length`` bytes is found through its anchor, the gram in it with th
 strings have equal anchors at equal offsets, and neighbouring strings share one.  So a document is
 a list of runs of string starts with one anchor each, about one run every 35 bytes.
 
-1. Every task lists the runs of its documents.  Strings repeated inside the task are judged there
-   at once and only their first occurrence goes on, so copies shrink before any shuffle.
-2. Runs meet by anchor hash; those whose anchor is found nowhere else are done with.
-3. The others fetch their bytes from the documents and meet again by anchor, or, where an anchor
-   has very many runs, string by string.  A block of runs is sorted as suffixes in two stages and
-   adjacent common prefixes of ``length`` bytes or more mark equal strings.
+1. Every task lists the runs of its documents with a hash of each run's bytes.  Of runs equal in a
+   task only the first goes on, so copies shrink before any shuffle.
+2. Runs meet by anchor hash.  Of equal runs the first stays and the others are late; an anchor
+   with one content only is done with then.
+3. Runs of anchors with several contents fetch their bytes from the documents and meet again by
+   anchor, or, where an anchor has very many runs, string by string.  A block of runs is sorted as
+   suffixes in two stages and adjacent common prefixes of ``length`` bytes or more mark equal strings.
 4. Late starts are gathered by document and the bytes they cover are cut out.
 """
 
@@ -20,11 +21,12 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
+import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
-from stormgrid.llm.texts import utf8
-from stormgrid.session import materialize
+from stormgrid.llm.texts import utf8, written
 
 LENGTH = 100
 GRAM = 32
@@ -200,47 +202,54 @@ def _stretches(late: np.ndarray, run: np.ndarray) -> tuple[np.ndarray, np.ndarra
     return first, np.diff(np.append(first, len(late))), late[first]
 
 
+def _content_hashes(data: np.ndarray, low: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """A 64-bit hash of ``data[low:low + size]`` for each run."""
+    held = data.tobytes()
+    digest = xxhash.xxh3_64_intdigest
+    return np.fromiter((digest(held[a:b]) for a, b in zip(low.tolist(), (low + sizes).tolist())), np.uint64, len(low))
+
+
 KIND_ALONE, KIND_WITNESS, KIND_MET, KIND_LATE = range(4)
+#: Bits of an anchor's hash that are kept; equal bits only bring runs together.
+_KEY_BITS = np.uint64(48)
 
 
 def _runs_of(ids: np.ndarray, hashes: np.ndarray, data: np.ndarray, offsets: np.ndarray, length: int) -> pa.RecordBatch:
-    """The runs of some documents, after those repeated among them have been judged."""
-    keys, doc, low, count = [], [], [], []
-    for i in range(len(ids)):
-        k, a, n = anchor_runs(data[offsets[i]:offsets[i + 1]], length)
-        keys.append(k)
+    """The runs of some documents; of equal ones the first as such and the others as late."""
+    keys, contents, doc, low, count = [], [], [], [], []
+    order = np.lexsort((hashes, ids))  # so that the first of equal runs is the earliest
+    for i in order.tolist():
+        own = data[offsets[i]:offsets[i + 1]]
+        k, a, n = anchor_runs(own, length)
+        keys.append(k >> (np.uint64(64) - _KEY_BITS))
+        contents.append(_content_hashes(own, a, n + length - 1))
         low.append(a)
         count.append(n)
         doc.append(np.full(len(k), i))
-    key, low, count, doc = map(np.concatenate, (keys, low, count, doc))
-    order = np.lexsort((hashes, ids))
-    rank = np.empty(len(ids), np.int64)
-    rank[order] = np.cumsum(np.concatenate([[0], (np.diff(ids[order]) != 0) | (np.diff(hashes[order]) != 0)]))
-    by_key = np.argsort(key, kind="stable")
-    same = np.concatenate([[False], key[by_key][1:] == key[by_key][:-1], [False]])
-    met = by_key[same[1:] | same[:-1]]  # runs whose anchor is there more than once, key by key
-    alone = np.ones(len(key), bool)
-    alone[met] = False
-    out = [(key[alone], doc[alone], low[alone], count[alone], np.full(int(alone.sum()), KIND_ALONE))]
-    for some in _blocks(key[met], count[met] + length - 1):
-        runs = met[some]
-        late, run = late_starts(*_bytes_of(data, offsets[doc[runs]] + low[runs], count[runs] + length - 1),
-                                count[runs], rank[doc[runs]], low[runs], length)
-        first, n, flag = _stretches(late, run)
-        begins = np.cumsum(count[runs]) - count[runs]
-        of = runs[run[first]] if len(first) else runs[:0]
-        start = low[of] + first - (begins[run[first]] if len(first) else 0)
-        out.append((key[of], doc[of], start, n, np.where(flag, KIND_LATE, KIND_MET)))
-    key, doc, low, count, kind = map(np.concatenate, zip(*out))
-    # An anchor that still has one run here may be met by others; tell them it is here.
-    going = np.flatnonzero(kind == KIND_MET)
-    witness, here = np.unique(key[going], return_index=True)
-    tell = going[here]
-    key, doc, low, count = (np.concatenate([x, x[tell]]) for x in (key, doc, low, count))
-    kind = np.concatenate([kind, np.full(len(tell), KIND_WITNESS)])
+    key, content, low, count, doc = map(np.concatenate, (keys, contents, low, count, doc))
+    kind = np.full(len(key), KIND_ALONE)
+    turn = np.lexsort((content, key))
+    same_key = np.concatenate([[False], key[turn][1:] == key[turn][:-1]])
+    equal = same_key & np.concatenate([[False], content[turn][1:] == content[turn][:-1]])
+    # The sort is stable, so of equal runs the earliest comes first; the same document and place is not late.
+    kind[turn[equal]] = KIND_LATE
+    head = np.flatnonzero(~equal)
+    place = (ids[doc[turn]], hashes[doc[turn]], low[turn])
+    at_head = head[np.cumsum(~equal) - 1] if len(turn) else head
+    again = equal & np.all([p == p[at_head] for p in place], axis=0) if len(turn) else equal
+    kind[turn[again]] = -1
+    # An anchor with several contents here: its runs go apart, and one row tells the others.
+    first = turn[~equal]
+    several = np.concatenate([[False], key[first][1:] == key[first][:-1], [False]])
+    met = several[1:] | several[:-1]
+    kind[first[met]] = KIND_MET
+    tell = first[met & ~several[:-1]] if len(first) else first
+    going = np.concatenate([np.flatnonzero(kind >= 0), tell])
+    kind = np.concatenate([kind[kind >= 0], np.full(len(tell), KIND_WITNESS)])
     return pa.RecordBatch.from_arrays(
-        [pa.array(key.view(np.int64)), pa.array(ids[doc]), pa.array(hashes[doc]), pa.array(low), pa.array(count),
-         pa.array(kind.astype(np.int32))], ["key", "id", "hash", "low", "count", "kind"])
+        [pa.array(key[going].view(np.int64)), pa.array(content[going].view(np.int64)), pa.array(ids[doc[going]]),
+         pa.array(hashes[doc[going]]), pa.array(low[going]), pa.array(count[going]), pa.array(kind.astype(np.int32))],
+        ["key", "content", "id", "hash", "low", "count", "kind"])
 
 
 def _blocks(keys: np.ndarray, sizes: np.ndarray) -> Iterator[slice]:
@@ -267,18 +276,39 @@ def _bytes_of(data: np.ndarray, at: np.ndarray, sizes: np.ndarray) -> tuple[np.n
 # ---------------------------------------------------------------------------
 # Spark
 # ---------------------------------------------------------------------------
-_RUN = "key bigint, id bigint, hash bigint, low bigint, count bigint"
+_RUN_COLUMNS = ("key", "id", "hash", "low", "count")
+_RUN = ", ".join(f"{c} bigint" for c in _RUN_COLUMNS)
 
 
-def _documents(df: DataFrame, id_col: str, text_col: str, *more: Column) -> DataFrame:
+def _documents(df: DataFrame, id_col: str, text_col: str, unique: bool, *more: Column) -> DataFrame:
     """(id, hash, text, ...): null ids come last in order, rows of one id go by their content's hash."""
     text = F.coalesce(df[text_col].cast("string"), F.lit(""))
     return df.select(
-        F.coalesce(df[id_col].cast("long"), F.lit(_NO_ID)).alias("id"), F.xxhash64(text).alias("hash"),
-        text.alias("text"), *more,
+        F.coalesce(df[id_col].cast("long"), F.lit(_NO_ID)).alias("id"),
+        (F.lit(0).cast("long") if unique else F.xxhash64(text)).alias("hash"), text.alias("text"), *more,
     )
 
 
+def _packed(documents: DataFrame, *more: str) -> DataFrame:
+    """(id, hash, packed, ...): texts compressed row by row for a shuffle."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        pack = zstandard.ZstdCompressor(level=1).compress
+        for batch in batches:
+            packed = [pack(t) for t in batch.column(2).cast(pa.binary()).to_pylist()]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), batch.column(1), pa.array(packed, pa.binary()), *batch.columns[3:]],
+                ["id", "hash", "packed", *more])
+
+    rows = documents.select("id", "hash", "text", *more)
+    tail = "".join(f", {c} {rows.schema[c].dataType.simpleString()}" for c in more)
+    return rows.mapInArrow(run, f"id bigint, hash bigint, packed binary{tail}")
+
+
+def _unpacked(column: pa.Array) -> pa.Array:
+    unpack = zstandard.ZstdDecompressor().decompress
+    return pa.array([unpack(v) for v in column.to_pylist()], pa.large_binary())
+
+
 def _listed(documents: DataFrame, length: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -286,37 +316,37 @@ def _listed(documents: DataFrame, length: int) -> DataFrame:
                 data, offsets = utf8(batch.column(2))
                 yield _runs_of(batch.column(0).to_numpy(), batch.column(1).to_numpy(), data, offsets, length)
 
-    return documents.select("id", "hash", "text").mapInArrow(run, f"{_RUN}, kind int")
+    return documents.select("id", "hash", "text").mapInArrow(
+        run, "key bigint, content bigint, id bigint, hash bigint, low bigint, count bigint, kind int")
 
 
 def _met(runs: DataFrame) -> DataFrame:
-    """Runs whose anchor is found elsewhere, and late ones; the rest is left out."""
-    by_anchor = F.col("kind") < KIND_MET
+    """Runs to be compared (kind MET) and late ones (kind LATE); the rest is left out.
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        last, waiting = None, None  # anchor of the last row, and that row while it is alone
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            key, kind = batch.column(0).to_numpy(), batch.column(5).to_numpy()
-            judged = kind < KIND_MET
-            same = (key[1:] == key[:-1]) & judged[1:] & judged[:-1]
-            keep = ~judged | np.concatenate([[False], same]) | np.concatenate([same, [False]])
-            if judged[0] and last == key[0]:
-                keep[0] = True
-                if waiting is not None:
-                    yield waiting
-            last = key[-1] if judged[-1] else None
-            waiting = batch.slice(batch.num_rows - 1) if judged[-1] and not keep[-1] and kind[-1] != KIND_WITNESS else None
-            yield batch.filter(pa.array(keep & (kind != KIND_WITNESS)))
-
-    spread = F.when(by_anchor, F.col("key")).otherwise(F.xxhash64("id", "low", "key"))
-    return runs.repartition(spread).sortWithinPartitions(~by_anchor, "key").mapInArrow(run, runs.schema)
+    Rows of an anchor meet, at most one a content and task; those known to be compared meet by
+    content, late ones only pass.
+    """
+    part = F.when(F.col("kind") < KIND_MET, F.col("key")).when(
+        F.col("kind") == KIND_MET, F.xxhash64("key", "content")).otherwise(F.xxhash64("id", "low"))
+    anchor = Window.partitionBy("part", "key")
+    equal = Window.partitionBy("part", "key", "content").orderBy("id", "hash", "low")
+    place = F.struct("id", "hash", "low")
+    marked = runs.withColumn("part", part).select(
+        *_RUN_COLUMNS, "kind", (F.first(place).over(equal) == place).alias("leads"),
+        ((F.min("content").over(anchor) != F.max("content").over(anchor))
+         | (F.max((F.col("kind") == KIND_WITNESS).cast("int")).over(anchor) == 1)).alias("several"),
+    )
+    kind = (
+        F.when(F.col("kind") == KIND_LATE, KIND_LATE).when(F.col("kind") == KIND_WITNESS, KIND_ALONE)
+        .when(~F.col("leads"), KIND_LATE)
+        .when((F.col("kind") == KIND_MET) | F.col("several"), KIND_MET).otherwise(KIND_ALONE)
+    )
+    return marked.select(*_RUN_COLUMNS, kind.alias("kind")).filter(F.col("kind") >= KIND_MET)
 
 
 def _with_bytes(documents: DataFrame, runs: DataFrame, length: int, hot_runs: int) -> DataFrame:
     """Every run with its bytes and the key it is compared under."""
-    hot = materialize(runs.groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > hot_runs).select(
+    hot = written(runs.groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > hot_runs).select(
         "key", F.lit(True).alias("hot")))
     runs = runs.withColumn("hot", F.lit(False)) if hot.isEmpty() else runs.join(hot, "key", "left")
     of_document = runs.groupBy("id", "hash").agg(
@@ -326,15 +356,16 @@ def _with_bytes(documents: DataFrame, runs: DataFrame, length: int, hot_runs: in
         for batch in batches:
             for at in range(0, batch.num_rows, 256):
                 part = batch.slice(at, 256)
-                data, offsets = utf8(part.column(2))
+                data, offsets = utf8(_unpacked(part.column(2)))
                 lists = part.column(3)
                 of = np.repeat(np.arange(part.num_rows), lists.value_lengths().to_numpy())
                 key, low, count, hot = (lists.flatten().field(k).to_numpy(zero_copy_only=False) for k in range(4))
                 if not len(key):
                     continue
                 # Strings of very frequent anchors go one by one, under a hash of their bytes.
-                one = np.repeat(np.arange(len(key)), np.where(hot, count, 1))
-                nth = np.arange(len(one)) - np.repeat(np.cumsum(np.where(hot, count, 1)) - np.where(hot, count, 1), np.where(hot, count, 1))
+                times = np.where(hot, count, 1)
+                one = np.repeat(np.arange(len(key)), times)
+                nth = np.arange(len(one)) - np.repeat(np.cumsum(times) - times, times)
                 low, count, of, hot = low[one] + nth, np.where(hot, 1, count)[one], of[one], hot[one]
                 text, cuts = _bytes_of(data, offsets[of] + low, count + length - 1)
                 key = key[one].copy()
@@ -347,7 +378,7 @@ def _with_bytes(documents: DataFrame, runs: DataFrame, length: int, hot_runs: in
                      pa.Array.from_buffers(pa.binary(), len(key), [None, pa.py_buffer(cuts.astype(np.int32)), pa.py_buffer(held)])],
                     ["key", "id", "hash", "low", "count", "bytes"])
 
-    return documents.select("id", "hash", "text").join(of_document, ["id", "hash"]).mapInArrow(run, f"{_RUN}, bytes binary")
+    return _packed(documents).join(of_document, ["id", "hash"]).mapInArrow(run, f"{_RUN}, bytes binary")
 
 
 def _late(runs: DataFrame, length: int) -> DataFrame:
@@ -394,7 +425,7 @@ def _late(runs: DataFrame, length: int) -> DataFrame:
 
 def late_stretches(documents: DataFrame, length: int = LENGTH, hot_runs: int = HOT_RUNS) -> DataFrame:
     """(id, hash, low, count) of all strings of ``length`` bytes that also start earlier."""
-    met = materialize(_met(_listed(documents, length)))
+    met = written(_met(_listed(documents, length)))
     waiting = met.filter(F.col("kind") < KIND_LATE).drop("kind")
     at_once = met.filter(F.col("kind") == KIND_LATE).select("id", "hash", "low", "count")
     return at_once.union(_late(_with_bytes(documents, waiting, length, hot_runs), length))
@@ -404,27 +435,31 @@ def cut_repeats(
     df: DataFrame, length: int = LENGTH, id_col: str = "doc_id", text_col: str = "text", hot_runs: int = HOT_RUNS,
     carry: bool = False,
 ) -> DataFrame:
-    """(id, n_bytes, removed, kept) of every row, and with ``carry`` the row without its text as ``row``.
+    """(id, n_bytes, removed, kept) of every row, and with ``carry`` its text and the rest of the row.
 
     A byte goes if it lies in a string of ``length`` bytes that also starts earlier: in a document
     of smaller id, or earlier in the same one.  ``removed`` are the maximal runs cut out, as
-    (start, end) byte positions, ``kept`` the other bytes.  Null texts count as empty and texts
+    (start, end) byte positions, ``kept`` the other bytes.  ``text`` is ``kept`` as characters, where
+    what is left of a character cut in two goes as well; ``row`` has the other columns.  Null texts count as empty and texts
     shorter than ``length`` are kept; ids must be whole numbers, null ids come last, rows of one id
     are in order of a hash of their content, and rows equal in both are one document.
     """
     rest = [F.struct(*[df[c] for c in df.columns if c != text_col]).alias("row")] if carry else []
-    documents = _documents(df, id_col, text_col)
+    numbers = df.agg(F.count(F.lit(1)), F.count_distinct(df[id_col].cast("long"))).first()
+    unique = numbers[0] == numbers[1]  # then ids alone tell documents apart
+    documents = _documents(df, id_col, text_col, unique)
     stretches = late_stretches(documents, length, hot_runs).groupBy("id", "hash").agg(
         F.collect_list(F.struct("low", "count")).alias("late"))
-    whole = _documents(df, id_col, text_col, df[id_col].alias("own_id"), *rest).join(stretches, ["id", "hash"], "left")
-    rows = whole.select("own_id", "text", "late", *(["row"] if carry else []))
+    more = ["own_id", *(["row"] if carry else [])]
+    whole = _packed(_documents(df, id_col, text_col, unique, df[id_col].alias("own_id"), *rest), *more)
+    rows = whole.join(stretches, ["id", "hash"], "left").select("own_id", "packed", "late", *more[1:])
     kind = df.schema[id_col].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for at in range(0, batch.num_rows, 256):
                 part = batch.slice(at, 256)
-                data, offsets = utf8(part.column(1))
+                data, offsets = utf8(_unpacked(part.column(1)))
                 sizes, spans, kept = [], [], []
                 for i, late in enumerate(part.column(2).to_pylist()):
                     own = data[offsets[i]:offsets[i + 1]]
@@ -443,9 +478,10 @@ def cut_repeats(
                 span = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
                 yield pa.RecordBatch.from_arrays(
                     [part.column(0), pa.array(sizes, pa.int64()), pa.array(spans, span), pa.array(kept, pa.binary()),
-                     *part.columns[3:]], ["own_id", "n_bytes", "removed", "kept", *(["row"] if carry else [])])
+                     *([pa.array([k.decode("utf-8", "ignore") for k in kept], pa.string())] if carry else []),
+                     *part.columns[3:]], ["own_id", "n_bytes", "removed", "kept", *(["text", "row"] if carry else [])])
 
-    tail = f", row {rows.schema['row'].dataType.simpleString()}" if carry else ""
+    tail = f", text string, row {rows.schema['row'].dataType.simpleString()}" if carry else ""
     return rows.mapInArrow(
         run, f"own_id {kind}, n_bytes bigint, removed array<struct<start:bigint,end:bigint>>, kept binary{tail}"
     ).withColumnRenamed("own_id", id_col)

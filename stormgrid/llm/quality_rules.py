@@ -128,13 +128,14 @@ def references(
 
 
 def js_distance(p: Column, q: Column) -> Column:
-    """Jensen-Shannon distance of two arrays of shares, 0 to 1."""
+    """Jensen-Shannon distance of two arrays of shares, 0 to 1; null if either is."""
     def part(x: Column, y: Column) -> Column:
         return F.when(x > 0, x * F.log2(2 * x / (x + y))).otherwise(0.0)
 
     terms = F.zip_with(p, q, lambda x, y: part(x, y) + part(y, x))
     divergence = F.aggregate(terms, F.lit(0.0), lambda a, x: a + x) / 2
-    return F.sqrt(F.greatest(F.least(divergence, F.lit(1.0)), F.lit(0.0)))
+    bounded = F.sqrt(F.greatest(F.least(divergence, F.lit(1.0)), F.lit(0.0)))
+    return F.when(divergence.isNotNull(), bounded)
 
 
 def _literal(shares: Sequence[float] | None) -> Column:

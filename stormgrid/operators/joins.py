@@ -9,22 +9,22 @@ from pyspark.sql import functions as F
 
 from stormgrid import defaults as D
 from stormgrid.operators.columns import ensure_columns
-from stormgrid.operators.scale import LOOKUP_ROWS, lookup_join
+from stormgrid.operators.scale import LOOKUP_BYTES, lookup_join
 
 
 def keep_known(
-    df: DataFrame, keys_df: DataFrame, keys: Sequence[str], max_rows: int = LOOKUP_ROWS
+    df: DataFrame, keys_df: DataFrame, keys: Sequence[str], max_bytes: int = LOOKUP_BYTES
 ) -> DataFrame:
     """Rows of ``df`` whose key occurs in ``keys_df``; no columns are added."""
     keys = list(keys)
-    return lookup_join(df, keys_df.select(*keys).distinct(), keys, "left_semi", max_rows)
+    return lookup_join(df, keys_df.select(*keys).distinct(), keys, "left_semi", max_bytes)
 
 
 def attach(
-    df: DataFrame, dim: DataFrame, keys: Sequence[str], max_rows: int = LOOKUP_ROWS
+    df: DataFrame, dim: DataFrame, keys: Sequence[str], max_bytes: int = LOOKUP_BYTES
 ) -> DataFrame:
     """Inner join with a lookup table that has one row per key."""
-    return lookup_join(df, dim, keys, "inner", max_rows)
+    return lookup_join(df, dim, keys, "inner", max_bytes)
 
 
 def left_zero(

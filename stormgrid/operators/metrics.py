@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from stormgrid import defaults as D
-from stormgrid.operators.scale import SLICE_ROWS, slice_cuts, with_slices
+from stormgrid.operators.scale import SLICE_ROWS, ranged
 
 
 def _ratio(a: Column, b: Column) -> Column:
@@ -149,32 +149,24 @@ def class_report(df: DataFrame, y: str, pred: str) -> DataFrame:
 def roc_auc(df: DataFrame, y: str, p: str, slice_rows: int = SLICE_ROWS) -> DataFrame:
     """One row (auc) by the rank formula, ties counting half.
 
-    Rows are merged per score before anything is ordered.  More than
-    ``slice_rows`` rows are cut into score slices: the negatives below a score are
-    those of lower slices plus those below it in its own slice.
+    Rows are merged per score before anything is ordered.  Scores are cut into
+    slices of ``slice_rows``: the negatives below a score are those of lower slices
+    plus those below it in its own slice.
     """
-    rows = df.dropna(subset=[y, p]).select(y, p)
-    cuts = slice_cuts(rows, [], [p], slice_rows)
-    counts = [
+    scores = df.dropna(subset=[y, p]).groupBy(p).agg(
         F.count_if(F.col(y) == 1).alias("pos"), F.count_if(F.col(y) != 1).alias("neg"),
-    ]
+    )
 
     def before(c: str, w) -> Column:
         return F.coalesce(F.sum(c).over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
 
-    if cuts is None:
-        scores = rows.groupBy(p).agg(*counts)
-        ranked = scores.withColumn("below", before("neg", Window.orderBy(p)))
-    else:
-        sliced = with_slices(rows, cuts, [], [p]).groupBy("_slice", p).agg(*counts)
-        lower = (
-            sliced.groupBy("_slice").agg(F.sum("neg").alias("neg"))
-            .select("_slice", before("neg", Window.orderBy("_slice")).alias("_lower"))
-        )
-        own = Window.partitionBy("_slice").orderBy(p)
-        ranked = sliced.join(F.broadcast(lower), "_slice").withColumn(
-            "below", F.col("_lower") + before("neg", own)
-        )
+    cut = ranged(scores, [p], slice_rows)
+    lower = (
+        cut.groupBy("_slice").agg(F.sum("neg").alias("neg"))
+        .select("_slice", before("neg", Window.orderBy("_slice")).alias("_lower"))
+    )
+    own = Window.partitionBy("_slice").orderBy(p)
+    ranked = cut.join(lower, "_slice").withColumn("below", F.col("_lower") + before("neg", own))
     won = F.sum(F.col("pos") * (F.col("below") + F.col("neg") / 2))
     pairs = F.sum("pos").cast("double") * F.sum("neg").cast("double")
     return ranked.agg(F.try_divide(won, pairs).alias("auc"))

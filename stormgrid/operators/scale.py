@@ -1,50 +1,72 @@
 """Keeping joins and ordered work spread out when one key holds much of the data.
 
-Three tools, used by the other operators:
-
-* ``lookup_join``: broadcast only after counting the lookup side, otherwise a
-  shuffle join with the hot keys salted.
-* ``slice_cuts`` / ``with_slices``: split an ordered group into contiguous
-  slices, so that a running computation becomes "inside the slice" plus "carried
-  over from earlier slices".  Cuts come from a sample; they only decide balance,
-  never the result.
-* ``kth_key``: the ordering key of the k-th row without sorting the frame.
+* ``lookup_join``: broadcast only a side whose bytes were measured, otherwise a shuffle join with
+  the hot keys salted.
+* ``sliced``: the rows of hot keys, cut into contiguous slices by range partitioning, so that a
+  running computation becomes "inside the slice" plus "carried over from earlier slices".
+* ``ranged`` and ``kth_key``: the same for the order of a whole frame.
+
+Slices come from Spark's sampled range partitioning over key, order and a tie column, so they hold
+about as many rows as asked for however often an order value repeats, and nothing is collected.
+Sliced rows are written once: a slice number must not change between two reads.
 """
 
 from __future__ import annotations
 
 import math
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-LOOKUP_ROWS = 500_000
+from stormgrid.session import materialize
+
+LOOKUP_BYTES = 64 * 1024 * 1024
 SLICE_ROWS = 4_000_000
-SAMPLES_PER_SLICE = 50
-MAX_SLICES = 4_096
 
 
 # ---------------------------------------------------------------------------
 # Joins
 # ---------------------------------------------------------------------------
+def _bytes(name: str, kind: T.DataType) -> Column:
+    c = F.col(f"`{name}`")
+    if isinstance(kind, (T.StringType, T.BinaryType)):
+        return F.coalesce(F.octet_length(c), F.lit(0)) + 16
+    if isinstance(kind, (T.ArrayType, T.MapType, T.StructType)):
+        return F.coalesce(F.octet_length(F.to_json(F.struct(c))), F.lit(0)) + 16
+    return F.lit(8)
+
+
+def table_bytes(df: DataFrame) -> int:
+    """About the bytes of all rows in memory, by one aggregation."""
+    row = reduce(lambda a, b: a + b, [_bytes(f.name, f.dataType) for f in df.schema], F.lit(16))
+    return df.agg(F.sum(row.cast("long"))).first()[0] or 0
+
+
+def row_hash(df: DataFrame, *more: Column) -> Column:
+    """A hash of the row; maps cannot be hashed and are left out."""
+    cols = [F.col(f"`{f.name}`") for f in df.schema if not isinstance(f.dataType, T.MapType)]
+    return F.xxhash64(*cols, *more)
+
+
 def lookup_join(
     df: DataFrame,
     dim: DataFrame,
     keys: Sequence[str],
     how: str = "inner",
-    max_rows: int = LOOKUP_ROWS,
+    max_bytes: int = LOOKUP_BYTES,
     hot_rows: int = SLICE_ROWS,
 ) -> DataFrame:
     """Join ``df`` with a lookup table; ``how`` is inner, left, left_semi or left_anti.
 
-    The lookup side is counted first.  Up to ``max_rows`` it is broadcast and
+    The bytes of the lookup side are measured first.  Up to ``max_bytes`` it is broadcast and
     ``df`` is not shuffled; beyond that both sides shuffle, salted for hot keys.
     """
     keys = list(keys)
-    if dim.count() <= max_rows:
+    if table_bytes(dim) <= max_bytes:
         return df.join(F.broadcast(dim), keys, how)
     return salted_join(df, dim, keys, how, hot_rows)
 
@@ -54,26 +76,28 @@ def salted_join(
 ) -> DataFrame:
     """Shuffle join that spreads each key with more than ``hot_rows`` rows in ``df``.
 
-    A hot key gets ``ceil(rows / hot_rows)`` salts.  Its rows in ``df`` are dealt
-    out by input partition (stable when a task is retried), its rows in ``dim``
-    are repeated once per salt.  There are at most ``rows / hot_rows`` hot keys,
-    which bounds what is broadcast.
+    A hot key gets ``ceil(rows / hot_rows)`` salts.  Its rows in ``df`` are dealt out by a hash of
+    the whole row and its input partition (the same when a task is retried), its rows in ``dim``
+    are repeated once per salt.  Rows with a null key match nothing and are spread by their hash.
+    There is at most one hot key for every ``hot_rows`` rows.
     """
     keys = list(keys)
-    hot = (
-        df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+    unknown = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys])
+    hot = materialize(
+        df.filter(~unknown).groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
         .filter(F.col("_n") > hot_rows)
         .select(*keys, F.ceil(F.col("_n") / hot_rows).cast("int").alias("_salts"))
     )
-    small_hot = F.broadcast(hot)
     salts = F.coalesce(F.col("_salts"), F.lit(1))
+    spread = row_hash(df, F.spark_partition_id())
     left = (
-        df.join(small_hot, keys, "left")
-        .withColumn("_salt", F.pmod(F.spark_partition_id(), salts))
-        .drop("_salts")
+        df.withColumn("_hash", spread).join(hot, keys, "left")
+        .withColumn("_salt", F.when(unknown, F.pmod("_hash", F.lit(1 << 20)))
+                    .otherwise(F.pmod("_hash", salts)).cast("int"))
+        .drop("_salts", "_hash")
     )
     right = (
-        dim.join(small_hot, keys, "left")
+        dim.join(hot, keys, "left")
         .withColumn("_salt", F.explode(F.sequence(F.lit(0), salts - 1)))
         .drop("_salts")
     )
@@ -83,95 +107,40 @@ def salted_join(
 # ---------------------------------------------------------------------------
 # Ordered slices
 # ---------------------------------------------------------------------------
-def order_value(order: Sequence[str]) -> Column:
-    """The ordering key of a row as one comparable value."""
-    return F.col(order[0]) if len(order) == 1 else F.struct(*[F.col(c) for c in order])
-
-
-def _not_after(cut: Column, order: Sequence[str]) -> Column:
-    """``cut <= row`` field by field, which is cheaper than building a struct per test."""
-    if len(order) == 1:
-        return cut <= F.col(order[0])
-    *first, last = order
-    test = cut[last] <= F.col(last)
-    for c in reversed(first):
-        test = (cut[c] < F.col(c)) | ((cut[c] == F.col(c)) & test)
-    return test
-
-
-def slice_cuts(
+def sliced(
     df: DataFrame, keys: Sequence[str], order: Sequence[str], slice_rows: int = SLICE_ROWS
-) -> DataFrame | None:
-    """Cut points for every key with more than ``slice_rows`` rows, or None.
-
-    One count per key, then, only if some key is hot, one sample of the hot
-    rows.  The sample holds about ``SAMPLES_PER_SLICE`` values per slice and
-    there are at most ``MAX_SLICES`` slices, so what reaches the driver does not
-    grow with the data.  Cuts are nested two levels deep so that finding a row's
-    slice takes about ``2 * sqrt(slices)`` comparisons.
+) -> tuple[DataFrame, DataFrame | None]:
+    """The rows of keys up to ``slice_rows`` rows, and those of hotter keys, or None.
+
+    Rows of hot keys have ``_key`` (the key as one value, in which nulls are equal), ``_slice``,
+    rising with ``(order, _tie)`` inside a key, and ``_tie``, a hash of the row that sets the order
+    of rows with equal order values.
     """
     keys, order = list(keys), list(order)
-    spark = df.sparkSession
-    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-    total_hot = (
-        counts.filter(F.col("_n") > slice_rows)
-        .agg(F.sum("_n").alias("rows"), F.count(F.lit(1)).alias("keys"))
-        .first()
-    )
-    if not total_hot["keys"]:
-        return None
-    per_slice = max(slice_rows, math.ceil(total_hot["rows"] / MAX_SLICES))
-    hot = counts.filter(F.col("_n") > per_slice)
-    rows = df.join(F.broadcast(hot), keys, "left_semi") if keys else df
-    samples = (
-        rows.select(*keys, order_value(order).alias("_at"))
-        .sample(fraction=min(1.0, SAMPLES_PER_SLICE / per_slice), seed=42)
-        .groupBy(*keys)
-        .agg(F.sort_array(F.collect_set("_at")).alias("_at"))
-        .collect()
+    keyed = df.withColumn("_key", F.struct(*keys))
+    hot = materialize(
+        keyed.groupBy("_key").agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > slice_rows)
     )
-    found = []
-    for row in samples:
-        points = row["_at"][SAMPLES_PER_SLICE::SAMPLES_PER_SLICE]
-        if per_slice <= SAMPLES_PER_SLICE:
-            points = row["_at"][per_slice::per_slice]
-        if points:
-            width = math.ceil(math.sqrt(len(points)))
-            nested = [points[i:i + width] for i in range(0, len(points), width)]
-            found.append((*[row[k] for k in keys], nested))
-    if not found:
-        return None
-    at = T.StructType([T.StructField(c, df.schema[c].dataType) for c in order])
-    kind = at.fields[0].dataType if len(order) == 1 else at
-    schema = T.StructType(
-        [T.StructField(k, df.schema[k].dataType) for k in keys]
-        + [T.StructField("_cuts", T.ArrayType(T.ArrayType(kind)))]
+    rows = hot.agg(F.sum("_n")).first()[0]
+    if not rows:
+        return df, None
+    hot = hot.select("_key")
+    parts = math.ceil(rows / slice_rows)
+    cut = (
+        keyed.join(hot, "_key", "left_semi").withColumn("_tie", row_hash(df))
+        .repartitionByRange(parts, *keys, *order, "_tie")
+        .withColumn("_slice", F.spark_partition_id())
     )
-    return spark.createDataFrame(found, schema)
+    return keyed.join(hot, "_key", "left_anti").drop("_key"), materialize(cut)
 
 
-def with_slices(
-    df: DataFrame, cuts: DataFrame, keys: Sequence[str], order: Sequence[str]
-) -> DataFrame:
-    """Add ``_slice``: 0, 1, 2, ... rising with ``order`` inside each key."""
-    order = list(order)
-    if keys:
-        joined = df.join(F.broadcast(cuts), list(keys), "left")
-    else:
-        # One row of cuts for the whole frame: a literal, folded when planned.
-        text = cuts.select(F.to_json("_cuts")).first()[0]
-        joined = df.withColumn("_cuts", F.from_json(F.lit(text), cuts.schema["_cuts"].dataType))
-    group = F.size(F.filter(F.col("_cuts"), lambda g: _not_after(g[0], order)))
-    inner = F.size(F.filter(F.col("_cuts")[F.col("_group") - 1], lambda p: _not_after(p, order)))
-    width = F.size(F.col("_cuts")[0])
-    return (
-        joined.withColumn("_group", F.when(F.col("_cuts").isNotNull(), group).otherwise(0))
-        .withColumn(
-            "_slice",
-            F.when(F.col("_group") == 0, 0)
-            .otherwise((F.col("_group") - 1) * width + inner).cast("int"),
-        )
-        .drop("_cuts", "_group")
+def ranged(df: DataFrame, order: Sequence[str | Column], slice_rows: int = SLICE_ROWS) -> DataFrame:
+    """``df`` with ``_slice``, rising with ``order``, of about ``slice_rows`` rows each."""
+    parts = math.ceil(df.count() / slice_rows)
+    if parts <= 1:
+        return df.withColumn("_slice", F.lit(0))
+    return materialize(
+        df.repartitionByRange(parts, *order).withColumn("_slice", F.spark_partition_id())
     )
 
 
@@ -181,49 +150,44 @@ def with_slices(
 def kth_key(
     df: DataFrame, order: Sequence[str], k: int, slice_rows: int = SLICE_ROWS
 ) -> Row | None:
-    """Ordering key of the ``k``-th row (1-based) under ``order``, or None past the end.
+    """Ordering key of the ``k``-th row (1-based) under ``order``, nulls last; None past the end.
 
-    While more than ``slice_rows`` rows remain they are cut into slices, the slices
-    are counted, and only the slice holding the k-th row is kept; a trillion rows
-    take two such passes, and none of them shuffles rows.  What is left is merged
-    into one weighted row per key, so copies of a key cost nothing, and sorted.
+    Only the ordering columns move, merged into one weighted row per key, so copies of a key cost
+    nothing.  Slices of the keys are counted and only the one with the k-th row is sorted.
     """
     order = list(order)
     if k < 1:
         return None
-    while True:
-        cuts = slice_cuts(df, [], order, slice_rows)
-        if cuts is None:
-            break
-        sliced = with_slices(df, cuts, [], order)
-        counts = sliced.groupBy("_slice").count().orderBy("_slice").collect()
-        before, chosen = 0, None
-        for row in counts:
-            if before + row["count"] >= k:
-                chosen = row
-                break
-            before += row["count"]
-        if chosen is None:
-            return None
-        if len(counts) == 1:  # the cut fell on the lowest key: nothing was separated
+    by = [F.col(c).asc_nulls_last() for c in order]
+    keys = ranged(df.groupBy(*order).agg(F.count(F.lit(1)).alias("_n")), by, slice_rows)
+    before, chosen = 0, None
+    for row in keys.groupBy("_slice").agg(F.sum("_n").alias("n")).orderBy("_slice").toLocalIterator():
+        if before + row["n"] >= k:
+            chosen = row["_slice"]
             break
-        df = sliced.filter(F.col("_slice") == chosen["_slice"]).drop("_slice")
-        k -= before
-    keys = df.groupBy(*order).agg(F.count(F.lit(1)).alias("_n"))
-    running = F.sum("_n").over(
-        Window.orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
-    )
+        before += row["n"]
+    if chosen is None:
+        return None
+    own = Window.partitionBy("_slice").orderBy(*by).rowsBetween(Window.unboundedPreceding, 0)
     return (
-        keys.withColumn("_seen", running).filter(F.col("_seen") >= k)
-        .orderBy("_seen").select(*order).first()
+        keys.filter(F.col("_slice") == chosen).withColumn("_seen", F.sum("_n").over(own))
+        .filter(F.col("_seen") >= k - before).orderBy("_seen").select(*order).first()
     )
 
 
 def up_to(order: Sequence[str], at: Row, kinds: T.StructType) -> Column:
-    """``(o1, o2, ...) <= at`` in a form whose first comparison reaches the scan."""
+    """``(o1, o2, ...) <= at``, nulls last, in a form whose first comparison reaches the scan.
+
+    It is true or not true: a row with a null on which it turns gives null, as a filter takes it.
+    """
     order = list(order)
-    value = {c: F.lit(str(at[c])).cast(kinds[c].dataType) for c in order}
     within = F.lit(True)
     for c in reversed(order):
-        within = (F.col(c) < value[c]) | ((F.col(c) == value[c]) & within)
-    return (F.col(order[0]) <= value[order[0]]) & within
+        if at[c] is None:
+            within = F.col(c).isNotNull() | within
+        else:
+            value = F.lit(str(at[c])).cast(kinds[c].dataType)
+            within = (F.col(c) < value) | ((F.col(c) == value) & within)
+    if at[order[0]] is not None:
+        within = (F.col(order[0]) <= F.lit(str(at[order[0]])).cast(kinds[order[0]].dataType)) & within
+    return within

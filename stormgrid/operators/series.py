@@ -4,7 +4,8 @@ The window functions partition by key.  On a panel a key has one row per day, so
 its group is bounded by the calendar and ``slice_rows=None`` skips the check.  On
 event-grain tables the default counts rows per key first; a key with more than
 ``slice_rows`` rows is cut into time slices, and what a slice needs from earlier
-ones is carried over through a table of slice summaries.
+ones is carried over through a table of slice summaries.  Rows of equal order
+value keep one order inside a hot key, that of a hash of the row.
 """
 
 from __future__ import annotations
@@ -17,7 +18,7 @@ from pyspark.sql.window import Window, WindowSpec
 
 from stormgrid import defaults as D
 from stormgrid.operators.scale import (
-    SLICE_ROWS, kth_key, order_value, slice_cuts, up_to, with_slices,
+    SLICE_ROWS, kth_key, sliced, up_to,
 )
 
 _START, _END = Window.unboundedPreceding, Window.unboundedFollowing
@@ -41,86 +42,67 @@ def fill(
     any value stays null.
     """
     keys, order, cols = _names(keys), _names(order), list(cols)
-    cuts = slice_cuts(df, keys, order, slice_rows) if slice_rows else None
-    if cuts is None:
-        w = Window.partitionBy(*keys).orderBy(*order)
-        return df.withColumns({
-            c: F.coalesce(
-                F.last(c, ignorenulls=True).over(w.rowsBetween(_START, 0)),
-                F.first(c, ignorenulls=True).over(w.rowsBetween(_START, _END)),
-            )
-            for c in cols
-        })
-    sliced = with_slices(df, cuts, keys, order)
-    at = order_value(order)
-    ends = (
-        sliced.join(F.broadcast(cuts.select(*keys)), keys, "left_semi")
-        .groupBy(*keys, "_slice")
-        .agg(
-            *[F.max_by(c, F.when(F.col(c).isNotNull(), at)).alias(f"_last_{c}") for c in cols],
-            *[F.min_by(c, F.when(F.col(c).isNotNull(), at)).alias(f"_first_{c}") for c in cols],
+    cold, hot = sliced(df, keys, order, slice_rows) if slice_rows else (df, None)
+    w = Window.partitionBy(*keys).orderBy(*order)
+    filled = cold.withColumns({
+        c: F.coalesce(
+            F.last(c, ignorenulls=True).over(w.rowsBetween(_START, 0)),
+            F.first(c, ignorenulls=True).over(w.rowsBetween(_START, _END)),
         )
+        for c in cols
+    })
+    if hot is None:
+        return filled
+    at = F.struct(*order, "_tie")
+    ends = hot.groupBy("_key", "_slice").agg(
+        *[F.max_by(c, F.when(F.col(c).isNotNull(), at)).alias(f"_last_{c}") for c in cols],
+        *[F.min_by(c, F.when(F.col(c).isNotNull(), at)).alias(f"_first_{c}") for c in cols],
     )
-    by_slice = Window.partitionBy(*keys).orderBy("_slice")
+    by_slice = Window.partitionBy("_key").orderBy("_slice")
     carried = ends.select(
-        *keys, "_slice",
+        "_key", "_slice",
         *[F.last(f"_last_{c}", True).over(by_slice.rowsBetween(_START, -1)).alias(f"_prev_{c}")
           for c in cols],
         *[F.first(f"_first_{c}", True).over(by_slice.rowsBetween(_START, _END))
           .alias(f"_head_{c}") for c in cols],
     )
-    w = Window.partitionBy(*keys, "_slice").orderBy(*order)
-    joined = sliced.join(F.broadcast(carried), [*keys, "_slice"], "left")
-    filled = joined.withColumns({
+    w = Window.partitionBy("_key", "_slice").orderBy(*order, "_tie")
+    carved = hot.join(carried, ["_key", "_slice"]).withColumns({
         c: F.coalesce(
             F.last(c, ignorenulls=True).over(w.rowsBetween(_START, 0)),
             F.col(f"_prev_{c}"),
             F.col(f"_head_{c}"),
-            F.first(c, ignorenulls=True).over(w.rowsBetween(_START, _END)),
         )
         for c in cols
     })
-    return filled.select(*df.columns)
+    return filled.unionByName(carved.select(*df.columns))
 
 
-def _with_history(
-    df: DataFrame, keys: list[str], order: list[str], rows: int, slice_rows: int | None
-) -> tuple[DataFrame, WindowSpec, Column | None]:
-    """Frame and window in which every row sees its ``rows`` predecessors.
+def _predecessors(hot: DataFrame, order: list[str], rows: int) -> DataFrame:
+    """Copies of the last ``rows`` rows before each slice, numbered as rows of that slice.
 
-    For sliced keys each slice is preceded by copies of the last ``rows`` rows of
-    the slices before it; the returned column marks those copies.
+    A slice can be shorter than ``rows``, so the rows may come from several slices.
     """
-    cuts = slice_cuts(df, keys, order, slice_rows) if slice_rows else None
-    if cuts is None:
-        return df, Window.partitionBy(*keys).orderBy(*order), None
-    sliced = with_slices(df, cuts, keys, order)
-    latest = Window.partitionBy(*keys, "_slice").orderBy(*[F.desc(c) for c in order])
-    by_order = Window.partitionBy(*keys).orderBy(*order)
+    latest = Window.partitionBy("_key", "_slice").orderBy(
+        *[F.desc(c) for c in order], F.desc("_tie")
+    )
     tails = (
-        sliced.join(F.broadcast(cuts.select(*keys)), keys, "left_semi")
-        .withColumn("_back", F.row_number().over(latest))
-        .filter(F.col("_back") <= rows)
+        hot.withColumn("_back", F.row_number().over(latest)).filter(F.col("_back") <= rows)
         .drop("_back")
-        .withColumn("_pos", F.row_number().over(by_order))
+        .withColumn("_pos", F.row_number().over(Window.partitionBy("_key").orderBy(*order, "_tie")))
     )
+    by_slice = Window.partitionBy("_key").orderBy("_slice")
     needs = (
-        tails.groupBy(*keys, "_slice").agg(F.max("_pos").alias("_end"))
-        .withColumn(
-            "_end", F.lag("_end").over(Window.partitionBy(*keys).orderBy("_slice"))
-        )
+        tails.groupBy("_key", "_slice").agg(F.max("_pos").alias("_end"))
+        .withColumn("_end", F.lag("_end").over(by_slice))
         .filter(F.col("_end").isNotNull())
         .select(
-            *keys, "_slice",
+            "_key", "_slice",
             F.explode(F.sequence(F.greatest(F.lit(1), F.col("_end") - (rows - 1)), "_end"))
             .alias("_pos"),
         )
     )
-    copies = tails.drop("_slice").join(needs, [*keys, "_pos"]).drop("_pos")
-    both = sliced.withColumn("_copy", F.lit(False)).unionByName(
-        copies.withColumn("_copy", F.lit(True))
-    )
-    return both, Window.partitionBy(*keys, "_slice").orderBy(*order), F.col("_copy")
+    return tails.drop("_slice").join(needs, ["_key", "_pos"]).drop("_pos")
 
 
 def history(
@@ -142,15 +124,23 @@ def history(
     deepest = max([n for ns in [*lags.values(), *sums.values()] for n in ns], default=0)
     if not deepest:
         return df
-    frame, w, copy = _with_history(df, keys, order, deepest, slice_rows)
-    added = {f"{c}_{n}d": F.lag(c, n).over(w) for c, ns in lags.items() for n in ns}
-    added |= {
-        f"{c}_{n}d": F.sum(c).over(w.rowsBetween(-n, -1)) for c, ns in sums.items() for n in ns
-    }
-    out = frame.withColumns(added)
-    if copy is not None:
-        out = out.filter(~copy)
-    return out.select(*df.columns, *added)
+
+    def added(w: WindowSpec) -> dict[str, Column]:
+        out = {f"{c}_{n}d": F.lag(c, n).over(w) for c, ns in lags.items() for n in ns}
+        return out | {
+            f"{c}_{n}d": F.sum(c).over(w.rowsBetween(-n, -1)) for c, ns in sums.items() for n in ns
+        }
+
+    cold, hot = sliced(df, keys, order, slice_rows) if slice_rows else (df, None)
+    out = cold.withColumns(added(Window.partitionBy(*keys).orderBy(*order)))
+    if hot is None:
+        return out.select(*df.columns, *added(Window.partitionBy(*keys).orderBy(*order)))
+    both = hot.withColumn("_copy", F.lit(False)).unionByName(
+        _predecessors(hot, order, deepest).withColumn("_copy", F.lit(True))
+    )
+    w = Window.partitionBy("_key", "_slice").orderBy(*order, "_tie")
+    carved = both.withColumns(added(w)).filter(~F.col("_copy"))
+    return out.unionByName(carved.select(*out.columns))
 
 
 def lag(
@@ -181,7 +171,7 @@ def in_first_part(
     fraction: float = D.TRAIN_FRACTION,
     slice_rows: int = SLICE_ROWS,
 ) -> Column:
-    """Predicate for the first ``int(n * fraction)`` rows by ``(order, *tie)``.
+    """Predicate for the first ``int(n * fraction)`` rows by ``(order, *tie)``, nulls last.
 
     The boundary row is found by counting; the predicate is then a plain
     comparison with literals, so neither part of the split sorts or shuffles.
@@ -199,6 +189,6 @@ def time_split(
     fraction: float = D.TRAIN_FRACTION,
     slice_rows: int = SLICE_ROWS,
 ) -> tuple[DataFrame, DataFrame]:
-    """(earlier part, later part) of the frame."""
+    """(earlier part, later part) of the frame; rows without an order value come last."""
     early = in_first_part(df, order, tie, fraction, slice_rows)
-    return df.filter(early), df.filter(~early)
+    return df.filter(early), df.filter(~F.coalesce(early, F.lit(False)))

@@ -9,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from stormgrid import operators as op
-from stormgrid.operators.scale import kth_key, slice_cuts, up_to, with_slices
+from stormgrid.operators.scale import kth_key, sliced, up_to
 from tests.conftest import plan, rows
 
 DAY0 = datetime.date(2021, 1, 1)
@@ -88,15 +88,32 @@ def test_fill_hot_key_with_late_first_value(spark):
 
 
 def test_slices_are_contiguous_and_many(spark, frame):
-    cuts = slice_cuts(frame, ["k"], ["d"], 10)
-    sliced = with_slices(frame, cuts, ["k"], ["d"]).orderBy("k", "d").collect()
+    cold, hot = sliced(frame, ["k"], ["d"], 10)
+    assert cold.count() == 0 and hot.count() == frame.count()
     per_key = {}
-    for r in sliced:
+    for r in hot.orderBy("k", "d").collect():
         per_key.setdefault(r["k"], []).append(r["_slice"])
     for ids in per_key.values():
         assert ids == sorted(ids)
         assert len(set(ids)) >= 4
-    assert slice_cuts(frame, ["k"], ["d"], 1000) is None
+    assert sliced(frame, ["k"], ["d"], 1000)[1] is None
+
+
+@pytest.mark.parametrize("key", ["a", None])
+def test_few_order_values_and_null_keys_are_cut(spark, key):
+    """One key, null or not, of 20,000 rows on 30 days."""
+    df = spark.range(20_000).select(
+        F.lit(key).cast("string").alias("k"), F.date_add(F.lit(DAY0), (F.col("id") % 30).cast("int")).alias("d"),
+        F.when(F.col("id") % 3 == 0, F.col("id").cast("double")).alias("x"), F.col("id").cast("int").alias("n"),
+    )
+    cold, hot = sliced(df.unionAll(spark.createDataFrame([("z", DAY0, 1.0, 1)], SCHEMA)), ["k"], ["d"], 1000)
+    sizes = [r["count"] for r in hot.groupBy("_slice").count().collect()]
+    assert len(sizes) == 20 and max(sizes) < 2000 and cold.count() == 1
+    filled = op.fill(df, "k", "d", ["x"], 1000)
+    assert filled.count() == 20_000 and filled.filter("x is null").count() == 0
+    assert filled.filter("n % 3 = 0 and x <> n").count() == 0
+    counts = op.history(df.withColumn("one", F.lit(1)), "k", "d", sums={"one": [25]}, slice_rows=1000)
+    assert counts.agg(F.sum("one_25d")).first()[0] == 25 * (20_000 - 25) + sum(range(25))
 
 
 def test_history_needs_one_shuffle_and_one_sort(spark, frame):
@@ -144,6 +161,20 @@ def test_split_predicate_reaches_the_scan(spark, tmp_path):
     assert "LessThanOrEqual(fecha" in plan(table.filter(early))
 
 
+@pytest.mark.parametrize("slice_rows", [4_000_000, 3])
+@pytest.mark.parametrize("fraction", [0.3, 0.8, 0.9, 1.0])
+def test_split_keeps_rows_without_a_day(spark, slice_rows, fraction):
+    data = [(DAY0 + datetime.timedelta(i), f"r{i}") for i in range(7)] + [(DAY0, None), (None, "a"), (None, "b"), (None, None)]
+    df = spark.createDataFrame(data, "fecha date, alcaldia string").repartition(3)
+    train, test = op.time_split(df, "fecha", ["alcaldia"], fraction, slice_rows)
+    late = datetime.date(9999, 1, 1)
+    ordered = sorted(data, key=lambda r: (r[0] or late, r[1] or "~"))
+    cut = int(11 * fraction)
+    key = lambda r: (str(r[0]), str(r[1]))
+    assert sorted((tuple(r) for r in train.collect()), key=key) == sorted(ordered[:cut], key=key)
+    assert sorted((tuple(r) for r in test.collect()), key=key) == sorted(ordered[cut:], key=key)
+
+
 def test_split_of_nothing(spark):
     df = spark.createDataFrame([(DAY0, "a")], "fecha date, alcaldia string")
     train, test = op.time_split(df, "fecha", ["alcaldia"])

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from stormgrid import defaults as D
 from stormgrid import operators as op
-from stormgrid.operators.scale import lookup_join, salted_join
+from stormgrid.operators.scale import lookup_join, salted_join, table_bytes
 from tests.conftest import plan, rows
 
 
@@ -129,10 +129,30 @@ def test_salted_join_equals_plain_join(spark, how):
     df, dim = _skewed(spark)
     want = rows(df.join(dim, ["k"], how))
     assert rows(salted_join(df, dim, ["k"], how, hot_rows=20)) == want
-    assert rows(lookup_join(df, dim, ["k"], how, max_rows=2, hot_rows=20)) == want
+    assert rows(lookup_join(df, dim, ["k"], how, max_bytes=2, hot_rows=20)) == want
     assert rows(lookup_join(df, dim, ["k"], how)) == want
 
 
+def test_salts_spread_a_hot_key_of_one_partition_and_null_keys(spark):
+    df = spark.range(10_000).select(F.when(F.col("id") % 2 == 0, 1).alias("k"), "id").coalesce(1)
+    dim = spark.createDataFrame([(1, "a")], "k int, name string")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        joined = salted_join(df, dim, ["k"], "left", hot_rows=250)
+        spread = joined.groupBy(F.col("k").isNull(), F.spark_partition_id()).count().collect()
+        assert joined.count() == 10_000 and joined.filter("name = 'a'").count() == 5000
+        assert len(spread) == 8 and max(r["count"] for r in spread) < 2500
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.unset("spark.sql.adaptive.enabled")
+
+
+def test_lookup_join_measures_bytes(spark):
+    wide = spark.range(100).select(F.col("id").alias("k"), F.repeat(F.lit("x"), 10_000).alias("t"), F.array("id").alias("a"))
+    assert 1_000_000 < table_bytes(wide) < 1_020_000 and table_bytes(wide.limit(0)) == 0
+
+
 def test_salted_join_with_repeated_lookup_keys(spark):
     df, dim = _skewed(spark)
     twice = dim.unionAll(dim.withColumn("name", F.lit("again")))
@@ -145,7 +165,7 @@ def test_lookup_join_broadcasts_only_small_sides(spark):
     assert "BroadcastHashJoin" in plan(lookup_join(df, dim, ["k"]))
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
-        big = plan(lookup_join(df, dim, ["k"], max_rows=1))
+        big = plan(lookup_join(df, dim, ["k"], max_bytes=1))
         assert "SortMergeJoin" in big
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")

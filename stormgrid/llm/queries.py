@@ -114,9 +114,10 @@ def op8_sentence_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path(PIECE_BPE)
     documents = table(spark, sf_dir, "documents")
     parts = encode(documents, path)
-    texts = decode(parts, path, keep_ids=True)
-    whole = texts.filter(F.col("row").isNull()).select("doc_id", "ids", "text", F.lit(1).cast("long").alias("n_parts"))
-    split = texts.filter(F.col("row").isNotNull()).groupBy("row").agg(
+    # Giant documents apart, so that neither kind is encoded twice.
+    whole = decode(parts.filter(F.col("row").isNull()), path, keep_ids=True).select(
+        "doc_id", "ids", "text", F.lit(1).cast("long").alias("n_parts"))
+    split = decode(parts.filter(F.col("row").isNotNull()), path, keep_ids=True).groupBy("row").agg(
         F.first("doc_id").alias("doc_id"), F.sort_array(F.collect_list(F.struct("part", "ids", "text"))).alias("p"))
     joined = split.select(
         "doc_id", F.aggregate("p", F.lit(b""), lambda a, x: F.concat(a, x["ids"])).alias("ids"),

@@ -28,14 +28,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
-from stormgrid.llm.pieces import Numbered, Runs
+from stormgrid.llm.pieces import Endings, Numbered, Runs
 from stormgrid.llm.texts import slices, strings
 from stormgrid.session import materialize
 
 MARK = "▁"
 CHUNK = 1 << 14
 BLOCK = 256
-MEMO_WORDS = 300_000
+MEMO_WORDS = 800_000
 _WORD = re.compile(f"{MARK}+[^{MARK}]*|[^{MARK}]+")
 NORMAL, UNKNOWN, BYTE = 1, 2, 6
 
@@ -71,11 +71,13 @@ class Pieces:
             raise ValueError("a piece has a space mark after another character")
         self.byte_ids = byte_ids
         self.longest = max(map(len, self.ids), default=1)
-        lengths: dict[str, set[int]] = {}
-        for p in self.ids:
-            lengths.setdefault(p[-1], set()).add(len(p))
-        self.by_end = {c: sorted(found, reverse=True) for c, found in lengths.items()}
-        self._meet: dict[tuple[str, str], bool] = {}
+        # Pieces by number; characters that are no piece get numbers from the vocabulary's size on.
+        self.text_of = {i: p for p, i in self.ids.items()}
+        self.text_of[-1] = ""
+        self.others: dict[str, int] = {}
+        self.first_other = len(model.pieces)
+        self.endings = Endings(self.ids)
+        self._meet: dict[int, bool] = {}
         self._start()
 
     def _start(self) -> None:
@@ -92,63 +94,102 @@ class Pieces:
             parts[i:i + 2] = [parts[i] + parts[i + 1]]
         return parts
 
-    def meets(self, left: str, right: str) -> bool:
-        known = self._meet.get((left, right))
+    def number(self, piece: str) -> int:
+        """The number of a piece or of a character that is none."""
+        i = self.ids.get(piece)
+        if i is None:
+            i = self.others.get(piece)
+            if i is None:
+                i = self.others[piece] = self.first_other + len(self.others)
+                self.text_of[i] = piece
+        return i
+
+    def meets(self, left: int, right: int) -> bool:
+        """Whether two pieces, by number, may be neighbours; -1 stands for a cut."""
+        known = self._meet.get(left << 32 | right)
         if known is None:
-            if len(self._meet) > 2_000_000:
+            if len(self._meet) > 1_000_000:
                 self._meet.clear()
-            known = self._meet[left, right] = self.merged(left + right) == ([left, right] if left else [right])
+            a, b = self.text_of[left], self.text_of[right]
+            known = self._meet[left << 32 | right] = self.merged(a + b) == ([a, b] if a else [b])
         return known
 
+    def at(self, text: str, end: int) -> list[tuple[int, int]]:
+        """(start, number) of the pieces that end there, the shortest first; any character is one."""
+        found = self.endings.at(text, end)
+        if not found or found[0][0] != end - 1:
+            found.insert(0, (end - 1, self.number(text[end - 1])))
+        return found
+
     def ending(self, text: str, end: int) -> Iterator[str]:
-        """Pieces of the text that end there, the longest first; an unknown character is one."""
-        single = False
-        for size in self.by_end.get(text[end - 1], ()):
-            if size <= end and text[end - size:end] in self.ids:
-                single |= size == 1
-                yield text[end - size:end]
-        if not single:
-            yield text[end - 1]
-
-    def word(self, text: str) -> list[str]:
-        """The chain of a text between two cuts: at each end the one piece that may follow."""
-        last, back = [""], [0]
-        for end in range(1, len(text) + 1):
-            for piece in self.ending(text, end):
-                before = end - len(piece)
-                if last[before] is not None and self.meets(last[before], piece):
-                    last.append(piece)
-                    break
-            else:
-                last.append(None)
-        out, end = [], len(text)
-        while end:
-            out.append(last[end])
-            end -= len(last[end])
-        return out[::-1]
+        for start, _ in reversed(self.at(text, end)):
+            yield text[start:end]
 
-    def numbers(self, pieces: list[str]) -> list[int]:
+    def chains(self, texts: list[str]) -> dict[str, list[int]]:
+        """The chain of each text between two cuts: at each end the one piece that may follow.
+
+        Texts are gone through in order, and what two have in common is looked at once.
+        """
+        at, known, meets = self.at, self._meet, self.meets
+        out = {}
+        last, start_of, before = [-1], [0], ""
+        for text in sorted(texts):
+            same, most = 0, min(len(text), len(before))
+            while same < most and text[same] == before[same]:
+                same += 1
+            last, start_of = last[:same + 1], start_of[:same + 1]
+            for end in range(same + 1, len(text) + 1):
+                chosen = None, 0
+                for start, piece in reversed(at(text, end)):
+                    left = last[start]
+                    if left is None:
+                        continue
+                    meet = known.get(left << 32 | piece)
+                    if meet or (meet is None and meets(left, piece)):
+                        chosen = piece, start
+                        break
+                last.append(chosen[0])
+                start_of.append(chosen[1])
+            chain, end = [], len(text)
+            while end:
+                chain.append(last[end])
+                end = start_of[end]
+            out[text], before = chain[::-1], text
+        return out
+
+    def shown_ids(self, chain: list[int]) -> list[int]:
+        """Ids of a chain; characters that are no piece become their bytes."""
+        if max(chain, default=0) < self.first_other:
+            return chain
         out = []
-        for p in pieces:
-            i = self.ids.get(p)
-            if i is not None:
+        for i in chain:
+            if i < self.first_other:
                 out.append(i)
             elif self.byte_ids:
-                out += [self.byte_ids[b] for b in p.encode("utf-8", "surrogatepass")]
+                out += [self.byte_ids[b] for b in self.text_of[i].encode("utf-8", "surrogatepass")]
             else:
                 out.append(self.unknown)
         return out
 
-    def encode(self, text: str) -> np.ndarray:
-        """Ids of a text that begins and ends at cuts, spaces shown as marks."""
+    def numbers(self, pieces: list[str]) -> list[int]:
+        return self.shown_ids([self.number(p) for p in pieces])
+
+    def encode_all(self, texts: list[str]) -> list[np.ndarray]:
+        """Ids of texts that begin and end at cuts, spaces shown as marks."""
         if len(self.words) > MEMO_WORDS:
             self._start()
-        words = _WORD.findall(text)
-        at = np.fromiter(map(self.words.__getitem__, words), np.int64, len(words))
-        if self.words.fresh:
-            self.runs.add([self.numbers(self.word(w)) for w in self.words.fresh])
-            self.words.fresh = []
-        return self.runs.take(at)[0]
+        at = []
+        for text in texts:
+            words = _WORD.findall(text)
+            at.append(np.fromiter(map(self.words.__getitem__, words), np.int64, len(words)))
+        fresh, self.words.fresh = self.words.fresh, []
+        if fresh:
+            chains = self.chains(fresh)
+            self.runs.add([self.shown_ids(chains[w]) for w in fresh])
+        return [self.runs.take(numbers)[0] for numbers in at]
+
+    def encode(self, text: str) -> np.ndarray:
+        return self.encode_all([text])[0]
 
     def decode(self, ids: np.ndarray) -> str:
         return b"".join(map(self.shown.__getitem__, ids.tolist())).decode("utf-8", "each_byte")
@@ -209,7 +250,7 @@ class Chunk:
                 if before >= stop:
                     continue
                 for last, (weight, chain) in by_end.get(before, {}).items():
-                    if pieces.meets(last, piece) and (piece not in here or here[piece][0] < weight - 1):
+                    if pieces.meets(pieces.number(last) if last else -1, pieces.number(piece)) and (piece not in here or here[piece][0] < weight - 1):
                         here[piece] = weight - 1, (chain, piece)
             if end >= stop:
                 out.update({(end, p): v for p, v in here.items()})
@@ -400,8 +441,8 @@ def encode(
         pieces = _pieces(model)
         for batch in batches:
             for part in slices(batch):
-                ids = [pieces.encode(pieces.lead + t.replace(" ", MARK)).astype("<i4").tobytes() if t else b""
-                       for t in strings(part.column(1))]
+                texts = [pieces.lead + t.replace(" ", MARK) if t else "" for t in strings(part.column(1))]
+                ids = [i.astype("<i4").tobytes() for i in pieces.encode_all(texts)]
                 yield pa.RecordBatch.from_arrays(
                     [part.column(0), pa.array([0] * part.num_rows, pa.int64()), pa.array(ids, pa.binary())],
                     ["id", "part", "ids"])

@@ -140,8 +140,7 @@ def fill_gaps(spark, sf_dir):
         SELECT CAST(ts AS DATE) AS dia, 'ZONA ' || (user_id % 16) AS zona,
                count(*) FILTER (event_type = 'purchase') AS purchase,
                count(*) FILTER (event_type = 'error') AS error
-        FROM events
-        WHERE event_type IN ('purchase', 'error') AND round(value * 100) > 9000 GROUP BY ALL
+        FROM events WHERE event_type IN ('purchase', 'error') GROUP BY ALL
     )
     SELECT dia, zona, centavos, CAST(coalesce(purchase, 0) AS INTEGER) AS purchase,
            CAST(coalesce(error, 0) AS INTEGER) AS error, CAST(0 AS INTEGER) AS refund
@@ -150,7 +149,7 @@ def fill_gaps(spark, sf_dir):
 def panel_join(spark, sf_dir):
     rows = _zones(spark, sf_dir)
     counted = crosstab(
-        keep_values(rows.filter("centavos > 9000"), "event_type", ["purchase", "error"]),
+        keep_values(rows, "event_type", ["purchase", "error"]),
         ["dia", "zona"], "event_type", ["purchase", "error"],
     )
     means = mean_by(rows, ["dia", "zona"], ["centavos"])
@@ -160,7 +159,7 @@ def panel_join(spark, sf_dir):
 @query(f"""
     WITH conocidos AS (
         SELECT DISTINCT lat, lon
-        FROM (SELECT {point_sql("c_custkey")} FROM customer WHERE c_mktsegment = 'BUILDING')
+        FROM (SELECT {point_sql("s_suppkey")} FROM supplier)
     )
     SELECT o_orderkey, lat, lon
     FROM (SELECT o_orderkey, {point_sql("o_custkey")} FROM orders)
@@ -168,9 +167,7 @@ def panel_join(spark, sf_dir):
 """)
 def known_points(spark, sf_dir):
     rows = table(spark, sf_dir, "orders").withColumns(point("o_custkey"))
-    known = table(spark, sf_dir, "customer").filter("c_mktsegment = 'BUILDING'").withColumns(
-        point("c_custkey")
-    )
+    known = table(spark, sf_dir, "supplier").withColumns(point("s_suppkey"))
     return keep_known(rows.select("o_orderkey", "lat", "lon"), known, ["lat", "lon"])
 
 

@@ -57,7 +57,11 @@ DAY_FORMATS = [
     "yyyy-MM-dd'T'HH:mm:ss[.SSSSSSSSS]",
     "yyyy-MM-dd HH:mm",
     "yyyy-MM-dd",
+    "yyyy-MM-dd'T'HH:mm:ss[.SSSSSSSSS]XXX",
+    "yyyy-MM-dd HH:mm:ss[.SSSSSSSSS]XXX",
     "yyyy/MM/dd HH:mm:ss",
+    "yyyy/MM/dd HH:mm",
+    "M/d/yyyy h:mm:ss a",
     "yyyy/MM/dd",
     "M/d/yyyy H:mm:ss",
     "M/d/yyyy H:mm",

@@ -25,14 +25,15 @@ def crosstab(
 ) -> DataFrame:
     """Counts per category as columns; rows null in a key or the category are dropped.
 
-    With ``values`` given it is one hash aggregation of conditional counts.
-    Without, the categories are looked up first (Spark's own pivot limit applies).
+    It is one hash aggregation of conditional counts.  Without ``values`` the
+    distinct categories are listed first; each becomes a column, however many.
     """
     keys = list(keys)
     rows = df.dropna(subset=[*keys, category])
     if values is None:
-        return rows.groupBy(*keys).pivot(category).count().na.fill(0)
-    is_value = [F.count_if(F.col(category) == F.lit(v)).alias(v) for v in values]
+        found = rows.select(F.col(category).alias("v")).distinct().orderBy("v")
+        values = [r["v"] for r in found.toLocalIterator()]
+    is_value = [F.count_if(F.col(category) == F.lit(v)).alias(str(v)) for v in values]
     return rows.groupBy(*keys).agg(*is_value)
 
 

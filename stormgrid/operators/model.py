@@ -3,19 +3,63 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression
-from pyspark.ml.feature import OneHotEncoder, SQLTransformer, StringIndexer, VectorAssembler
+from pyspark.ml.feature import OneHotEncoder, SQLTransformer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from stormgrid import defaults as D
 from stormgrid.functions.numeric import right_bins
 from stormgrid.operators.columns import present
+from stormgrid.operators.scale import lookup_join, ranged
+from stormgrid.session import materialize
 
-MAX_CATEGORIES = 10_000
+
+@dataclass
+class FittedModel:
+    """Category numbers and the fitted stages behind them."""
+
+    indexes: dict[str, DataFrame]
+    pipeline: PipelineModel
+
+    @property
+    def stages(self) -> list:
+        return self.pipeline.stages
+
+    def transform(self, df: DataFrame) -> DataFrame:
+        return self.pipeline.transform(_indexed(df, self.indexes))
+
+
+def category_index(df: DataFrame, col: str) -> DataFrame:
+    """(``col``, n): the distinct values in order, numbered from 0.
+
+    Values are numbered range by range, so their list is never in one task or on
+    the driver.
+    """
+    values = df.select(col).dropna().distinct()
+    cut = ranged(values, [col])
+    before = Window.orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
+    starts = cut.groupBy("_slice").count().select(
+        "_slice", F.coalesce(F.sum("count").over(before), F.lit(0)).alias("start")
+    )
+    own = F.row_number().over(Window.partitionBy("_slice").orderBy(col)) - 1
+    return materialize(cut.join(starts, "_slice").select(col, (F.col("start") + own).alias("n")))
+
+
+def _indexed(df: DataFrame, indexes: dict[str, DataFrame]) -> DataFrame:
+    """Add ``<col>__i``; a value that was not there in training gets the number past the last."""
+    for c, table in indexes.items():
+        size = table.count()
+        kind = {"ml_attr": {"type": "nominal", "name": f"{c}__i", "num_vals": size + 1}}
+        numbered = lookup_join(df, table.withColumnRenamed("n", f"{c}__n"), [c], "left")
+        number = F.coalesce(F.col(f"{c}__n"), F.lit(size)).cast("double")
+        df = numbered.withColumn(f"{c}__i", number.alias(f"{c}__i", metadata=kind)).drop(f"{c}__n")
+    return df
 
 
 def select_features(df: DataFrame) -> tuple[list[str], list[str]]:
@@ -65,7 +109,7 @@ def fit(
     label: str = D.LABEL,
     max_iter: int = D.MAX_ITERATIONS,
     tol: float = 1e-8,
-) -> PipelineModel:
+) -> FittedModel:
     """One-hot + population scaling + L2 logistic regression with balanced classes.
 
     Unknown categories encode to zeros.  The penalty is one half of the squared
@@ -78,23 +122,13 @@ def fit(
         raise ValueError(f"label {label} needs both classes, found {sorted(counts)}")
     n = sum(counts.values())
     weight = F.when(F.col(label) == 1, n / (2 * counts[1])).otherwise(n / (2 * counts[0]))
-    if categorical:
-        found = train.agg(*[F.approx_count_distinct(c).alias(c) for c in categorical]).first()
-        wide = {c: found[c] for c in categorical if found[c] > MAX_CATEGORIES}
-        if wide:
-            raise ValueError(f"too many categories to encode: {wide}")
+    indexes = {c: category_index(train, c) for c in categorical}
     indexed = [f"{c}__i" for c in categorical]
     encoded = [f"{c}__v" for c in categorical]
     scaled = scaling(train, numeric)
     stages = [SQLTransformer(statement=_scaled_sql(scaled))]
     if categorical:
-        stages += [
-            StringIndexer(
-                inputCols=categorical, outputCols=indexed, handleInvalid="keep",
-                stringOrderType="alphabetAsc",
-            ),
-            OneHotEncoder(inputCols=indexed, outputCols=encoded, dropLast=True),
-        ]
+        stages.append(OneHotEncoder(inputCols=indexed, outputCols=encoded, dropLast=True))
     stages += [
         VectorAssembler(
             inputCols=encoded + [f"{c}__z" for c in numeric], outputCol="features__"
@@ -106,10 +140,11 @@ def fit(
             standardization=False, family="binomial",
         ),
     ]
-    return Pipeline(stages=stages).fit(train.withColumn("weight__", weight))
+    rows = _indexed(train.withColumn("weight__", weight), indexes)
+    return FittedModel(indexes, Pipeline(stages=stages).fit(rows))
 
 
-def positive_probability(model: PipelineModel, df: DataFrame, out: str = "p") -> DataFrame:
+def positive_probability(model: FittedModel, df: DataFrame, out: str = "p") -> DataFrame:
     """``df`` with the probability of class 1."""
     scored = model.transform(df)
     return scored.select(*df.columns, vector_to_array("probability__")[1].alias(out))
@@ -120,15 +155,16 @@ def risk_class(p: Column) -> Column:
 
 
 def score(
-    model: PipelineModel,
+    model: FittedModel,
     df: DataFrame,
     threshold: float,
     keys: Sequence[str] = ("fecha", "alcaldia"),
     label: str = D.LABEL,
+    ordered: bool = True,
 ) -> DataFrame:
-    """Prediction table sorted by ``keys``: probability, decision, actual, risk."""
+    """Prediction table: probability, decision, actual, risk; sorted by ``keys`` if ``ordered``."""
     p = F.col("p")
-    return (
+    table = (
         positive_probability(model, df)
         .select(
             *keys,
@@ -137,5 +173,5 @@ def score(
             F.col(label).cast("int").alias("valor_real"),
             risk_class(p).alias("riesgo"),
         )
-        .orderBy(*keys)
     )
+    return table.orderBy(*keys) if ordered else table

@@ -81,6 +81,7 @@ def region_cells(
         .select("ordinal", F.col(name).alias("name"), "bbox", "edges",
                 F.explode(span("miny", "maxy")).alias("cy"))
         .withColumn("edges", in_band)
+        .repartition("ordinal", "cy")  # a region's bands spread before its cells are listed
         .select("ordinal", "name", "edges", "cy", F.explode(span("minx", "maxx")).alias("cx"))
         .withColumn("edges", not_left)
         .withColumn("touched", touched)
@@ -116,9 +117,10 @@ def spatial_join(
     x, y = F.col(lon), F.col(lat)
     keyed = points.withColumns({"cx": _cell(x, cell), "cy": _cell(y, cell)})
     size = cells.agg(
-        F.count(F.lit(1)).alias("cells"), F.sum(F.size("edges")).alias("edges")
+        F.count(F.lit(1)).alias("cells"), F.sum(F.size("edges")).alias("edges"),
+        F.sum(F.octet_length("name")).alias("names"),
     ).first()
-    if 96 * size["cells"] + 40 * (size["edges"] or 0) <= max_bytes:
+    if 96 * size["cells"] + 64 * (size["edges"] or 0) + (size["names"] or 0) <= max_bytes:
         by_cell = cells.groupBy("cx", "cy").agg(
             F.sort_array(F.collect_list(F.struct("ordinal", "name", "whole", "edges")))
             .alias("parts")

@@ -2,12 +2,20 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+from dataclasses import replace
+
 from pyspark.sql import DataFrame, SparkSession
 
-from stormgrid.plans.calls import clean_calls, daily_incidents
+from stormgrid import defaults as D
+from stormgrid.operators.clean import drop_null
+from stormgrid.plans.calls import clean_calls, daily_incidents, unread_days
 from stormgrid.plans.panel import build_features, build_panel
 from stormgrid.plans.risk import RiskRun, train_and_score, write_cube
-from stormgrid.plans.weather import REGION_CELL, clean_weather
+from stormgrid.plans.weather import (
+    POINT, REGION_CELL, clean_weather, located_points, weather_from_payloads,
+)
+from stormgrid.sources.payload import read_payloads
 from stormgrid.sources.regions import read_regions
 from stormgrid.sources.tables import read_csv, write_table
 
@@ -26,17 +34,44 @@ def prepare(
     out: str,
     calls_encoding: str = "ISO-8859-1",
     cell: float = REGION_CELL,
-    multi_line: bool = True,
+    multi_line: bool = False,
+    day_formats: Sequence[str] = D.DAY_FORMATS,
 ) -> DataFrame:
     """Raw files to the feature table; every stage is kept as Parquet under ``out``."""
     regions = read_regions(spark, regions_geojson)
-    weather = _written(
-        spark,
-        clean_weather(read_csv(spark, weather_csv, multi_line=multi_line), regions, cell),
-        f"{out}/weather_clean",
-    )
+    # Text files are parsed once; what follows reads the rows twice.
+    raw = _written(spark, read_csv(spark, weather_csv, multi_line=multi_line), f"{out}/weather_raw")
+    weather = _written(spark, clean_weather(raw, regions, cell), f"{out}/weather_clean")
+    return _features(spark, weather, calls_csv, out, calls_encoding, multi_line, day_formats)
+
+
+def prepare_from_payloads(
+    spark: SparkSession,
+    payload_json: str,
+    calls_csv: str,
+    regions_geojson: str,
+    out: str,
+    calls_encoding: str = "ISO-8859-1",
+    cell: float = REGION_CELL,
+    multi_line: bool = False,
+    day_formats: Sequence[str] = D.DAY_FORMATS,
+) -> DataFrame:
+    """As ``prepare``, with the weather from payload documents of the points inside a region."""
+    regions = read_regions(spark, regions_geojson)
+    payloads = drop_null(read_payloads(spark, payload_json, multi_line), POINT)
+    points = located_points(payloads, regions, cell)
+    raw = _written(spark, weather_from_payloads(payloads, points), f"{out}/weather_raw")
+    weather = _written(spark, clean_weather(raw, regions, cell), f"{out}/weather_clean")
+    return _features(spark, weather, calls_csv, out, calls_encoding, multi_line, day_formats)
+
+
+def _features(
+    spark: SparkSession, weather: DataFrame, calls_csv: str, out: str, calls_encoding: str,
+    multi_line: bool, day_formats: Sequence[str],
+) -> DataFrame:
     raw_calls = read_csv(spark, calls_csv, encoding=calls_encoding, multi_line=multi_line)
-    calls = _written(spark, clean_calls(raw_calls), f"{out}/calls_clean")
+    calls = _written(spark, clean_calls(raw_calls, day_formats=day_formats), f"{out}/calls_clean")
+    write_table(unread_days(raw_calls, day_formats), f"{out}/calls_unread_days")
     incidents = _written(spark, daily_incidents(calls), f"{out}/incidents_daily")
     panel = _written(spark, build_panel(weather, incidents, normalized=True), f"{out}/panel")
     return _written(spark, build_features(panel), f"{out}/features")
@@ -44,8 +79,8 @@ def prepare(
 
 def evaluate(features: DataFrame, out: str) -> RiskRun:
     """Train and score, keep the predictions as CSV and Parquet, and write the cube."""
-    run = train_and_score(features)
-    write_table(run.predictions, f"{out}/predictions")
-    write_table(run.predictions, f"{out}/predictions_csv", fmt="csv")
-    write_cube(features.sparkSession.read.parquet(f"{out}/predictions"), f"{out}/cube")
-    return run
+    run = train_and_score(features, ordered=False)
+    predictions = _written(features.sparkSession, run.predictions, f"{out}/predictions")
+    write_table(predictions, f"{out}/predictions_csv", fmt="csv")
+    write_cube(predictions, f"{out}/cube", "probabilidad_lluvia_intensa")
+    return replace(run, predictions=predictions)

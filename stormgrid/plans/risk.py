@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -13,7 +13,7 @@ from stormgrid.operators.cube import dim_region, dim_time, fact_risk
 from stormgrid.operators.metrics import (
     best_threshold, binary_metrics, class_report, confusion, roc_auc,
 )
-from stormgrid.operators.model import fit, positive_probability, score, select_features
+from stormgrid.operators.model import FittedModel, fit, positive_probability, score, select_features
 from stormgrid.operators.series import time_split
 from stormgrid.session import materialize
 from stormgrid.sources.tables import write_table
@@ -23,7 +23,7 @@ from stormgrid.sources.tables import write_table
 class RiskRun:
     """What one training run gives; the frames are lazy."""
 
-    model: PipelineModel
+    model: FittedModel
     threshold: float
     f1: float
     metrics: DataFrame
@@ -40,6 +40,7 @@ def train_and_score(
     label: str = D.LABEL,
     fraction: float = D.TRAIN_FRACTION,
     tune_on: str = "test",
+    ordered: bool = True,
 ) -> RiskRun:
     """Chronological split, fit on the early part, threshold, metrics, all rows scored.
 
@@ -53,9 +54,10 @@ def train_and_score(
     categorical, numeric = select_features(frame)
     train, test = time_split(frame, "fecha", ["alcaldia"], fraction)
     model = fit(train, categorical, numeric, label)
-    tuning = positive_probability(model, train if tune_on == "train" else test)
+    held_out = materialize(positive_probability(model, test).select(label, "p"))  # scored once
+    tuning = held_out if tune_on == "test" else positive_probability(model, train)
     best = best_threshold(tuning, label, "p").first()
-    scored = positive_probability(model, test).withColumn(
+    scored = held_out.withColumn(
         "pred", (F.col("p") >= F.lit(best["threshold"])).cast("int")
     )
     return RiskRun(
@@ -66,17 +68,17 @@ def train_and_score(
         confusion=confusion(scored, label, "pred"),
         report=class_report(scored, label, "pred"),
         auc=roc_auc(scored, label, "p"),
-        predictions=score(model, frame, best["threshold"], label=label),
+        predictions=score(model, frame, best["threshold"], label=label, ordered=ordered),
         train=train,
         test=test,
     )
 
 
-def write_cube(predictions: DataFrame, path: str, order_col: str = "fecha") -> None:
+def write_cube(predictions: DataFrame, path: str, order_col: str | Sequence[str]) -> None:
     """Write ``dim_time``, ``dim_region`` and the fact, partitioned by day, under ``path``.
 
-    Predictions normally have one row per day and region; where they repeat, name
-    the column that says which row is the latest.
+    ``order_col`` says which row of a day and region is the latest; where rows tie
+    in it there is no latest one.
     """
     fact = fact_risk(predictions, order_col)
     write_table(dim_time(predictions), f"{path}/dim_time")

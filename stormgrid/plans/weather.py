@@ -11,7 +11,7 @@ from stormgrid.functions.text import normalize_key
 from stormgrid.operators.clean import drop_null, mask_sentinel, numbers
 from stormgrid.operators.columns import present, rename, require_columns
 from stormgrid.operators.joins import attach, keep_known
-from stormgrid.operators.scale import SLICE_ROWS
+from stormgrid.operators.scale import SLICE_ROWS, row_hash
 from stormgrid.operators.series import fill
 from stormgrid.operators.spatial import spatial_join
 from stormgrid.session import materialize
@@ -41,9 +41,10 @@ def weather_from_payloads(payloads: DataFrame, points: DataFrame) -> DataFrame:
 def typed_weather(raw: DataFrame, regions: DataFrame, cell: float = REGION_CELL) -> DataFrame:
     """Rows inside a region, with dates, numeric measures and a normalised region.
 
-    Sentinels are not masked yet.
+    Rows without a readable position are dropped.  Sentinels are not masked yet.
     """
     named = require_columns(rename(raw, D.WEATHER_CODES), D.WEATHER_REQUIRED, "weather table")
+    named = drop_null(numbers(named, POINT), POINT)  # files bring coordinates as text
     inside = located_points(named, regions, cell)
     if "alcaldia" in named.columns:
         rows = keep_known(named, inside, POINT)
@@ -68,5 +69,8 @@ def clean_weather(
     """
     typed = typed_weather(raw, regions, cell)
     measures = present(typed, D.WEATHER_MEASURES)
-    filled = fill(mask_sentinel(typed, measures), POINT, "fecha", measures, slice_rows)
+    masked = mask_sentinel(typed, measures)
+    # A point may have a day twice: a hash of the row settles which comes first.
+    tied = masked.withColumn("_tie", row_hash(masked))
+    filled = fill(tied, POINT, ["fecha", "_tie"], measures, slice_rows).drop("_tie")
     return drop_null(filled, ["alcaldia"])

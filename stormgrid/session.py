@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import atexit
 import os
+import shutil
 import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
@@ -35,8 +37,9 @@ def local_session(cores: int | str = "*", **extra: str) -> SparkSession:
 def shared_dir(spark: SparkSession) -> str:
     """The folder the cluster shares for intermediate tables.
 
-    A machine-local folder is only chosen where the session names none, which
-    is the case of tests on one machine.
+    A session on one machine may name none; it then gets a temporary folder that is
+    removed when the process ends.  On a cluster that is refused, since executors
+    would not see the folder.
     """
     named = spark.conf.get("spark.checkpoint.dir", None)
     if named:
@@ -44,7 +47,11 @@ def shared_dir(spark: SparkSession) -> str:
     current = spark.sparkContext.getCheckpointDir()
     if current:
         return current
+    master = spark.sparkContext.master
+    if master != "local" and not master.startswith("local["):
+        raise RuntimeError("name the shared folder in spark.checkpoint.dir")
     folder = tempfile.mkdtemp(prefix="stormgrid-")
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
     spark.sparkContext.setCheckpointDir(folder)
     return folder
 

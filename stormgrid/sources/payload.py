@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -41,11 +41,22 @@ def explode_parameters(
     maps = F.col(payload)
     top = payload.split(".")[0]
     others = [c for c in df.columns if c != top]
-    days = df.withColumn("fecha", F.explode(F.map_keys(F.try_element_at(maps, F.lit(anchor)))))
-    return days.select(
-        "fecha", *others,
-        *[
-            F.try_element_at(F.try_element_at(maps, F.lit(code)), F.col("fecha")).alias(name)
-            for code, name in codes_to_names.items()
-        ],
-    )
+    empty = F.from_json(F.lit("{}"), "map<string,double>")
+
+    def values(code: str) -> Column:
+        return F.coalesce(F.try_element_at(maps, F.lit(code)), empty)
+
+    # The parameters' maps are merged day by day, each map once, and days are exploded at the end.
+    merged = F.transform_values(values(anchor), lambda _, v: F.struct(F.lit(True).alias("_day")))
+    held: list[str] = ["_day"]
+    for code, name in codes_to_names.items():
+        merged = F.map_zip_with(merged, values(code), _joined(list(held), name))
+        held.append(name)
+    known = F.map_filter(merged, lambda _, v: v["_day"])
+    days = df.select(*others, F.explode(known).alias("fecha", "_values"))
+    return days.select("fecha", *others, *[F.col("_values")[n].alias(n) for n in codes_to_names.values()])
+
+
+def _joined(held: list[str], name: str):
+    """Merge of a day's values so far with its value of one more parameter."""
+    return lambda _, a, b: F.struct(*[a[h].alias(h) for h in held], b.alias(name))

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 _FEATURES = """
     features array<struct<
@@ -46,12 +47,21 @@ def with_edges(df: DataFrame, rings: str = "rings") -> DataFrame:
 def read_regions(spark: SparkSession, path: str, name_field: str = "NOMGEO") -> DataFrame:
     """(ordinal, <name_field>, geometry, edges, bbox) from GeoJSON feature collections.
 
-    ``ordinal`` is the position in the collection; ``geometry`` keeps the GeoJSON
-    text for serving.
+    ``ordinal`` is the position in the collection; over several files it goes on in
+    the order of their names.  ``geometry`` keeps the GeoJSON text for serving.  A
+    collection is read as one row, so its features are dealt out before anything
+    is computed from them.
     """
+    files = spark.read.schema(_FEATURES).option("multiLine", True).json(path).select(
+        F.input_file_name().alias("file"), "features"
+    )
+    sizes = files.select("file", F.coalesce(F.size("features"), F.lit(0)).alias("n"))
+    before = Window.orderBy("file").rowsBetween(Window.unboundedPreceding, -1)
+    starts = sizes.select("file", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("start"))
     features = (
-        spark.read.schema(_FEATURES).option("multiLine", True).json(path)
-        .select(F.posexplode("features").alias("ordinal", "f"))
+        files.select("file", F.posexplode("features").alias("at", "f")).join(starts, "file")
+        .select((F.col("start") + F.col("at")).cast("int").alias("ordinal"), "f")
+        .repartition("ordinal")
     )
     shape, text = F.col("f.geometry.type"), F.col("f.geometry.coordinates")
     polygon = F.from_json(text, "array<array<array<double>>>")

@@ -31,13 +31,13 @@ def read_csv(
     null_tokens: Iterable[str] = D.NULL_TOKENS,
     date_cols: Sequence[str] = (),
     date_formats: Iterable[str] = D.DAY_FORMATS,
-    multi_line: bool = True,
+    multi_line: bool = False,
 ) -> DataFrame:
     """Header CSV by column name: text first, then null words, then types.
 
     Columns named in ``schema`` or ``date_cols`` are converted, values that do not
-    fit become null, other columns stay text.  ``multi_line=False`` lets Spark
-    split large files; use it when no quoted field holds a line break.
+    fit become null, other columns stay text.  Large files are split; where quoted
+    fields hold line breaks ``multi_line=True`` reads a file as one piece.
     """
     text = (
         spark.read.option("header", True).option("encoding", encoding)

@@ -17,7 +17,7 @@ def test_csv_by_name_with_missing_words_and_quotes(spark, tmp_path):
         'fecha,x,nota,extra\n2021-01-02,1.5,"dos\nlíneas, ""sí""",k\nNA,n/d,NULL,\n'.encode("latin-1")
     )
     schema = T.StructType([T.StructField("x", T.DoubleType()), T.StructField("falta", T.LongType())])
-    df = read_csv(spark, str(path), schema, encoding="ISO-8859-1", date_cols=["fecha"])
+    df = read_csv(spark, str(path), schema, encoding="ISO-8859-1", date_cols=["fecha"], multi_line=True)
     assert df.dtypes == [("fecha", "date"), ("x", "double"), ("nota", "string"), ("extra", "string")]
     assert rows(df) == [
         (datetime.date(2021, 1, 2), 1.5, 'dos\nlíneas, "sí"', "k"), (None, None, None, None),

@@ -151,7 +151,7 @@ def test_train_score_and_cube(spark, tmp_path):
     assert run.report.count() == 5
     assert 0.0 <= run.auc.first()["auc"] <= 1.0
     path = str(tmp_path / "cube")
-    write_cube(run.predictions, path)
+    write_cube(run.predictions, path, "probabilidad_lluvia_intensa")
     assert spark.read.parquet(f"{path}/fact_risk").count() == 240
     assert spark.read.parquet(f"{path}/dim_time").count() == 120
     assert spark.read.parquet(f"{path}/dim_region").count() == 2

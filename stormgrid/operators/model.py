@@ -77,6 +77,8 @@ def class_weights(df: DataFrame, label: str) -> DataFrame:
 def scaling(df: DataFrame, cols: Sequence[str]) -> dict[str, tuple[float, float]]:
     """column -> (mean, population standard deviation); a constant column gets 1."""
     cols = list(cols)
+    if not cols:
+        return {}
     row = df.agg(
         *[F.avg(c).alias(f"m{i}") for i, c in enumerate(cols)],
         *[F.stddev_pop(c).alias(f"s{i}") for i, c in enumerate(cols)],

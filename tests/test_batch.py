@@ -58,3 +58,55 @@ def test_stage_profile(spark):
         ("min", "fecha"): "2021-01-01", ("max", "fecha"): "2021-01-01",
     }
     assert len(rows(stage_profile(df))) == 9
+
+
+def test_coordinates_are_numbers_before_anything_is_joined(spark, tmp_path):
+    from stormgrid.plans.weather import clean_weather
+    from stormgrid.sources.regions import read_regions
+
+    (tmp_path / "r.geojson").write_text(json.dumps({"features": [
+        {"properties": {"NOMGEO": "A"}, "geometry": {"type": "Polygon", "coordinates": _ring(-99.5)}}]}))
+    lines = [("20210101", "19.250", "-99.4", "5"), ("20210102", "19.25", "-99.40", "-999"), ("20210103", "n/d", "-99.4", "1"),
+             ("20210103", "19.25", None, "1")]
+    raw = spark.createDataFrame([(*x[:3], x[3], "20", "50", "3", "8", "77") for x in lines],
+                                "fecha string, lat string, lon string, precip string, temp string, humedad string, "
+                                "viento string, radiacion string, presion string")
+    out = clean_weather(raw, read_regions(spark, str(tmp_path / "r.geojson")), 0.05)
+    assert dict(out.dtypes)["lat"] == "double"
+    assert rows(out.select("fecha", "lat", "precip")) == [
+        (datetime.date(2021, 1, 1), 19.25, 5.0), (datetime.date(2021, 1, 2), 19.25, 5.0)]
+
+
+def test_call_days_of_many_shapes(spark):
+    from stormgrid import defaults as D
+    from stormgrid.plans.calls import clean_calls, unread_days
+
+    days = ["13/01/2019", "01/02/2019", "2019-01-02T03:04:05Z", "2019-01-02 03:04:05+00:00", "2019/01/02 10:30",
+            "01/02/2019 03:04:05 PM", "pendiente"]
+    raw = spark.createDataFrame(
+        [(f"f{i}", d, "Centro", "19.3", "-99.1", "Inundación", "A") for i, d in enumerate(days)],
+        "folio string, fecha_creacion string, alcaldia_cierre string, latitud string, longitud string, "
+        "incidente_c4 string, codigo_cierre string")
+    assert clean_calls(raw).count() == 5  # day first is a choice
+    assert clean_calls(raw, day_formats=["d/M/yyyy", *D.DAY_FORMATS]).count() == 6
+    assert rows(unread_days(raw)) == [(7, 2)]
+
+
+def test_no_silent_local_folder_on_a_cluster(spark, monkeypatch):
+    import pytest
+
+    from stormgrid import session
+
+    class Context:
+        master = "spark://host:7077"
+
+        @staticmethod
+        def getCheckpointDir():
+            return None
+
+    class Session:
+        sparkContext = Context()
+        conf = type("Conf", (), {"get": staticmethod(lambda key, default=None: default)})()
+
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        session.shared_dir(Session())

@@ -88,3 +88,15 @@ def test_score_table(spark, training):
     ranks = [rank[r["riesgo"]] for r in by_p]
     assert ranks == sorted(ranks)
     assert all((r["probabilidad_lluvia_intensa"] >= 0.5) == r["prediccion_lluvia_intensa"] for r in got)
+
+
+def test_more_categories_than_any_list(spark):
+    """12,000 categories, numbered in order over several ranges."""
+    from stormgrid.operators.model import category_index
+
+    df = spark.range(12_000).select(F.format_string("c%05d", F.col("id") * 7 % 12_000).alias("c"), (F.col("id") % 2).cast("int").alias("y"))
+    index = category_index(df.unionAll(df), "c")
+    assert index.filter("n <> cast(substring(c, 2) as int)").count() == 0 and index.count() == 12_000
+    model = op.fit(df, ["c"], [], "y", max_iter=2)
+    scored = op.positive_probability(model, df.withColumn("c", F.when(F.col("y") == 0, F.lit("new")).otherwise(F.col("c"))))
+    assert scored.count() == 12_000 and scored.filter("y = 0").select("p").distinct().count() == 1

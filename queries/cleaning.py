@@ -10,6 +10,7 @@ from stormgrid.functions import (
     at_least, calendar, in_months, log1p0, normalize_ascii, normalize_key, normalize_text,
     parse_day, parse_ymd, to_int, to_number,
 )
+from stormgrid.functions.text import fold
 from stormgrid.operators import (
     difference, distinct_by, drop_null, keep_bbox, keep_nonempty, present, product,
     weighted_sum, zero_fill_int,
@@ -28,8 +29,11 @@ from stormgrid.streaming.landing import land_payloads
     FROM doblado
 """)
 def accent_fold(spark, sf_dir):
+    """Folded once behind a generator: folding what is folded is a length comparison."""
     text = F.col("text")
-    return table(spark, sf_dir, "documents").select(
+    folded = table(spark, sf_dir, "documents").select(
+        F.inline(F.array(F.struct("doc_id", fold(text).alias("text")))))
+    return folded.select(
         "doc_id",
         F.md5(normalize_key(text)).alias("clave"),
         F.md5(normalize_text(text)).alias("etiqueta"),

@@ -9,6 +9,7 @@ from queries.inputs import (
 from queries.registry import ORACLES, query
 from stormgrid import defaults as D
 from stormgrid import operators as op
+from stormgrid.operators.model import category_index
 from stormgrid.plans.calls import clean_calls
 from stormgrid.plans.weather import clean_weather, weather_from_payloads
 from stormgrid.session import table_path
@@ -76,6 +77,16 @@ def _order_points(spark, sf_dir):
     return table(spark, sf_dir, "orders").withColumns(point("o_custkey")).select("o_orderkey", "lat", "lon")
 
 
+@query("""
+    SELECT event_id, user_id, CAST(dense_rank() OVER (ORDER BY user_id) - 1 AS BIGINT) AS n
+    FROM events
+""")
+def category_numbers(spark, sf_dir):
+    """Numbers of a category as the encoder gives them, joined back to the rows."""
+    events = table(spark, sf_dir, "events").select("event_id", "user_id")
+    return op.lookup_join(events, category_index(events, "user_id").withColumn("n", F.col("n").cast("long")), ["user_id"])
+
+
 @query(_LOCATED)
 def spatial_shuffled(spark, sf_dir):
     """Points and cells both shuffled by cell, as for a cell table too large to broadcast."""

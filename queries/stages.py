@@ -164,8 +164,6 @@ def risk_report(spark, sf_dir):
 def risk_evaluation(spark, sf_dir):
     """Hold-out figures of the same run in one row."""
     run = train_and_score(features(spark, sf_dir))
-    figures = run.metrics.first().asDict()
-    auc = run.auc.first()["auc"]
     return run.metrics.select(
-        F.lit(run.threshold).alias("threshold"), *figures, F.lit(auc).alias("auc")
+        F.lit(run.threshold).alias("threshold"), *run.metrics.columns, run.auc.scalar().alias("auc")
     )

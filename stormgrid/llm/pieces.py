@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 import json
 import re
 
@@ -20,8 +21,13 @@ _L, _N, _S = "A-Za-zªµºÀ-ÖØ-öø-ÿ", "0-9²³¹¼½¾", r"\t-\r \x85\xa0"
 _LATIN = re.compile(
     rf"'(?:[stmd]|re|ve|ll)| ?[{_L}]+| ?[{_N}]+| ?[^{_S}{_L}{_N}]+|[{_S}]+(?![^{_S}])|[{_S}]+"
 )
-_ANY = regex.compile(PATTERN.replace(r"\s", r"\p{White_Space}").replace(r"\S", r"\P{White_Space}")
-                     .replace(r"[^\p{White_Space}", r"[^\p{White_Space}"))
+_ANY = regex.compile(PATTERN.replace(r"\s", r"\p{White_Space}").replace(r"\S", r"\P{White_Space}"))
+#: Blocks whose characters have had the same classes for many versions of Unicode.  Other
+#: characters are split by the library's own splitter, since its version may be another.
+_SETTLED = re.compile(
+    "[\x00-\u052f\u0531-\u0556\u0561-\u0586\u2000-\u206e\u20a0-\u20b5\u2100-\u214f\u2190-\u21ff"
+    "\u2200-\u22ff\u3041-\u3096\u3099-\u30ff\u4e00-\u9fa5\uac00-\ud7a3\U0001f300-\U0001f5ff\U0001f600-\U0001f64f]*"
+)
 _RUN_LATIN = re.compile(rf"[{_S}]{{2,}}(?=[^{_S}])")
 _RUN_ANY = regex.compile(r"\p{White_Space}{2,}(?=\P{White_Space})")
 
@@ -43,7 +49,21 @@ def split(text: str) -> list[str]:
             out.append(SPECIAL)
             out += split(part)
         return out
-    return (_LATIN if _latin(text) else _ANY).findall(text)
+    if _latin(text):
+        return _LATIN.findall(text)
+    return _ANY.findall(text) if _SETTLED.fullmatch(text) else _by_library(text)
+
+
+@functools.cache
+def _splitter():
+    from tokenizers.pre_tokenizers import ByteLevel
+
+    return ByteLevel(add_prefix_space=False, use_regex=True), byte_alphabet()
+
+
+def _by_library(text: str) -> list[str]:
+    library, stand_in = _splitter()
+    return [bytes(stand_in[c] for c in piece).decode("utf-8") for piece, _ in library.pre_tokenize_str(text)]
 
 
 def white_runs(text: str):
@@ -59,6 +79,37 @@ def byte_alphabet() -> dict[str, int]:
     return out | {chr(256 + i): b for i, b in enumerate(others)}
 
 
+class Endings:
+    """Tokens by their last symbols: a trie read backwards from an end."""
+
+    def __init__(self, tokens: dict):
+        self.next: list[dict] = [{}]
+        self.token = [-1]
+        for token, number in tokens.items():
+            node = 0
+            for symbol in reversed(token):
+                below = self.next[node]
+                node = below.get(symbol)
+                if node is None:
+                    node = below[symbol] = len(self.next)
+                    self.next.append({})
+                    self.token.append(-1)
+            self.token[node] = number
+
+    def at(self, text, end: int) -> list[tuple[int, int]]:
+        """(start, token) of the tokens of the text that end there, the shortest first."""
+        found, node, i = [], 0, end - 1
+        following, tokens = self.next, self.token
+        while i >= 0:
+            node = following[node].get(text[i])
+            if node is None:
+                break
+            if tokens[node] >= 0:
+                found.append((i, tokens[node]))
+            i -= 1
+        return found
+
+
 class BytePairs:
     """Vocabulary and merge order of a byte-level model file, and the rule which tokens may meet."""
 
@@ -73,13 +124,10 @@ class BytePairs:
         self.ids = {b: i for t, i in model["vocab"].items() if (b := plain(t)) is not None}
         merges = (m if isinstance(m, list) else m.split(" ") for m in model["merges"])
         self.rank = {(plain(a), plain(b)): r for r, (a, b) in enumerate(merges)}
-        self.longest = max(map(len, self.ids))
-        self.by_end: dict[int, list[int]] = {}
-        lengths: dict[int, set[int]] = {}
-        for token in self.ids:
-            lengths.setdefault(token[-1], set()).add(len(token))
-        self.by_end = {c: sorted(found, reverse=True) for c, found in lengths.items()}
-        self._meet: dict[tuple[bytes, bytes], bool] = {}
+        self.bytes_of = {i: token for token, i in self.ids.items()}
+        self.bytes_of[-1] = b""
+        self.endings = Endings(self.ids)
+        self._meet: dict[int, bool] = {}
 
     def merged(self, text: bytes) -> list[bytes]:
         """Merge by rank, one pair at a time; only for texts of two tokens."""
@@ -100,33 +148,41 @@ class BytePairs:
             parts = out
         return parts
 
-    def meets(self, left: bytes, right: bytes) -> bool:
-        """Whether the two tokens side by side are what their joint text is encoded to."""
-        known = self._meet.get((left, right))
+    def meets(self, left: int, right: int) -> bool:
+        """Whether the two tokens side by side are what their joint text is encoded to; -1: none."""
+        known = self._meet.get(left << 32 | right)
         if known is None:
-            if len(self._meet) > 2_000_000:
+            if len(self._meet) > 1_000_000:
                 self._meet.clear()
-            known = self._meet[left, right] = self.merged(left + right) == ([left, right] if left else [right])
+            a, b = self.bytes_of[left], self.bytes_of[right]
+            known = self._meet[left << 32 | right] = self.merged(a + b) == ([a, b] if a else [b])
         return known
 
-    def prefix_tokens(self, piece: bytes) -> tuple[list[int], list[bytes]]:
-        """Token count of every byte prefix of a piece, and the last token of each.
+    def prefix_tokens(self, pieces: list[bytes]) -> dict[bytes, list[int]]:
+        """Token counts of all byte prefixes, the empty one first, of each piece.
 
         The encoding of a prefix ends in the one token that ends there and may follow the last
         token of the prefix before it; so each prefix takes a look at the tokens ending there.
+        Pieces are gone through in order, and what two have in common is counted once.
         """
-        ids, meets, by_end = self.ids, self.meets, self.by_end
-        count, last = [0], [b""]
-        for end in range(1, len(piece) + 1):
-            for size in by_end[piece[end - 1]]:
-                start = end - size
-                if start >= 0:
-                    token = piece[start:end]
-                    if token in ids and meets(last[start], token):
+        at, known, meets = self.endings.at, self._meet, self.meets
+        out = {}
+        count, last, before = [0], [-1], b""
+        for piece in sorted(pieces):
+            same, most = 0, min(len(piece), len(before))
+            while same < most and piece[same] == before[same]:
+                same += 1
+            count, last = count[:same + 1], last[:same + 1]
+            for end in range(same + 1, len(piece) + 1):
+                for start, token in reversed(at(piece, end)):
+                    left = last[start]
+                    meet = known.get(left << 32 | token)
+                    if meet or (meet is None and meets(left, token)):
                         count.append(count[start] + 1)
                         last.append(token)
                         break
-        return count, last
+            out[piece], before = count, piece
+        return out
 
 
 class Numbered(dict):

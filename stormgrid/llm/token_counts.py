@@ -12,7 +12,7 @@ from stormgrid.llm.pieces import SPECIAL, BytePairs, Numbered, Runs, split, whit
 from stormgrid.llm.texts import slices, strings
 
 #: Distinct pieces a task remembers before it starts afresh.
-MEMO_PIECES = 300_000
+MEMO_PIECES = 800_000
 #: Code points of output texts per batch handed back.
 OUT_CHARS = 4_000_000
 
@@ -28,60 +28,75 @@ class PrefixCounter:
     def _start(self) -> None:
         self.numbers, self.runs = Numbered(), Runs(np.int32)
 
-    def _piece(self, piece: str) -> list[int]:
-        """Counts at the code point ends of a piece that stands alone."""
-        if piece == SPECIAL:
-            return [0] * (len(SPECIAL) - 1) + [1]
-        data = piece.encode("utf-8", "surrogatepass")
-        count, _ = self.pairs.prefix_tokens(data)
-        if piece[0] == "'" and len(piece) > 2 and piece[1].isalpha():
-            # A contraction is a piece of its own, its beginning is an apostrophe and a word.
-            return [1, 2, count[-1]]
-        if len(data) == len(piece):
-            return count[1:]
-        ends = np.cumsum([len(c.encode("utf-8", "surrogatepass")) for c in piece])
-        return [count[e] for e in ends]
-
-    def _numbered(self, pieces: list[str]) -> np.ndarray:
-        out = np.fromiter(map(self.numbers.__getitem__, pieces), np.int64, len(pieces))
-        if self.numbers.fresh:
-            self.runs.add([self._piece(p) for p in self.numbers.fresh])
-            self.numbers.fresh = []
-        return out
-
-    def _plain(self, text: str) -> np.ndarray:
-        """Counts of all prefixes of a text without special strings."""
-        if not text:
+    def _learn(self) -> None:
+        """Counts at the code point ends of the pieces not met before, each standing alone."""
+        fresh, self.numbers.fresh = self.numbers.fresh, []
+        data = [p.encode("utf-8", "surrogatepass") for p in fresh]
+        counts = self.pairs.prefix_tokens(data)
+        runs = []
+        for piece, held in zip(fresh, data):
+            count = counts[held]
+            if piece == SPECIAL:
+                runs.append([0] * (len(SPECIAL) - 1) + [1])
+            elif piece[0] == "'" and len(piece) > 2 and piece[1].isalpha():
+                # A contraction is a piece of its own, its beginning is an apostrophe and a word.
+                runs.append([1, 2, count[-1]])
+            elif len(held) == len(piece):
+                runs.append(count[1:])
+            else:
+                ends, at = [], 0
+                for c in piece:
+                    at += len(c.encode("utf-8", "surrogatepass"))
+                    ends.append(count[at])
+                runs.append(ends)
+        self.runs.add(runs)
+
+    def _mark(self, text: str) -> tuple[np.ndarray, list[tuple[int, int, int]]]:
+        """Numbers of the pieces of a text without special strings, and its white runs."""
+        pieces = split(text) if text else []
+        numbers = np.fromiter(map(self.numbers.__getitem__, pieces), np.int64, len(pieces))
+        # A prefix that ends with a white run has it in one piece.
+        runs = [(m.start(), m.end(), self.numbers[m.group()]) for m in white_runs(text)]
+        return numbers, runs
+
+    def _table(self, numbers: np.ndarray, white: list[tuple[int, int, int]]) -> np.ndarray:
+        if not len(numbers):
             return np.zeros(0, np.int32)
-        counts, sizes = self.runs.take(self._numbered(split(text)))
-        ends = np.cumsum(sizes)
-        totals = counts[ends - 1]
+        counts, sizes = self.runs.take(numbers)
+        totals = counts[np.cumsum(sizes) - 1]
         out = counts + np.repeat(np.cumsum(totals) - totals, sizes).astype(np.int32)
-        for run in white_runs(text):  # a prefix that ends with the run has it in one piece
-            before = int(out[run.start() - 1]) if run.start() else 0
-            whole, _ = self.runs.take(self._numbered([run.group()]))
-            out[run.end() - 1] = before + int(whole[-1])
+        if white:
+            starts, ends, which = (np.array(x) for x in zip(*white))
+            whole = self.runs.values[self.runs.ends[which] - 1]
+            # Runs do not touch, so the count before one is not changed by another.
+            out[ends - 1] = np.where(starts > 0, out[starts - 1], 0) + whole
         return out
 
-    def counts(self, text: str) -> np.ndarray:
-        """``counts(text)[i]``: tokens of the first i + 1 code points, as encoded on their own."""
+    def tables(self, texts: list[str]) -> list[np.ndarray]:
+        """``tables([text])[0][i]``: tokens of the first i + 1 code points, as encoded on their own."""
         if len(self.numbers) > self.memo_pieces:
             self._start()
-        if SPECIAL not in text:
-            return self._plain(text)
-        out, base = [], 0
-        parts = text.split(SPECIAL)
-        for i, part in enumerate(parts):
+        marks = []
+        for text in texts:
             # While a special string is not complete its characters are ordinary text.
-            cut = SPECIAL[:-1] if i < len(parts) - 1 else ""
-            counts = self._plain(part + cut)
+            *others, last = text.split(SPECIAL)
+            marks.append([*(self._mark(part + SPECIAL[:-1]) for part in others), self._mark(last)])
+        self._learn()
+        return [self._table(*own[0]) if len(own) == 1 else self._joined(text, own) for text, own in zip(texts, marks)]
+
+    def _joined(self, text: str, marks: list) -> np.ndarray:
+        out, base = [], 0
+        for part, mark in zip(text.split(SPECIAL), marks):
+            counts = self._table(*mark)
             out.append(base + counts)
-            if cut:
-                whole = self._plain(part)
-                base += (int(whole[-1]) if len(whole) else 0) + 1
+            if mark is not marks[-1]:
+                base += (int(counts[len(part) - 1]) if part else 0) + 1
                 out.append(np.array([base], np.int32))
         return np.concatenate(out).astype(np.int32)
 
+    def counts(self, text: str) -> np.ndarray:
+        return self.tables([text])[0]
+
 
 _COUNTERS: dict[str, PrefixCounter] = {}
 
@@ -114,8 +129,8 @@ def prefix_counts(
             for part in slices(batch):
                 at, held, ids = 0, [], part.column(0)
                 chars = 0
-                for i, text in enumerate(strings(part.column(1))):
-                    counts = counter.counts(text)
+                texts = strings(part.column(1))
+                for i, (text, counts) in enumerate(zip(texts, counter.tables(texts))):
                     fits = [int(np.flatnonzero(counts <= n)[-1]) + 1 if len(counts) and counts[0] <= n else 0
                             for n in limits]
                     held.append((len(text.encode("utf-8", "surrogatepass")), len(text),

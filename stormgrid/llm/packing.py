@@ -26,7 +26,7 @@ from stormgrid.llm.texts import slices, strings
 
 TIERS = (256, 512, 1024, 2048)
 STEP_TOKENS = 1 << 16
-MEMO_PIECES = 300_000
+MEMO_PIECES = 800_000
 
 
 class PieceIds:
@@ -67,15 +67,18 @@ class PieceIds:
                 out[i] = ids[a:b] if pieces[i][0] == " " else ids[a + len(self.newline):b]
         return out
 
-    def ids(self, text: str) -> np.ndarray:
+    def ids(self, texts: list[str]) -> list[np.ndarray]:
+        """Ids of each text; pieces none of them had before are encoded together."""
         if len(self.numbers) > self.memo_pieces:
             self._start()
-        pieces = split(text)
-        numbers = np.fromiter(map(self.numbers.__getitem__, pieces), np.int64, len(pieces))
-        if self.numbers.fresh:
-            self.runs.add(self._encode(self.numbers.fresh))
-            self.numbers.fresh = []
-        return self.runs.take(numbers)[0]
+        marked = []
+        for text in texts:
+            pieces = split(text)
+            marked.append(np.fromiter(map(self.numbers.__getitem__, pieces), np.int64, len(pieces)))
+        fresh, self.numbers.fresh = self.numbers.fresh, []
+        if fresh:
+            self.runs.add(self._encode(fresh))
+        return [self.runs.take(numbers)[0] for numbers in marked]
 
 
 class Packer:
@@ -173,8 +176,7 @@ def pack(
         n = 0
         for batch in batches:
             for part in slices(batch, 256):
-                for doc_id, text in zip(part.column(0), strings(part.column(1))):
-                    ids = library.ids(text)
+                for doc_id, ids in zip(part.column(0), library.ids(strings(part.column(1)))):
                     ids = np.append(ids, ids.dtype.type(end_id))
                     documents[n] = doc_id, ids
                     packer.add(n, len(ids))

@@ -14,8 +14,9 @@ LIBRARY = Tokenizer.from_file(PATH)
 def test_ids_are_the_library_s():
     texts = ["", " a", "it's  ok\n\nyes", "é 漢字 12", "<|endoftext|>x", "a b", "tab\tword", "  two  ", "'ll we'll"]
     found = PieceIds(PATH, memo_pieces=4)
-    for text in texts * 2:
-        assert found.ids(text).tolist() == LIBRARY.encode(text, add_special_tokens=False).ids
+    for some in (texts, texts[:1], [], texts[1:] * 2):
+        for text, ids in zip(some, found.ids(some)):
+            assert ids.tolist() == LIBRARY.encode(text, add_special_tokens=False).ids
 
 
 @pytest.mark.parametrize("sizes", [[], [1], [2048], [4096 + 300], [5000, 1, 1, 900, 2047, 300], [7] * 3000])

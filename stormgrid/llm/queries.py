@@ -114,17 +114,16 @@ def op8_sentence_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path(PIECE_BPE)
     documents = table(spark, sf_dir, "documents")
     parts = encode(documents, path)
-    # Giant documents apart, so that neither kind is encoded twice.
-    whole = decode(parts.filter(F.col("row").isNull()), path, keep_ids=True).select(
-        "doc_id", "ids", "text", F.lit(1).cast("long").alias("n_parts"))
-    split = decode(parts.filter(F.col("row").isNotNull()), path, keep_ids=True).groupBy("row").agg(
-        F.first("doc_id").alias("doc_id"), F.sort_array(F.collect_list(F.struct("part", "ids", "text"))).alias("p"))
-    joined = split.select(
-        "doc_id", F.aggregate("p", F.lit(b""), lambda a, x: F.concat(a, x["ids"])).alias("ids"),
-        F.array_join(F.transform("p", lambda x: x["text"]), "").alias("text"), F.size("p").cast("long").alias("n_parts"))
-    return whole.union(joined).select(
+    # Giant documents apart, so that neither kind is encoded twice; their parts meet as ids.
+    giant = parts.filter(F.col("row").isNotNull()).groupBy("row").agg(
+        F.first("doc_id").alias("doc_id"), F.sort_array(F.collect_list(F.struct("part", "ids"))).alias("p"))
+    joined = giant.select(
+        "doc_id", "row", F.lit(0).cast("long").alias("part"),
+        F.aggregate("p", F.lit(b""), lambda a, x: F.concat(a, x["ids"])).alias("ids"))
+    texts = decode(parts.filter(F.col("row").isNull()), path, keep_ids=True).union(decode(joined, path, keep_ids=True))
+    return texts.select(
         "doc_id", (F.octet_length("ids") / 4).cast("long").alias("n_pieces"), F.crc32("ids").alias("ids_crc32"),
-        "n_parts", F.sha2("text", 256).alias("decoded_sha256"))
+        F.sha2("text", 256).alias("decoded_sha256"))
 
 
 @query()

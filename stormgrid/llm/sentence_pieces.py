@@ -29,13 +29,12 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
 from stormgrid.llm.pieces import Endings, Numbered, Runs
-from stormgrid.llm.texts import slices, strings
-from stormgrid.session import materialize
+from stormgrid.llm.texts import slices, strings, written
 
 MARK = "▁"
 CHUNK = 1 << 14
 BLOCK = 256
-MEMO_WORDS = 800_000
+MEMO_WORDS = 250_000
 _WORD = re.compile(f"{MARK}+[^{MARK}]*|[^{MARK}]+")
 NORMAL, UNKNOWN, BYTE = 1, 2, 6
 
@@ -108,7 +107,7 @@ class Pieces:
         """Whether two pieces, by number, may be neighbours; -1 stands for a cut."""
         known = self._meet.get(left << 32 | right)
         if known is None:
-            if len(self._meet) > 1_000_000:
+            if len(self._meet) > 400_000:
                 self._meet.clear()
             a, b = self.text_of[left], self.text_of[right]
             known = self._meet[left << 32 | right] = self.merged(a + b) == ([a, b] if a else [b])
@@ -450,8 +449,8 @@ def encode(
     small = rows.filter(~giant).mapInArrow(whole, f"id {kind.simpleString()}, part bigint, ids binary").withColumn(
         "row", F.lit(None).cast("long"))
     # Giant documents get a number of their own, so that ids may repeat or be null.
-    numbered = materialize(rows.filter(giant).withColumn("doc", F.monotonically_increasing_id()))
-    chunks = materialize(_with_matrices(_cut_up(numbered.select("doc", "text"), model, chunk).repartition("doc", "part"), model))
+    numbered = written(rows.filter(giant).withColumn("doc", F.monotonically_increasing_id()))
+    chunks = written(_with_matrices(_cut_up(numbered.select("doc", "text"), model, chunk).repartition("doc", "part"), model))
     blocks = chunks.select("doc", F.floor(F.col("part") / block).alias("block"), "part", "matrix")
     of_block = _products(blocks, "doc", "block")
     ends = [F.lit(0).alias(k) for k in "abcd"]

@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stormgrid.llm.texts import slices, strings
+from stormgrid.llm.texts import hashed_sample, slices, strings
 
 # Elements by their role in a page.
 INLINE = set("a abbr acronym b bdi bdo big br cite code data del dfn em font i img ins kbd label mark q rp rt "
@@ -45,9 +45,11 @@ HIDDEN = 16
 NUMBERS = 6
 FIT_PAGES = 240
 FIT_CHARS = 100_000
-EPOCHS = 12
+STEPS = 240
+PAGES_A_STEP = 16
 #: Blocks times pages scored at a time.
 PADDED = 1 << 15
+_TAG_BEGINS = re.compile(r"</?[A-Za-z]")
 _NAME = re.compile(r"[a-z0-9]+")
 
 
@@ -125,6 +127,9 @@ class _Leaves(HTMLParser):
 def blocks(html: str) -> list[Block]:
     """Leaf blocks in page order; scripts, styles, form controls and markup give none."""
     parser = _Leaves()
+    last = html.rfind("<")
+    if last > html.rfind(">") and _TAG_BEGINS.match(html, last):  # a tag that never ends is no text
+        html = html[:last]
     parser.feed(html)
     parser.close()
     parser._flush()
@@ -330,7 +335,7 @@ def varied(page: list[Block], labels: list[bool], rng: np.random.Generator) -> t
         out.append((Block(b.text, path, b.linked), y))
     others = [b for b, y in zip(page, labels) if not y]
     texts = [b for b, y in zip(page, labels) if y]
-    for _ in range(int(rng.integers(0, 4))):
+    for _ in range(int(rng.integers(0, 7))):
         source = others if others and (not texts or rng.random() < 0.5) else texts
         if not source:
             break
@@ -341,7 +346,7 @@ def varied(page: list[Block], labels: list[bool], rng: np.random.Generator) -> t
     return [b for b, _ in out], [y for _, y in out]
 
 
-def train(pages: list[str], epochs: int = EPOCHS, seed: int = 7) -> Labeller:
+def train(pages: list[str], steps: int = STEPS, seed: int = 7) -> Labeller:
     """Fit on the silver labels of some pages by Adam, in a fixed order."""
     rng = np.random.default_rng(seed)
     model = Labeller.fresh(rng)
@@ -350,17 +355,17 @@ def train(pages: list[str], epochs: int = EPOCHS, seed: int = 7) -> Labeller:
         return model
     first = {k: np.zeros_like(v) for k, v in model.w.items()}
     second = {k: np.zeros_like(v) for k, v in model.w.items()}
-    step = 0
-    for epoch in range(epochs):
-        order = rng.permutation(len(read))
-        for at in range(0, len(order), 16):
-            some = [read[i] if epoch == 0 else varied(*read[i], rng) for i in order[at:at + 16]]
-            grad = model.gradients([sequence(b) for b, _ in some], [np.array(y, np.float32) for _, y in some])
-            step += 1
-            for k, g in grad.items():
-                first[k] = 0.9 * first[k] + 0.1 * g
-                second[k] = 0.999 * second[k] + 0.001 * g * g
-                model.w[k] -= 0.01 * (first[k] / (1 - 0.9**step)) / (np.sqrt(second[k] / (1 - 0.999**step)) + 1e-8)
+    order: list[int] = []
+    for step in range(1, steps + 1):
+        while len(order) < PAGES_A_STEP:
+            order += rng.permutation(len(read)).tolist()
+        some = [varied(*read[i], rng) if step % 8 else read[i] for i in order[:PAGES_A_STEP]]
+        order = order[PAGES_A_STEP:]
+        grad = model.gradients([sequence(b) for b, _ in some], [np.array(y, np.float32) for _, y in some])
+        for k, g in grad.items():
+            first[k] = 0.9 * first[k] + 0.1 * g
+            second[k] = 0.999 * second[k] + 0.001 * g * g
+            model.w[k] -= 0.01 * (first[k] / (1 - 0.9**step)) / (np.sqrt(second[k] / (1 - 0.999**step)) + 1e-8)
     return model
 
 
@@ -375,9 +380,9 @@ def label_blocks(
     goes; repeated rows are labelled each; other columns are left out.
     """
     usable = pages.filter(F.col(html_col).isNotNull() & (F.char_length(html_col) <= fit_chars))
-    sample = usable.select(F.xxhash64(html_col).alias("at"), F.col(html_col).alias("html")).orderBy("at").limit(fit_pages)
-    sample = sample.collect()
-    model = pages.sparkSession.sparkContext.broadcast(train([r["html"] for r in sorted(sample)]))
+    sample = hashed_sample(
+        usable.select(F.col(id_col).alias("id"), F.col(html_col).alias("html")), F.xxhash64("id", "html"), fit_pages)
+    model = pages.sparkSession.sparkContext.broadcast(train(sorted(r["html"] for r in sample.collect())))
     found = pa.list_(pa.struct([("text", pa.string()), ("path", pa.string()), ("probability", pa.float64())]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

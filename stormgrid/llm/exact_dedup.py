@@ -1,7 +1,9 @@
 """Exact duplicates by sorting contents.
 
 Normalised texts are range-partitioned on sampled splitters and sorted inside the partitions, so
-that equal texts lie side by side; full comparison of neighbours then delimits the groups.
+that equal texts lie side by side; full comparison of neighbours then delimits the groups.  A
+splitter is a text's first characters and the head of its digest, so what is sampled is small
+however long texts are, and texts of one beginning are still kept apart.
 A group can hold any share of the rows, so the sort key ends in a salt: as many salts as there are
 shuffle partitions, hence no piece of a group is larger than an average partition.  Pieces of one
 content are joined by its SHA-256 digest, one row a piece.
@@ -38,11 +40,13 @@ def _groups(df: DataFrame, row_id: Column, text: Column, tie: Column) -> DataFra
         row_id.alias("id"), tie.cast("long").alias("tie"), norm.alias("norm"),
         F.pmod(F.when(row_id.isNull(), F.xxhash64(text)).otherwise(F.xxhash64(row_id)), F.lit(parts))
         .cast("int").alias("salt"),
-    )
+    ).withColumn("text_sha256", F.sha2("norm", 256)).withColumn(
+        "mark", F.concat(F.substring("norm", 1, 16), F.substring("text_sha256", 1, 16)))
     ordered = (F.col("id").asc_nulls_last(), "tie")
-    piece = Window.partitionBy("norm", "salt")
-    pieces = materialize(rows.repartitionByRange("norm", "salt").sortWithinPartitions("norm", "salt").select(
-        "id", "tie", "salt", F.sha2("norm", 256).alias("text_sha256"),
+    piece = Window.partitionBy("mark", "salt", "norm")
+    cut = rows.repartitionByRange("mark", "salt").sortWithinPartitions("mark", "salt", "norm")
+    pieces = materialize(cut.select(
+        "id", "tie", "salt", "text_sha256",
         F.min("id").over(piece).alias("least"), F.count(F.lit(1)).over(piece).alias("n"),
         F.row_number().over(piece.orderBy(*ordered)).alias("nth"),
     ))

@@ -11,6 +11,9 @@ a list of runs of string starts with one anchor each, about one run every 35 byt
 3. Runs of anchors with several contents fetch their bytes from the documents and meet again by
    anchor, or, where an anchor has very many runs, string by string.  A block of runs is sorted as
    suffixes in two stages and adjacent common prefixes of ``length`` bytes or more mark equal strings.
+   A string by itself can be in any share of the documents, so it is a tournament: of equal ones
+   only the earliest goes on from a slice of documents, then from a salt, and those of all salts
+   meet at last.  Whatever drops out on the way has an earlier equal, so it is late.
 4. Late starts are gathered by document and the bytes they cover are cut out.
 """
 
@@ -33,6 +36,8 @@ GRAM = 32
 #: Bytes whose grams are hashed at a time, and bytes of runs sorted at a time.
 SPAN = 1 << 22
 BLOCK_BYTES = 1 << 22
+#: Bytes of documents read, and of single strings listed, at a time.
+SLICE_BYTES = 1 << 23
 #: Runs of one anchor above which its strings are compared one by one.
 HOT_RUNS = 256
 _NO_ID = (1 << 63) - 1
@@ -344,46 +349,113 @@ def _met(runs: DataFrame) -> DataFrame:
     return marked.select(*_RUN_COLUMNS, kind.alias("kind")).filter(F.col("kind") >= KIND_MET)
 
 
-def _with_bytes(documents: DataFrame, runs: DataFrame, length: int, hot_runs: int) -> DataFrame:
-    """Every run with its bytes and the key it is compared under."""
+def _first_of_equal(strings: list[bytes], order: np.ndarray, place: np.ndarray) -> np.ndarray:
+    """Which strings have an equal one before them in ``order``; one at the same place is not before."""
+    first: dict[bytes, int] = {}
+    late = np.zeros(len(strings), bool)
+    for i in order.tolist():
+        at = first.setdefault(strings[i], i)
+        late[i] = at != i and place[at] != place[i]
+    return late
+
+
+def _slices(sizes: np.ndarray, most: int) -> Iterator[slice]:
+    """Slices of rows of at most so many bytes, or of one row."""
+    total = np.concatenate([[0], np.cumsum(sizes)])
+    begin = 0
+    while begin < len(sizes):
+        end = max(begin + 1, int(np.searchsorted(total, total[begin] + most, side="right")) - 1)
+        yield slice(begin, end)
+        begin = end
+
+
+def _unpacked_slices(batch: pa.RecordBatch) -> Iterator[tuple[pa.RecordBatch, list[bytes]]]:
+    """The rows of a batch with their texts, at most 256 at a time and about SLICE_BYTES of text."""
+    unpack = zstandard.ZstdDecompressor().decompress
+    begin, held, size = 0, [], 0
+    for row in range(batch.num_rows):
+        held.append(unpack(batch.column(2)[row].as_py()))
+        size += len(held[-1])
+        if size >= SLICE_BYTES or len(held) == 256 or row == batch.num_rows - 1:
+            yield batch.slice(begin, len(held)), held
+            begin, held, size = row + 1, [], 0
+
+
+def _with_bytes(documents: DataFrame, runs: DataFrame, length: int, hot_runs: int) -> tuple[DataFrame, bool]:
+    """Every run with its bytes and the key it is compared under, and whether there are single strings.
+
+    Single strings have ``single`` set; rows without bytes are known to be late.
+    """
     hot = written(runs.groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > hot_runs).select(
         "key", F.lit(True).alias("hot")))
-    runs = runs.withColumn("hot", F.lit(False)) if hot.isEmpty() else runs.join(hot, "key", "left")
+    none = hot.isEmpty()
+    runs = runs.withColumn("hot", F.lit(False)) if none else runs.join(hot, "key", "left")
     of_document = runs.groupBy("id", "hash").agg(
         F.collect_list(F.struct("key", "low", "count", F.coalesce("hot", F.lit(False)).alias("hot"))).alias("runs"))
+    salts = int(documents.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+
+    def singles(ids, hashes, low, count, at, data) -> Iterator[pa.RecordBatch]:
+        """Runs of very frequent anchors, string by string, under a salted hash of their bytes."""
+        for some in _slices(count * length, SLICE_BYTES):
+            times = count[some]
+            run = np.repeat(np.arange(len(times)), times)
+            nth = np.arange(len(run)) - np.repeat(np.cumsum(times) - times, times)
+            start, i, h = low[some][run] + nth, ids[some][run], hashes[some][run]
+            begin = int(at[some].min())
+            held = data[begin:int((at[some] + times).max()) + length - 1].tobytes()
+            strings = [held[a:a + length] for a in (at[some][run] + nth - begin).tolist()]
+            order = np.lexsort((start, h, i))
+            turn = np.diff(i[order]).astype(bool) | np.diff(h[order]).astype(bool) | np.diff(start[order]).astype(bool)
+            place = np.empty(len(order), np.int64)
+            place[order] = np.cumsum(np.concatenate([[0], turn]))
+            late = _first_of_equal(strings, order, place)
+            first, size, flag = _stretches(late, run)
+            first, size = first[flag], size[flag]
+            go = np.flatnonzero(~late)
+            mixed = (i.view(np.uint64) * _MIX + start.astype(np.uint64)) * _MIX
+            salt = ((mixed >> np.uint64(32)) % np.uint64(salts)).astype(np.int64)
+            key = np.fromiter((xxhash.xxh64_intdigest(strings[g], int(salt[g])) - (1 << 63) for g in go.tolist()), np.int64, len(go))
+            of = np.concatenate([go, first])
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.concatenate([key, mixed[first].view(np.int64)])), pa.array(i[of]), pa.array(h[of]),
+                 pa.array(start[of]), pa.array(np.concatenate([np.ones(len(go), np.int64), size])),
+                 pa.array([strings[g] for g in go.tolist()] + [None] * len(first), pa.binary()),
+                 pa.array(np.ones(len(of), bool))], [*_RUN_COLUMNS, "bytes", "single"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for at in range(0, batch.num_rows, 256):
-                part = batch.slice(at, 256)
-                data, offsets = utf8(_unpacked(part.column(2)))
+            for part, texts in _unpacked_slices(batch):
+                data = np.frombuffer(b"".join(texts), np.uint8)
+                offsets = np.concatenate([[0], np.cumsum([len(t) for t in texts])]).astype(np.int64)
                 lists = part.column(3)
                 of = np.repeat(np.arange(part.num_rows), lists.value_lengths().to_numpy())
                 key, low, count, hot = (lists.flatten().field(k).to_numpy(zero_copy_only=False) for k in range(4))
-                if not len(key):
-                    continue
-                # Strings of very frequent anchors go one by one, under a hash of their bytes.
-                times = np.where(hot, count, 1)
-                one = np.repeat(np.arange(len(key)), times)
-                nth = np.arange(len(one)) - np.repeat(np.cumsum(times) - times, times)
-                low, count, of, hot = low[one] + nth, np.where(hot, 1, count)[one], of[one], hot[one]
-                text, cuts = _bytes_of(data, offsets[of] + low, count + length - 1)
-                key = key[one].copy()
-                held = text.tobytes()
-                for i in np.flatnonzero(hot):
-                    key[i] = xxhash.xxh64_intdigest(held[cuts[i]:cuts[i + 1]]) - (1 << 63)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(key), pa.array(part.column(0).to_numpy()[of]), pa.array(part.column(1).to_numpy()[of]),
-                     pa.array(low), pa.array(count),
-                     pa.Array.from_buffers(pa.binary(), len(key), [None, pa.py_buffer(cuts.astype(np.int32)), pa.py_buffer(held)])],
-                    ["key", "id", "hash", "low", "count", "bytes"])
-
-    return _packed(documents).join(of_document, ["id", "hash"]).mapInArrow(run, f"{_RUN}, bytes binary")
-
+                ids, hashes = part.column(0).to_numpy()[of], part.column(1).to_numpy()[of]
+                turn = np.flatnonzero(hot)
+                yield from singles(ids[turn], hashes[turn], low[turn], count[turn], (offsets[of] + low)[turn], data)
+                rest = np.flatnonzero(~hot)
+                for some in _slices((count + length - 1)[rest], SLICE_BYTES):
+                    r = rest[some]
+                    text, cuts = _bytes_of(data, offsets[of[r]] + low[r], count[r] + length - 1)
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(key[r]), pa.array(ids[r]), pa.array(hashes[r]), pa.array(low[r]), pa.array(count[r]),
+                         pa.Array.from_buffers(pa.binary(), len(r), [None, pa.py_buffer(cuts.astype(np.int32)), pa.py_buffer(text.tobytes())]),
+                         pa.array(np.zeros(len(r), bool))], [*_RUN_COLUMNS, "bytes", "single"])
+
+    rows = _packed(documents).join(of_document, ["id", "hash"]).mapInArrow(run, f"{_RUN}, bytes binary, single boolean")
+    return rows, not none
+
+
+def _late(runs: DataFrame, length: int, block_bytes: int = BLOCK_BYTES) -> DataFrame:
+    """(id, hash, low, count, bytes): stretches of late starts, and with bytes the single strings that go on.
+
+    Runs of one anchor are held until the next begins; of single strings, which can be any number,
+    only those not late so far.
+    """
+    names = ["id", "hash", "low", "count", "bytes"]
 
-def _late(runs: DataFrame, length: int) -> DataFrame:
-    """(id, hash, low, count): stretches of late starts."""
-    def judge(key, ids, hashes, low, count, parts) -> Iterator[pa.RecordBatch]:
+    def judge(key, ids, hashes, low, count, parts, single) -> Iterator[tuple[pa.RecordBatch, np.ndarray]]:
+        """Late stretches block by block, with the rows of single strings that are not late."""
         data = np.frombuffer(b"".join(parts), np.uint8)
         at = np.concatenate([[0], np.cumsum(count + length - 1)])
         for some in _blocks(key, count + length - 1):
@@ -393,34 +465,73 @@ def _late(runs: DataFrame, length: int) -> DataFrame:
             rank[order] = np.cumsum(np.concatenate([[0], (np.diff(i[order]) != 0) | (np.diff(h[order]) != 0)]))
             late, run = late_starts(data[at[some.start]:at[some.stop]], at[some.start:some.stop + 1] - at[some.start], n, rank, a, length)
             first, size, flag = _stretches(late, run)
+            own = run[first[~flag]]
             first, size = first[flag], size[flag]
             of = run[first]
             start = a[of] + first - (np.cumsum(n) - n)[of]
             yield pa.RecordBatch.from_arrays(
-                [pa.array(i[of]), pa.array(h[of]), pa.array(start), pa.array(size)], ["id", "hash", "low", "count"])
+                [pa.array(i[of]), pa.array(h[of]), pa.array(start), pa.array(size), pa.nulls(len(of), pa.binary())],
+                names), own[single[some][own]] + some.start
+
+    def going(rows: np.ndarray, ids, hashes, low, count, parts) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays(
+            [*(pa.array(c[rows]) for c in (ids, hashes, low, count)), pa.array([parts[r] for r in rows.tolist()], pa.binary())], names)
+
+    def judged(columns: list) -> Iterator[pa.RecordBatch]:
+        for found, on in judge(*columns):
+            yield found
+            if len(on):
+                yield going(on, *columns[1:6])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[list] = []
-        size = 0
+        size, most = 0, block_bytes
+
+        def joined() -> list:
+            return [sum(c, []) if k == 5 else np.concatenate(c) for k, c in enumerate(zip(*held))]
+
         for batch in batches:
+            known = batch.filter(batch.column(5).is_null())
+            if known.num_rows:
+                yield pa.RecordBatch.from_arrays(known.columns[1:6], names)
+                batch = batch.filter(batch.column(5).is_valid())
             if not batch.num_rows:
                 continue
-            columns = [batch.column(k).to_numpy() for k in range(5)] + [batch.column(5).to_pylist()]
-            held.append(columns)
+            columns = [batch.column(k).to_numpy(zero_copy_only=False) for k in (0, 1, 2, 3, 4)]
+            held.append([*columns, batch.column(5).to_pylist(), batch.column(6).to_numpy(zero_copy_only=False)])
             size += int(columns[4].sum()) + (length - 1) * batch.num_rows
-            if size >= BLOCK_BYTES:
-                *numbers, parts = (np.concatenate(c) if k < 5 else sum(c, []) for k, c in enumerate(zip(*held)))
-                cut = int(np.searchsorted(numbers[0], numbers[0][-1]))  # the last anchor may go on
+            if size >= most:
+                columns = joined()
+                cut = int(np.searchsorted(columns[0], columns[0][-1]))  # the last anchor may go on
                 if cut:
-                    yield from judge(*(c[:cut] for c in numbers), parts[:cut])
-                held = [[*(c[cut:] for c in numbers), parts[cut:]]]
-                size = int(numbers[4][cut:].sum()) + (length - 1) * (len(parts) - cut)
+                    yield from judged([c[:cut] for c in columns])
+                columns = [c[cut:] for c in columns]
+                if columns[6].all() and len(columns[0]) > 1:  # of one string only the earliest is still wanted
+                    on = []
+                    for found, rows in judge(*columns):
+                        yield found
+                        on.append(rows)
+                    # Strings at one place are one.
+                    on = np.concatenate(on)
+                    on = on[np.unique(np.stack([columns[k][on] for k in (1, 2, 3)]), axis=1, return_index=True)[1]]
+                    columns = [[columns[5][r] for r in on.tolist()] if k == 5 else c[on] for k, c in enumerate(columns)]
+                held = [columns]
+                size = int(columns[4].sum()) + (length - 1) * len(columns[5])
+                most = max(block_bytes, 2 * size)
         if held:
-            *numbers, parts = (np.concatenate(c) if k < 5 else sum(c, []) for k, c in enumerate(zip(*held)))
-            yield from judge(*numbers, parts)
+            yield from judged(joined())
 
     return runs.repartition("key").sortWithinPartitions("key").mapInArrow(
-        run, "id bigint, hash bigint, low bigint, count bigint")
+        run, "id bigint, hash bigint, low bigint, count bigint, bytes binary")
+
+
+def _met_again(rows: DataFrame) -> DataFrame:
+    """Late stretches, where at most one string a salt meets its equals; late ones only pass."""
+    part = F.when(F.col("bytes").isNull(), F.xxhash64("id", "low")).otherwise(0)
+    place = F.struct("id", "hash", "low")
+    earliest = F.first(place).over(Window.partitionBy("bytes", "part").orderBy("id", "hash", "low"))
+    return rows.withColumn("part", part).withColumn("late", F.col("bytes").isNull() | (place > earliest)).filter(
+        "late").select("id", "hash", "low", "count")
 
 
 def late_stretches(documents: DataFrame, length: int = LENGTH, hot_runs: int = HOT_RUNS) -> DataFrame:
@@ -428,7 +539,9 @@ def late_stretches(documents: DataFrame, length: int = LENGTH, hot_runs: int = H
     met = written(_met(_listed(documents, length)))
     waiting = met.filter(F.col("kind") < KIND_LATE).drop("kind")
     at_once = met.filter(F.col("kind") == KIND_LATE).select("id", "hash", "low", "count")
-    return at_once.union(_late(_with_bytes(documents, waiting, length, hot_runs), length))
+    rows, singles = _with_bytes(documents, waiting, length, hot_runs)
+    late = _late(rows, length)
+    return at_once.union(_met_again(late) if singles else late.drop("bytes"))
 
 
 def cut_repeats(

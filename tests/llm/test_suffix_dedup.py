@@ -3,6 +3,9 @@ import random
 import numpy as np
 import pytest
 
+from pyspark.sql import functions as F
+
+from stormgrid.llm import suffix_dedup
 from stormgrid.llm.suffix_dedup import anchor_runs, cut_repeats, late_starts, two_stage_order
 
 
@@ -83,6 +86,39 @@ def test_against_brute_force(spark, awkward, hot_runs):
         assert r["n_bytes"] == len(text) and all(a["end"] < b["start"] for a, b in zip(r["removed"], r["removed"][1:]))
 
 
+def test_frequent_string_is_no_large_group(spark):
+    rng = random.Random(5)
+    passage = "".join(rng.choice("abcdefgh ") for _ in range(140))
+    around = lambda: "".join(rng.choice("uvwxyz") for _ in range(110))
+    made = [(i, around() + passage + around()) for i in range(1200)]
+    docs = spark.createDataFrame(made, "doc_id long, text string").repartition(12, "doc_id")
+    documents = suffix_dedup._documents(docs, "doc_id", "text", True)
+    met = suffix_dedup._met(suffix_dedup._listed(documents, 100)).filter(F.col("kind") < suffix_dedup.KIND_LATE)
+    rows = suffix_dedup._with_bytes(documents, met.drop("kind"), 100, 256)
+    rows = rows[0] if isinstance(rows, tuple) else rows
+    groups = rows.filter(F.col("bytes").isNotNull()).groupBy("key").count().agg(F.max("count")).first()[0]
+    assert groups <= 64  # not one row a document
+    wanted = brute([(i, t.encode()) for i, t in made], 100)
+    found = {r["doc_id"]: r["removed"] for r in cut_repeats(docs).collect()}
+    for i, t in made:
+        gone = np.zeros(len(t), bool)
+        for s in found[i]:
+            gone[s["start"]:s["end"]] = True
+        assert gone.tolist() == wanted[i, t.encode()].tolist(), i
+
+
+def test_held_single_strings_are_judged_on_the_way(spark):
+    made = [(7, (i * 37) % 4001, 0, 5, 1, b"q" * 100, True) for i in range(4001)] + [(7, 1, 0, 5, 1, b"q" * 100, True)]
+    made += [(8, i, 0, 3, 1, bytes([97 + i % 3]) * 100, True) for i in range(9)] + [(9, 50, 0, 0, 4, None, True)]
+    rows = spark.createDataFrame(made, "key long, id long, hash long, low long, count long, bytes binary, single boolean")
+    out = suffix_dedup._late(rows, 100, 4096).collect()
+    assert sorted((r["id"], bytes(r["bytes"])[:1]) for r in out if r["bytes"] is not None and r["low"] == 3) == [
+        (0, b"a"), (1, b"b"), (2, b"c")]
+    assert {r["id"] for r in out if r["bytes"] is not None and r["low"] == 5} == {0}
+    late = [(r["id"], r["low"], r["count"]) for r in out if r["bytes"] is None]
+    assert set(late) == {(i, 5, 1) for i in range(1, 4001)} | {(i, 3, 1) for i in range(3, 9)} | {(50, 0, 4)}
+
+
 def test_null_and_repeated_ids(awkward):
     found = cut_repeats(awkward, carry=True)
     assert set(found.columns) == {"doc_id", "n_bytes", "removed", "kept", "text", "row"}

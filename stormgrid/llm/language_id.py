@@ -33,6 +33,10 @@ FIT_CHARS = 20_000
 #: Languages that can be learned, the most frequent ones.
 FIT_LANGUAGES = 200
 RIDGE = 1e-2
+#: A language's own n-grams are in so large a share of its texts; the orders that tell; n-grams taken as own beforehand.
+OWN_SHARE = 0.01
+OWN_ORDERS = (2, 3, 4)
+OWN_BEFORE = 10
 _LETTER = re.compile(r"[^\W\d_]")
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
@@ -40,7 +44,7 @@ _LOWER[65:91] += 32
 SPAN = 1 << 20
 
 
-def gram_slots(data: np.ndarray) -> Iterator[np.ndarray]:
+def gram_slots(data: np.ndarray, orders: tuple[int, ...] = ORDERS) -> Iterator[np.ndarray]:
     """Slots of the n-grams of one text, span by span."""
     for at in range(0, len(data), SPAN):
         part = _LOWER[data[at:at + SPAN + max(ORDERS) - 1]].astype(np.uint64)
@@ -49,7 +53,7 @@ def gram_slots(data: np.ndarray) -> Iterator[np.ndarray]:
             if len(part) < n:
                 break
             code = (code[:len(part) - n + 1] << np.uint64(8)) | part[n - 1:]
-            if n in ORDERS:
+            if n in orders:
                 mixed = (code + np.uint64(n << 40)) * np.uint64(0x9E3779B97F4A7C15)
                 yield (mixed[:SPAN] >> np.uint64(64 - SLOT_BITS)).astype(np.int64)
 
@@ -66,6 +70,7 @@ class Model:
     column_of: np.ndarray  # slot -> column of the presence matrix, or the last, unused one
     landmarks: np.ndarray  # n-grams x landmarks, normalised presence
     weights: np.ndarray  # landmarks x languages
+    own: np.ndarray  # languages x slots, as bits: the language's own n-grams
 
     def presence(self, texts: list[str]) -> np.ndarray:
         """Rows of n-grams present, each of length 1."""
@@ -89,6 +94,25 @@ class Model:
         return names, np.where(none, 0.0, score)
 
 
+    def known(self, texts: list[str], names: list[str]) -> np.ndarray:
+        """Share of each text's n-grams that the named language has itself; 0 where it is ``und``.
+
+        The values of ``predict`` compare languages and say nothing about a text in none of them.
+        A few n-grams count as own beforehand, so that one rare word is not enough to reject a text.
+        """
+        out = np.zeros(len(texts))
+        row = {k: i for i, k in enumerate(self.languages)}
+        for i, (text, name) in enumerate(zip(texts, names)):
+            if name == UNDETERMINED:
+                continue
+            own, n, found = self.own[row[name]], 0, 0
+            for slots in gram_slots(_bytes(text), OWN_ORDERS):
+                n += len(slots)
+                found += int(np.count_nonzero((own[slots >> 3] >> (7 - (slots & 7)).astype(np.uint8)) & 1))
+            out[i] = (found + OWN_BEFORE) / (n + OWN_BEFORE)
+        return out
+
+
 def fit(texts: list[str], languages: list[str], grams: int = GRAMS, landmarks: int = LANDMARKS,
         ridge: float = RIDGE) -> Model:
     """Train on texts in a fixed order; no text gives a model that answers ``und``."""
@@ -115,7 +139,9 @@ def fit(texts: list[str], languages: list[str], grams: int = GRAMS, landmarks: i
     marks = [i for _, i in sorted(order)[:landmarks]]
     z = x[marks].T.astype(np.float32)
     if not names:
-        return Model([], column_of, z, np.zeros((0, 0), np.float32))
+        return Model([], column_of, z, np.zeros((0, 0), np.float32), np.zeros((0, 0), np.uint8))
+    has = np.array([
+        np.packbits(present[known == k].sum(axis=0) >= max(1, OWN_SHARE * np.count_nonzero(known == k))) for k in names])
     own = (x[marks] @ z).astype(np.float64)
     values, vectors = np.linalg.eigh(own)
     keep = values > 1e-6 * values[-1]
@@ -125,7 +151,7 @@ def fit(texts: list[str], languages: list[str], grams: int = GRAMS, landmarks: i
     balance = np.array([1.0 / np.count_nonzero(known == k) for k in languages]) * len(texts) / len(names)
     gram = (features * balance[:, None]).T @ features
     beta = np.linalg.solve(gram + ridge * len(texts) * np.eye(len(gram)) / len(gram), (features * balance[:, None]).T @ target)
-    return Model(names, column_of, z, (whiten @ beta).astype(np.float32))
+    return Model(names, column_of, z, (whiten @ beta).astype(np.float32), has)
 
 
 def fit_sample(
@@ -154,11 +180,12 @@ def identify(
     df: DataFrame, learn: Column, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
     carry: bool = False,
 ) -> DataFrame:
-    """(id, lang_pred, score) of every row, and with ``carry`` the input row as ``row``.
+    """(id, lang_pred, score) of every row, and with ``carry`` the input row as ``row`` and ``known``.
 
     The model is fitted on rows where ``learn`` holds and the language is known; only the text
     goes into a prediction.  A null text or one without a letter is ``und`` with score 0, as is
     every text when there is nothing to learn from.  Ties go to the first language by name.
+    ``known`` is the share of a text's n-grams that its predicted language has itself.
     """
     sample = fit_sample(df, learn, id_col, text_col, lang_col).collect()
     sample.sort(key=lambda r: (r["lang"], r["at"], r["text"]))
@@ -167,10 +194,12 @@ def identify(
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch, 256):
-                names, score = model.value.predict(strings(part.column(1)))
+                texts = strings(part.column(1))
+                names, score = model.value.predict(texts)
+                more = [pa.array(model.value.known(texts, names))] if carry else []
                 yield pa.RecordBatch.from_arrays(
-                    [part.column(0), pa.array(names, pa.string()), pa.array(score), *part.columns[2:]],
-                    ["id", "lang_pred", "score", *(["row"] if carry else [])],
+                    [part.column(0), pa.array(names, pa.string()), pa.array(score), *part.columns[2:], *more],
+                    ["id", "lang_pred", "score", *(["row", "known"] if carry else [])],
                 )
 
     rows = df.select(
@@ -178,5 +207,5 @@ def identify(
         *([F.struct(*[df[c] for c in df.columns]).alias("row")] if carry else []),
     )
     kind = df.schema[id_col].dataType.simpleString()
-    tail = f", row {rows.schema['row'].dataType.simpleString()}" if carry else ""
+    tail = f", row {rows.schema['row'].dataType.simpleString()}, known double" if carry else ""
     return rows.mapInArrow(run, f"id {kind}, lang_pred string, score double{tail}").withColumnRenamed("id", id_col)

@@ -1,10 +1,12 @@
 import os
+import random
 
 import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
 from stormgrid.llm import queries
+from tests.llm.test_language_id import corpus
 
 FOLDER = "/root/testdata/sf0.001"
 
@@ -38,6 +40,17 @@ def test_stages_over_awkward_rows(spark, awkward):
     assert packed and all(r["n"] % r["doc_tokens"] == 0 for r in packed)
 
 
+def test_texts_in_no_known_language_go(spark):
+    rng = random.Random(4)
+    letters = lambda n: " ".join("".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(6)) for _ in range(n))
+    good = [(i, t, k) for i, (k, t) in enumerate(corpus(60))] + [(1000, "the and with", None), (1001, "nicht auch", None), (1002, "one", None)]
+    strange = ["Быстрая коричневая лиса перепрыгивает через ленивую собаку", "敏捷的棕色狐狸跳过了懒狗然后跑进森林里面去",
+               "Szybki brązowy lis przeskakuje nad leniwym psem i ucieka do lasu", "x" * 200, letters(4), letters(40), letters(1000)]
+    docs = spark.createDataFrame(good + [(2000 + i, t, None) for i, t in enumerate(strange)], "doc_id long, text string, lang string")
+    left = {r["doc_id"] for r in corpus_pipeline.keep_known_languages(spark, docs, "").collect()}
+    assert left == {i for i, _, _ in good}
+
+
 def test_stages_over_no_rows(spark, nothing):
     docs = nothing.select("doc_id", "text", "lang", F.lit("s").alias("source"), F.lit(1).alias("n_chars"))
     for name, frame in run_stages(spark, docs).items():

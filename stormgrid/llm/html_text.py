@@ -28,6 +28,8 @@ INLINE = set("a abbr acronym b bdi bdo big br cite code data del dfn em font i i
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
 SILENT = set("script style noscript template head title svg math iframe object canvas select option textarea "
              "button".split())
+#: What a head may hold; anything else ends one whose end tag is left out.
+IN_HEAD = set("base basefont bgsound head html link meta noframes noscript script style template title".split())
 CLOSES_PARAGRAPH = set("address article aside blockquote details div dl fieldset figcaption figure footer form h1 h2 "
                        "h3 h4 h5 h6 header hr main menu nav ol p pre section table ul".split())
 # Names of containers that hold the article, and of those that don't.
@@ -77,6 +79,9 @@ class _Leaves(HTMLParser):
     def handle_starttag(self, tag: str, attrs: list) -> None:
         if tag not in INLINE:
             self._flush()
+        if tag not in IN_HEAD:
+            self._end_head(tag == "body")
+        if tag not in INLINE:
             if tag in CLOSES_PARAGRAPH and any(t == "p" for t, _ in self.open):
                 self._close("p")
             elif tag in ("li", "dt", "dd", "tr", "td", "th", "option") and self.open and self.open[-1][0] == tag:
@@ -103,6 +108,12 @@ class _Leaves(HTMLParser):
             if last == tag:
                 break
 
+    def _end_head(self, body: bool) -> None:
+        """Close an open head; only a body does so from inside an element of the head, but for templates."""
+        if self.open and (self.open[-1][0] == "head" or body and any(t == "head" for t, _ in self.open)
+                          and not any(t == "template" for t, _ in self.open)):
+            self._close("head")
+
     def handle_endtag(self, tag: str) -> None:
         if tag not in INLINE:
             self._flush()
@@ -119,6 +130,8 @@ class _Leaves(HTMLParser):
                 self._close(tag)
 
     def handle_data(self, data: str) -> None:
+        if not data.isspace():
+            self._end_head(False)
         if not self.silent:
             self.words.append(data)
             self.linked += len(data) if self.links else 0

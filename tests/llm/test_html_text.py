@@ -19,6 +19,18 @@ def test_blocks(html, wanted):
     assert texts(html) == wanted
 
 
+@pytest.mark.parametrize("html, wanted", [
+    ("<html><head><title>t</title><body><p>a</p></body></html>", ["a"]),
+    ("<head><meta charset=x><title>t</title>\n<link href=y>\n<p>a<p>b", ["a", "b"]),
+    ("<head><title>t</title><b>a</b> c", ["a c"]), ("<head><title>t</title> a", ["a"]),
+    ("<head><noscript><img src=x>n</noscript><script>s</script><body>a", ["a"]),
+    ("<head><template><div>n</div></template><title>t</title></head><p>a", ["a"]),
+])
+def test_head_without_end(html, wanted):
+    assert texts(html) == wanted
+    assert all("head" not in b.path for b in blocks(html))
+
+
 def test_silver_labels_follow_names():
     page = blocks("<nav>n</nav><article><h1>t</h1><p>x</p><div class='comments'><p>c</p></div></article><footer>f</footer>")
     assert silver_labels(page) == [False, True, True, False, False]

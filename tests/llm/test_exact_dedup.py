@@ -1,6 +1,9 @@
 import hashlib
 import re
 
+from pyspark.sql import functions as F
+
+from stormgrid.llm import exact_dedup
 from stormgrid.llm.exact_dedup import drop_copies, exact_groups
 
 
@@ -44,6 +47,19 @@ def test_hot_content_is_cut_in_pieces(spark):
     assert found.count() == 4000
 
 
+def test_only_large_groups_are_cut(spark, monkeypatch):
+    held = []
+    keep = exact_dedup.materialize
+    monkeypatch.setattr(exact_dedup, "materialize", lambda df: held.append(keep(df)) or held[-1])
+    rows = spark.range(4000).selectExpr(
+        "id as doc_id", "case when id % 3 = 0 then 'copy' else concat('pair ', id div 6) end as text")
+    found = exact_groups(rows)
+    pieces = held[0].groupBy("text_sha256").agg(F.count_distinct("salt").alias("pieces"), F.count("*").alias("n")).collect()
+    assert [p["n"] for p in pieces if p["pieces"] > 1] == [1334]  # all others lie side by side
+    assert {r[0] for r in found.filter("group_size < 1000").select("group_size").distinct().collect()} == {2, 4}
+    assert found.count() == 4000 and found.filter("kept").count() == len(pieces)
+
+
 def test_main_path_is_native(awkward):
     text = exact_groups(awkward)._jdf.queryExecution().toString()
     assert not re.search("Python|Pandas|Arrow", text)

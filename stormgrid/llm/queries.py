@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from stormgrid.llm.exact_dedup import exact_groups
 from stormgrid.llm.html_text import label_blocks
 from stormgrid.llm.language_id import identify
+from stormgrid.llm.merkle import fold, manifest, path_hash, record_hash
 from stormgrid.llm.packing import pack
 from stormgrid.llm.quality_gam import quality_scores
 from stormgrid.llm.quality_rules import judge
@@ -143,3 +144,80 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("id").alias("doc_id"), "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens",
         "sequence_id", "offset", "tier", "step_group",
     )
+
+
+def _record(n_chars: Column) -> Column:
+    return record_hash([F.col("doc_id"), F.col("source"), F.col("lang"), n_chars, F.col("text")])
+
+
+def _tree_sql(name: str, base: str) -> str:
+    """CTE of the levels of a tree: every two neighbours, or a last one alone, become their hash."""
+    return f"""{name} AS (
+    {base}
+    UNION ALL
+    SELECT tree, level + 1,
+        list_transform(range(0, len(nodes), 2), lambda i: sha256(nodes[i + 1] || coalesce(nodes[i + 2], '')))
+    FROM {name} WHERE len(nodes) > 1
+)"""
+
+
+def _steps_sql(place: str, level: str, nodes: str) -> str:
+    """A level's sibling, by the side it stands on; N where there is none."""
+    own = f"({place} >> {level})"
+    other = f"xor({own}, 1)"
+    return f"""CASE WHEN {other} >= len({nodes}) THEN 'N'
+        WHEN {other} < {own} THEN 'L' || {nodes}[{other} + 1] ELSE 'R' || {nodes}[{other} + 1] END"""
+
+
+def _record_sql(n_chars: str) -> str:
+    fields = " || ".join(
+        f"coalesce(strlen(CAST({c} AS VARCHAR)) || ':' || {c}, '-')" for c in ("doc_id", "source", "lang", n_chars, "text"))
+    return f"sha256({fields})"
+
+
+@query(f"""
+WITH RECURSIVE leaves AS (
+    SELECT doc_id, lang, n_chars, {_record_sql("n_chars")} AS leaf,
+        {_record_sql("(n_chars + 1)")} AS changed,
+        xor(list_reduce(list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda c: CAST(ascii(c) AS BIGINT)),
+            lambda crc, byte: list_reduce(range(8),
+                lambda x, _: CASE WHEN x & 1 = 1 THEN xor(x >> 1, 3988292384) ELSE x >> 1 END, xor(crc, byte)),
+            CAST(4294967295 AS BIGINT)), 4294967295) % 7 = 0 AS tampered
+    FROM documents
+), placed AS (
+    SELECT *, row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, leaf) - 1 AS place FROM leaves
+), {_tree_sql("trees", "SELECT lang AS tree, 0 AS level, list(leaf ORDER BY place) AS nodes FROM placed GROUP BY lang")},
+subroots AS (
+    SELECT tree AS lang, nodes[1] AS subroot, row_number() OVER (ORDER BY tree NULLS FIRST) - 1 AS place
+    FROM trees WHERE len(nodes) = 1
+), {_tree_sql("top", "SELECT 0 AS tree, 0 AS level, list(subroot ORDER BY place) AS nodes FROM subroots HAVING count(*) > 0")},
+steps AS (
+    SELECT p.place, p.lang, t.level, {_steps_sql("p.place", "t.level", "t.nodes")} AS step
+    FROM placed p JOIN trees t ON p.lang IS NOT DISTINCT FROM t.tree WHERE len(t.nodes) > 1
+    UNION ALL
+    SELECT p.place, p.lang, 1000 + t.level, {_steps_sql("s.place", "t.level", "t.nodes")}
+    FROM placed p JOIN subroots s ON p.lang IS NOT DISTINCT FROM s.lang, top t WHERE len(t.nodes) > 1
+), paths AS (
+    SELECT place, lang, list(step ORDER BY level) AS path FROM steps GROUP BY place, lang
+), folded AS (
+    SELECT doc_id, leaf, subroot, (SELECT nodes[1] FROM top WHERE len(nodes) = 1) AS root,
+        sha256(array_to_string(list_transform(coalesce(path, []), lambda s: s[2:]), '')) AS proof_sha256,
+        list_reduce(coalesce(path, []), lambda h, s: sha256(
+            CASE s[1] WHEN 'L' THEN s[2:] || h WHEN 'R' THEN h || s[2:] ELSE h END),
+            CASE WHEN tampered AND n_chars IS NOT NULL THEN changed ELSE leaf END) AS folded_root
+    FROM placed p LEFT JOIN paths q ON p.place = q.place AND p.lang IS NOT DISTINCT FROM q.lang
+    JOIN subroots s ON p.lang IS NOT DISTINCT FROM s.lang
+)
+SELECT *, folded_root = root AS verified FROM folded
+""")
+def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Leaf, roots and proof of every document, and the root folded from a leaf that may be tampered with."""
+    tampered = F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(7)) == 0
+    changed = F.when(tampered & F.col("n_chars").isNotNull(), _record(F.col("n_chars") + 1))
+    rows = manifest(
+        table(spark, sf_dir, "documents"), "lang", "doc_id", _record(F.col("n_chars")),
+        {"doc_id": F.col("doc_id"), "changed": changed})
+    folded = rows.withColumn("folded_root", fold(F.coalesce("changed", "leaf"), F.col("path")))
+    return folded.select(
+        "doc_id", "leaf", "subroot", "root", path_hash(F.col("path")).alias("proof_sha256"), "folded_root",
+        (F.col("folded_root") == F.col("root")).alias("verified"))

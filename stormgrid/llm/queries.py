@@ -7,12 +7,15 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from sentencepiece import SentencePieceProcessor
 
+from stormgrid.llm.cross_tokens import align, link_scores
 from stormgrid.llm.exact_dedup import exact_groups
 from stormgrid.llm.html_text import label_blocks
 from stormgrid.llm.language_id import identify
 from stormgrid.llm.merkle import fold, manifest, path_hash, record_hash
 from stormgrid.llm.packing import pack
+from stormgrid.llm.projected_ann import nearest
 from stormgrid.llm.quality_gam import quality_scores
 from stormgrid.llm.quality_rules import judge
 from stormgrid.llm.sentence_pieces import decode, encode
@@ -150,6 +153,34 @@ def _record(n_chars: Column) -> Column:
     return record_hash([F.col("doc_id"), F.col("source"), F.col("lang"), n_chars, F.col("text")])
 
 
+@query("""
+WITH usable AS (
+    SELECT vec_id, CAST(embedding AS DOUBLE[]) AS v FROM embeddings
+    WHERE vec_id IS NOT NULL AND list_contains(list_transform(embedding, lambda x: x <> 0), true)
+        AND NOT list_contains(list_transform(embedding, lambda x: x IS NULL OR NOT isfinite(x)), true)
+), pairs AS (
+    SELECT q.vec_id AS query_id, c.vec_id, list_cosine_similarity(q.v, c.v) AS score
+    FROM usable q JOIN usable c ON q.vec_id % 50 = 0 AND q.vec_id <> c.vec_id
+)
+SELECT query_id, CAST(row_number() OVER w AS INTEGER) AS rank, vec_id, round(score, 12) AS score
+FROM pairs QUALIFY row_number() OVER w <= 5
+WINDOW w AS (PARTITION BY query_id ORDER BY score DESC, vec_id)
+""")
+def op11_projected_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The five nearest vectors of every fiftieth; cosines to twelve digits, as engines add in different orders."""
+    found = nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
+    return found.select("query_id", "rank", F.col("id").alias("vec_id"), F.round("score", 12).alias("score"))
+
+
+@query()
+def op12_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Groups and links between the tokens of two vocabularies, and how usual each document's links are."""
+    pieces = public_tokenizers.path(PIECE_BPE)
+    aligned = align(table(spark, sf_dir, "documents"), public_tokenizers.path(BYTE_BPE), pieces)
+    scores = link_scores(aligned, SentencePieceProcessor(model_file=pieces).vocab_size())
+    return scores.withColumnRenamed("id", "doc_id")
+
+
 def _tree_sql(name: str, base: str) -> str:
     """CTE of the levels of a tree: every two neighbours, or a last one alone, become their hash."""
     return f"""{name} AS (

@@ -336,7 +336,8 @@ def nearest(
     rows = rows.filter(F.size("vec") == size)
     reach = quantile(sure, dims)
     more = k + 1  # a query's own vector is among them
-    points = written(_project(_distinct(rows, more), size, dims))
+    # Names are smallest ids, which vectors may share where ids repeat; keys tell vectors apart.
+    points = written(_project(_distinct(rows, more), size, dims).withColumn("key", F.monotonically_increasing_id()))
     n = points.count()
     depth = max(0, math.ceil(math.log2(min(CELLS, max(1, n / cell_rows)))))
     sample = hashed_sample(points.select("name", "point"), F.xxhash64("name"), FIT_ROWS) if depth else None
@@ -347,16 +348,18 @@ def nearest(
     boxes = placed.groupBy("cell").agg(F.count(F.lit(1)).alias("n"), corner[0].alias("low"), corner[1].alias("high")).collect()
     parts = {b["cell"]: math.ceil(b["n"] / most_rows) for b in boxes}
     wide = [F.when(F.col("cell") == c, F.lit(p)) for c, p in parts.items() if p > 1]
-    placed = placed.withColumn("part", F.pmod(F.xxhash64("name"), F.coalesce(*wide, F.lit(1)).cast("long")))
+    placed = placed.withColumn("part", F.pmod(F.xxhash64("key"), F.coalesce(*wide, F.lit(1)).cast("long")))
     asks = placed.filter("asked").select(
-        F.col("name").alias("asker"), "vec", "point", F.lit(-2.0).alias("bound"), "cell", "part")
+        F.col("key").alias("asker"), "vec", "point", F.lit(-2.0).alias("bound"), "cell", "part")
     home = written(_visit(placed, asks, more, reach))
     kth = home.groupBy("asker").agg(F.count(F.lit(1)).alias("_n"), F.min("score").alias("_least"))
     kth = kth.filter(F.col("_n") >= more).select("asker", "_least")
     bounded = asks.drop("bound").join(kth, "asker", "left").withColumn("bound", F.coalesce("_least", F.lit(-2.0))).drop("_least")
-    found = home.unionByName(_visit(placed, _others(bounded, boxes, parts, reach), more, reach)) if len(boxes) + max(parts.values(), default=0) > 2 else home
+    found = home
+    if sum(parts.values()) > 1:
+        found = home.unionByName(_visit(placed, _others(bounded, boxes, parts, reach), more, reach))
     lists = _best(found, more).groupBy("asker").agg(F.collect_list(F.struct("score", "ids")).alias("found"))
-    lists = points.filter("asked").select(F.col("name").alias("asker"), "vec").join(lists, "asker").drop("asker")
+    lists = points.filter("asked").select(F.col("key").alias("asker"), "vec").join(lists, "asker").drop("asker")
     results = salted_join(rows.filter("asked").select("id", "vec"), lists, ["vec"], "inner")
     pairs = F.flatten(F.transform("found", lambda f: F.transform(f["ids"], lambda i: F.struct((-f["score"]).alias("less"), i.alias("id")))))
     others = F.filter(pairs, lambda p: p["id"] != F.col("id"))

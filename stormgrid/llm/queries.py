@@ -163,8 +163,8 @@ WITH usable AS (
     FROM usable q JOIN usable c ON q.vec_id % 50 = 0 AND q.vec_id <> c.vec_id
 )
 SELECT query_id, CAST(row_number() OVER w AS INTEGER) AS rank, vec_id, round(score, 12) AS score
-FROM pairs QUALIFY row_number() OVER w <= 5
-WINDOW w AS (PARTITION BY query_id ORDER BY score DESC, vec_id)
+FROM pairs WINDOW w AS (PARTITION BY query_id ORDER BY score DESC, vec_id)
+QUALIFY row_number() OVER w <= 5
 """)
 def op11_projected_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The five nearest vectors of every fiftieth; cosines to twelve digits, as engines add in different orders."""

@@ -12,8 +12,8 @@ from __future__ import annotations
 import hashlib
 import os
 import re
-from collections import Counter
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -26,11 +26,16 @@ from stormgrid.llm.texts import slices, strings, written
 
 SPACE = "▁"
 #: Stretches a task remembers, and their characters, before it starts afresh.
-MEMO_STRETCHES = 250_000
-MEMO_CHARS = 8_000_000
+MEMO_STRETCHES = 400_000
+MEMO_CHARS = 14_000_000
 #: At most so many id pairs are broadcast: those with more than one in so many of all links' pairs.
 HOT_PAIRS = 200_000
 
+#: Characters of stretches that are encoded together.
+JOINED = 16_384
+#: What stands behind an id: another of its side, the other side, another group, another stretch, nothing.
+_SIGNS = np.array([",", "|", ";", "\n", ""], object)
+
 _VISIBLE = r"[\p{L}\p{N}\p{P}\p{S}]"
 _CUT = regex.compile(rf"(?<={_VISIBLE}) (?={_VISIBLE})")
 #: In a Latin-1 text, a space that does not stand between two visible characters.
@@ -46,34 +51,17 @@ def stretches(text: str) -> list[str]:
     return _CUT.split(text) if _ODD.search(text) else text.split(" ")
 
 
-def ends_of(spans: list[tuple[int, int]], sizes: list[int]) -> list[int]:
-    """Where each token ends, in bytes.
+def ends_of(starts: np.ndarray, ends: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """Where each token ends, in bytes, from its span and the bytes it decodes to.
 
-    A span's end is taken where the next token starts at or behind it; between such cuts, where
+    A span's end is a cut where the next token starts at or behind it; between such cuts, where
     tokens share a character, the bytes of the tokens are added up.
     """
-    ends, at, last = [], 0, len(spans) - 1
-    for i, (start, end) in enumerate(spans):
-        at += sizes[i]
-        if end > start and (i == last or spans[i + 1][0] >= end):
-            at = end
-        ends.append(at)
-    return ends
-
-
-def groups_of(a_ends: list[int], b_ends: list[int]) -> list[tuple[int, int, int, int]]:
-    """(first A, end A, first B, end B) of the groups between ends that both have."""
-    out, i, j, a, b = [], 0, 0, 0, 0
-    while i < len(a_ends) and j < len(b_ends):
-        if a_ends[i] == b_ends[j]:
-            i, j = i + 1, j + 1
-            out.append((a, i, b, j))
-            a, b = i, j
-        elif a_ends[i] < b_ends[j]:
-            i += 1
-        else:
-            j += 1
-    return out
+    cut = ends > starts
+    cut[:-1] &= starts[1:] >= ends[:-1]
+    total = np.cumsum(sizes)
+    last = np.maximum.accumulate(np.where(cut, np.arange(len(cut)), -1))
+    return total + np.where(last >= 0, ends[last] - total[last], 0)
 
 
 class Aligner:
@@ -88,7 +76,8 @@ class Aligner:
         self.a.encode_special_tokens = True
         self.b = SentencePieceProcessor(model_file=piece_path)
         stand_in = byte_alphabet()
-        self.a_bytes = {i: bytes(stand_in[c] for c in t) for t, i in self.a.get_vocab(False).items()}
+        held = {i: bytes(stand_in[c] for c in t) for t, i in self.a.get_vocab(False).items()}
+        self.a_bytes = [held.get(i, b"") for i in range(max(held) + 1)]
         self.b_bytes, self.apart = [], True
         for i in range(self.b.vocab_size()):
             piece = self.b.id_to_piece(i)
@@ -96,6 +85,9 @@ class Aligner:
             self.b_bytes.append(whole)
             self.apart &= SPACE not in piece.lstrip(SPACE)  # no piece reaches over a cut
         self.n_b = len(self.b_bytes)
+        self.a_sizes, self.b_sizes = (np.array([len(x) for x in t], np.int64) for t in (self.a_bytes, self.b_bytes))
+        self.shown = np.array([str(i) for i in range(max(len(self.a_bytes), self.n_b))], object)
+        self.visible: dict[str, bool] = {}
         self.memo = memo
         self._forget()
 
@@ -103,79 +95,136 @@ class Aligner:
         self.number: dict[str, int] = {}
         self.chars = 0
         self.keys, self.times = Runs(np.int64), Runs(np.int64)
-        self.text: list[str | None] = []  # groups as text; None where the bytes differ
+        self.text: list[str] = []  # groups as text
         self.sums = np.zeros((1 << 12, 4), np.int64)
-
-    def align(self, parts: list[str]):
-        """Per part, a space before it: (groups as text or None, counts, pair keys, their links)."""
-        encoded = self.a.encode_batch([" " + p for p in parts], add_special_tokens=False)
-        pieces = self.b.encode(parts, return_type="proto", num_threads=1)
-        for part, of_a, of_b in zip(parts, encoded, pieces):
-            data = b" " + part.encode("utf-8")
-            a_ids, b_ids = of_a.ids, [p.id for p in of_b.pieces]
-            a_parts, b_parts = [self.a_bytes[i] for i in a_ids], [self.b_bytes[i] for i in b_ids]
-            if b"".join(a_parts) != data or b"".join(b_parts) != data:
-                yield None, (0, 0, 0, 0), [], []
-                continue
-            spans = of_a.offsets
-            if len(data) != len(part) + 1:  # from characters to bytes
-                at = np.cumsum([0, 1, *(len(c.encode("utf-8")) for c in part)])
-                spans = [(at[s], at[e]) for s, e in spans]
-            b_spans = [(p.begin + (i > 0), p.end + 1) for i, p in enumerate(of_b.pieces)]
-            found = groups_of(ends_of(spans, list(map(len, a_parts))), ends_of(b_spans, list(map(len, b_parts))))
-            links: Counter[int] = Counter()
-            shown, n_links = [], 0
-            for a, a_end, b, b_end in found:
-                own_a, own_b = a_ids[a:a_end], b_ids[b:b_end]
-                shown.append(",".join(map(str, own_a)) + "|" + ",".join(map(str, own_b)))
-                n_links += len(own_a) * len(own_b)
-                other = Counter(own_b)
-                for x, n in Counter(own_a).items():
-                    for y, m in other.items():
-                        links[x * self.n_b + y] += n * m
-            yield ";".join(shown), (len(a_ids), len(b_ids), len(found), n_links), list(links), list(links.values())
+        self.bad: set[int] = set()  # stretches whose bytes differ
+
+    def _joins(self, part: str) -> bool:
+        """Whether a stretch may stand between others: both its ends are visible characters."""
+        known = self.visible
+        for c in (part[0], part[-1]):
+            if c not in known:
+                known[c] = regex.fullmatch(_VISIBLE, c) is not None
+        return known[part[0]] and known[part[-1]] and SPACE not in part
+
+    def _tokens(self, joined: str, of_a, of_b):
+        """(ids, ends in bytes) of both sides, or None where bytes differ from a space and the text."""
+        data = b" " + joined.encode("utf-8")
+        a, b = np.array(of_a.ids, np.int64), np.array([p.id for p in of_b.pieces], np.int64)
+        if b"".join(map(self.a_bytes.__getitem__, of_a.ids)) != data or b"".join([self.b_bytes[i] for i in b.tolist()]) != data:
+            return None
+        spans = np.fromiter(chain.from_iterable(of_a.offsets), np.int64, 2 * len(a)).reshape(-1, 2)
+        if len(data) != len(joined) + 1:  # from characters to bytes
+            code = np.frombuffer((" " + joined).encode("utf-32-le"), np.uint32)
+            spans = np.concatenate([[0], np.cumsum(1 + (code > 0x7F) + (code > 0x7FF) + (code > 0xFFFF))])[spans]
+        begins = np.array([p.begin for p in of_b.pieces], np.int64) + 1
+        begins[:1] = 0
+        ends = np.array([p.end for p in of_b.pieces], np.int64) + 1
+        return a, ends_of(spans[:, 0], spans[:, 1], self.a_sizes[a]), b, ends_of(begins, ends, self.b_sizes[b])
+
+    def align(self, batch: list[list[str]]):
+        """Stretches joined by spaces, list by list: per list None where bytes differ, otherwise per stretch
+        (groups as text, counts), and pair keys and links of all stretches in a row with their numbers."""
+        joined = [" ".join(parts) for parts in batch]
+        encoded = self.a.encode_batch([" " + j for j in joined], add_special_tokens=False)
+        pieces = self.b.encode(joined, return_type="proto", num_threads=1)
+        for parts, text, of_a, of_b in zip(batch, joined, encoded, pieces):
+            found = self._tokens(text, of_a, of_b)
+            yield None if found is None else self._groups(parts, *found)
+
+    def _groups(self, parts: list[str], a: np.ndarray, a_ends: np.ndarray, b: np.ndarray, b_ends: np.ndarray):
+        cuts = np.intersect1d(a_ends, b_ends, assume_unique=True)
+        of_a, of_b = np.searchsorted(cuts, a_ends), np.searchsorted(cuts, b_ends)
+        n_a, n_b = np.bincount(of_a, minlength=len(cuts)), np.bincount(of_b, minlength=len(cuts))
+        # A stretch ends where its bytes, and the space before it, do.
+        edges = np.cumsum([len(p.encode("utf-8")) + 1 for p in parts])
+        of_group = np.searchsorted(edges, cuts)
+        counts = np.stack([
+            np.bincount(of_group, w, len(parts)).astype(np.int64) for w in (n_a, n_b, np.ones(len(cuts)), n_a * n_b)], axis=1)
+        # Both sides' ids in order of groups, A before B, each followed by what stands before the next.
+        side = np.concatenate([2 * of_a, 2 * of_b + 1])
+        order = np.argsort(side, kind="stable")
+        side = side[order]
+        stretch = of_group[side // 2]
+        sign = np.where(side[1:] == side[:-1], 0, np.where(side[1:] // 2 == side[:-1] // 2, 1, 2))
+        sign = np.append(np.where(stretch[1:] != stretch[:-1], 3, sign), 4)
+        out = np.empty(2 * len(order), object)
+        out[::2] = self.shown[np.concatenate([a, b])[order]]
+        out[1::2] = _SIGNS[sign]
+        shown = "".join(out.tolist()).split("\n")
+        # Every id of A with every id of B in its group.
+        first_b = np.cumsum(n_b) - n_b
+        times = n_b[of_a]
+        total = np.cumsum(times)
+        where = np.arange(int(total[-1])) + np.repeat(first_b[of_a] - (total - times), times)
+        key = np.repeat(a, times) * self.n_b + b[where]
+        of = np.repeat(of_group[of_a], times)
+        order = np.lexsort((key, of))
+        key, of = key[order], of[order]
+        head = np.flatnonzero(np.concatenate([[True], (key[1:] != key[:-1]) | (of[1:] != of[:-1])]))
+        links = np.diff(np.append(head, len(key)))
+        return shown, counts, key[head], links, np.bincount(of[head], minlength=len(parts))
 
     def _learn(self, fresh: list[str]) -> None:
-        found = list(self.align(fresh))
-        self.keys.add([f[2] for f in found])
-        self.times.add([f[3] for f in found])
+        """Align stretches not met before, many at a time where they can stand side by side."""
+        batch: list[list[str]] = []
+        size = JOINED
+        for part in sorted(fresh, key=self._joins):  # those that stand alone first
+            if size >= JOINED or not self._joins(part):
+                batch.append([])
+                size = 0
+            batch[-1].append(part)
+            size = JOINED if not self._joins(part) else size + len(part)
+        for parts, found in zip(batch, self.align(batch)):
+            if found is None and len(parts) > 1:
+                again = [[p] for p in parts]
+                for own, single in zip(again, self.align(again)):
+                    self._keep(own, single)
+            else:
+                self._keep(parts, found)
+
+    def _keep(self, parts: list[str], found) -> None:
         first = len(self.text)
-        self.text += [f[0] for f in found]
+        if found is None:
+            self.bad.add(first)
+            found = [""], np.zeros((1, 4), np.int64), *_NOTHING, np.zeros(1, np.int64)
+        shown, counts, keys, links, sizes = found
+        for i, part in enumerate(parts):
+            self.number[part] = first + i
+        self.text += shown
         while len(self.sums) < len(self.text):
             self.sums = np.concatenate([self.sums, np.zeros_like(self.sums)])
-        self.sums[first:len(self.text)] = [f[1] for f in found]
-        self.chars += sum(map(len, fresh)) + sum(len(f[0] or "") for f in found)
+        self.sums[first:len(self.text)] = counts
+        self.keys.add_flat(keys, sizes)
+        self.times.add_flat(links, sizes)
+        self.chars += sum(map(len, parts)) + sum(map(len, shown))
 
     def texts(self, texts: list[str]):
         """Per text: (groups as text, '' without tokens, four counts, pair keys in order, their links)."""
         if len(self.number) > self.memo or self.chars > MEMO_CHARS:
             self._forget()
         parts = [(stretches(t) if self.apart else [t]) if t else [] for t in texts]
-        number, fresh = self.number, []
-        for own in parts:
-            for p in own:
-                if p not in number:
-                    number[p] = len(number)
-                    fresh.append(p)
+        number = self.number
+        fresh = dict.fromkeys(p for own in parts for p in own if p not in number)
         if fresh:
-            self._learn(fresh)
+            self._learn(list(fresh))
         for text, own in zip(texts, parts):
             at = np.fromiter(map(number.__getitem__, own), np.int64, len(own))
-            shown = [self.text[i] for i in at.tolist()]
-            if not own or None in shown:
+            if not own or (self.bad and not self.bad.isdisjoint(at.tolist())):
                 yield self._whole(text) if own else ("", np.zeros(4, np.int64), *_NOTHING)
                 continue
             keys, _ = self.keys.take(at)
             times, _ = self.times.take(at)
             keys, where = np.unique(keys, return_inverse=True)
-            yield ";".join(shown), self.sums[at].sum(0), keys, np.bincount(where, times, len(keys)).astype(np.int64)
+            shown = ";".join([self.text[i] for i in at.tolist()])
+            yield shown, self.sums[at].sum(0), keys, np.bincount(where, times, len(keys)).astype(np.int64)
 
     def _whole(self, text: str):
         """A text with a stretch whose bytes differ: it has tokens only if its joined bytes agree."""
-        shown, counts, keys, times = next(self.align([text]))
-        keys, times = np.array(keys, np.int64), np.array(times, np.int64)
-        order = np.argsort(keys)
-        return shown or "", np.array(counts, np.int64), keys[order], times[order]
+        found = next(self.align([[text]]))
+        if found is None:
+            return "", np.zeros(4, np.int64), *_NOTHING
+        return found[0][0], found[1][0], found[2], found[3]
 
 
 _NOTHING = (np.zeros(0, np.int64), np.zeros(0, np.int64))

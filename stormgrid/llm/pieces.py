@@ -208,16 +208,20 @@ class Runs:
 
     def add(self, runs: list) -> None:
         sizes = np.fromiter(map(len, runs), np.int64, len(runs))
+        self.add_flat(np.concatenate([np.asarray(r, self.values.dtype) for r in runs]) if runs else self.values[:0], sizes)
+
+    def add_flat(self, values: np.ndarray, sizes: np.ndarray) -> None:
+        """Runs given in a row."""
         at = int(self.ends[self.n - 1]) if self.n else 0
         ends = at + np.cumsum(sizes)
         while len(self.values) < (int(ends[-1]) if len(ends) else 0):
             self.values = np.concatenate([self.values, np.zeros_like(self.values)])
-        while len(self.ends) < self.n + len(runs):
+        while len(self.ends) < self.n + len(sizes):
             self.ends = np.concatenate([self.ends, np.zeros_like(self.ends)])
         if len(ends):
-            self.values[at:int(ends[-1])] = np.concatenate([np.asarray(r, self.values.dtype) for r in runs])
-            self.ends[self.n:self.n + len(runs)] = ends
-        self.n += len(runs)
+            self.values[at:int(ends[-1])] = values
+            self.ends[self.n:self.n + len(sizes)] = ends
+        self.n += len(sizes)
 
     def take(self, numbers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The runs of these pieces in a row, and their sizes."""

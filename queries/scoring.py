@@ -147,12 +147,92 @@ def _event_model(spark, sf_dir):
         (F.col("value") + 20 * (F.col("event_type") == "purchase").cast("int")
          + F.pmod(F.col("user_id") * 7, F.lit(31)) >= 70).cast("int").alias("y"),
     )
-    return rows, op.fit(rows, ["tipo"], ["hora", "dia_semana", "raiz"], "y")
+    return rows, op.fit_newton(rows, ["tipo"], ["hora", "dia_semana", "raiz"], "y")
+
+
+def newton_sql(rows: str, key: str, category: str, categories: str, numbers: list[str], label: str, steps: int = 14) -> str:
+    """CTEs up to ``odds(key, z)``: class-weighted, L2-penalised logistic regression by Newton steps.
+
+    ``rows`` names a CTE with the training rows, ``categories`` one with (value, j), the places of
+    the category from 2; place 1 is the intercept.  The design is kept long (row, place, value).  A
+    step solves its system by Gauss-Jordan elimination over a list of rows.
+    """
+    at = f"(SELECT max(j) FROM {categories})"
+    scaled = [
+        f"(CAST({c} AS DOUBLE) - (SELECT avg({c}) FROM {rows})) / coalesce(nullif((SELECT stddev_pop({c}) FROM {rows}), 0), 1)"
+        for c in numbers
+    ]
+    parts = [f"SELECT {key} AS k, CAST(1 AS BIGINT) AS j, CAST(1 AS DOUBLE) AS x FROM design"]
+    parts.append(f"SELECT {key}, c.j, 1 FROM design d JOIN {categories} c ON c.value = d.{category}")
+    parts += [f"SELECT {key}, {at} + {i + 1}, {x} FROM design" for i, x in enumerate(scaled)]
+    out = [f"""
+    design AS MATERIALIZED (SELECT * FROM {{all}}),
+    long AS MATERIALIZED ({" UNION ALL ".join(parts)}),
+    weights AS MATERIALIZED (
+        SELECT {key} AS k, CAST({label} AS DOUBLE) AS y,
+               CAST(count(*) OVER () AS DOUBLE) / (2 * count(*) OVER (PARTITION BY {label})) AS c
+        FROM {rows}
+    ),
+    size AS (SELECT max(j) AS n FROM long),
+    b0 AS MATERIALIZED (SELECT j, CAST(0 AS DOUBLE) AS b FROM (SELECT DISTINCT j FROM long))"""]
+    for s in range(1, steps + 1):
+        out.append(f"""
+    p{s} AS MATERIALIZED (
+        SELECT k, c * p * (1 - p) AS w, c * (y - p) AS r
+        FROM (SELECT l.k, any_value(y) AS y, any_value(c) AS c, 1 / (1 + exp(-sum(x * b))) AS p
+              FROM long l JOIN b{s - 1} USING (j) JOIN weights v ON v.k = l.k GROUP BY l.k)
+    ),
+    h{s} AS MATERIALIZED (
+        SELECT i, list(h ORDER BY j) AS row_ FROM (
+            SELECT u.j AS i, v.j AS j, coalesce(g.h, 0) + CASE WHEN u.j = v.j AND u.j > 1 THEN 1 ELSE 0 END AS h
+            FROM b0 u CROSS JOIN b0 v LEFT JOIN (
+                SELECT d.j AS i, e.j AS j, sum(d.x * e.x * w) AS h
+                FROM long d JOIN long e ON e.k = d.k JOIN p{s} p ON p.k = d.k GROUP BY d.j, e.j
+            ) g ON g.i = u.j AND g.j = v.j
+        ) GROUP BY i
+    ),
+    m{s} AS MATERIALIZED (
+        SELECT list(list_append(row_, g) ORDER BY i) AS m FROM h{s} JOIN (
+            SELECT l.j, sum(x * r) - any_value(CASE WHEN l.j > 1 THEN b ELSE 0 END) AS g
+            FROM long l JOIN p{s} p ON p.k = l.k JOIN b{s - 1} b ON b.j = l.j GROUP BY l.j
+        ) g ON g.j = i
+    ),
+    e{s} AS MATERIALIZED (
+        SELECT list_reduce(list_transform(range(1, (SELECT n + 1 FROM size)), lambda k: [[CAST(k AS DOUBLE)]]),
+            lambda a, at_: list_transform(a, lambda line, i:
+                CASE WHEN i = at_[1][1]
+                     THEN list_transform(line, lambda v: v / line[i])
+                     ELSE list_transform(line, lambda v, j: v - line[CAST(at_[1][1] AS INTEGER)]
+                          * a[CAST(at_[1][1] AS INTEGER)][j]
+                          / a[CAST(at_[1][1] AS INTEGER)][CAST(at_[1][1] AS INTEGER)]) END),
+            m) AS solved
+        FROM m{s}
+    ),
+    b{s} AS MATERIALIZED (SELECT j, b + solved[j][-1] AS b FROM b{s - 1}, e{s})""")
+    out.append(f"""
+    odds AS (SELECT k, sum(x * b) AS z FROM long JOIN b{steps} USING (j) GROUP BY k)""")
+    return ",".join(out)
+
+
+_EVENT_ROWS = """
+    rows_ AS MATERIALIZED (
+        SELECT event_id, event_type AS tipo, CAST(hour(ts) AS INTEGER) AS hora,
+               CAST(isodow(ts) - 1 AS INTEGER) AS dia_semana, round(sqrt(value), 3) AS raiz,
+               CAST(value + 20 * CAST(event_type = 'purchase' AS INTEGER) + (user_id * 7) % 31 >= 70 AS INTEGER) AS y
+        FROM events
+    ),
+    kinds AS (
+        SELECT tipo AS value, row_number() OVER (ORDER BY tipo) + 1 AS j FROM (SELECT DISTINCT tipo FROM rows_)
+    )"""
 
 
-@query()
+@query(f"""
+    WITH {_EVENT_ROWS.strip()},
+    {newton_sql("rows_", "event_id", "tipo", "kinds", ["hora", "dia_semana", "raiz"], "y").replace("{all}", "rows_").strip()}
+    SELECT event_id, y, round(1 / (1 + exp(-z)), 6) AS p FROM rows_ JOIN odds ON k = event_id
+""")
 def logistic_scores(spark, sf_dir):
-    """Weighted logistic regression; checked against a Newton solution in the tests."""
+    """Weighted logistic regression, solved to the last digits by Newton steps on both sides."""
     rows, model = _event_model(spark, sf_dir)
     return op.positive_probability(model, rows).select(
         "event_id", "y", F.round("p", 6).alias("p")

@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 
 from queries.inputs import CALLS_CTE, WEATHER_CTE, calls_raw, regions, weather_raw
 from queries.registry import query
+from queries.scoring import newton_sql
 from stormgrid import defaults as D
 from stormgrid.operators import sentinel_counts
 from stormgrid.plans.calls import clean_calls, daily_incidents
@@ -167,3 +168,79 @@ def risk_evaluation(spark, sf_dir):
     return run.metrics.select(
         F.lit(run.threshold).alias("threshold"), *run.metrics.columns, run.auc.scalar().alias("auc")
     )
+
+
+#: A model small enough to be solved again in SQL: one category and a few numbers.
+FEW = ["humedad", "presion", "precip_1d", "precip_7d", "llovio_ayer", "temporada_lluvias"]
+_RISK_CTE = f"""
+    feats AS MATERIALIZED (SELECT fecha, alcaldia, {", ".join(FEW)}, {D.LABEL} FROM ({_feature_sql()})),
+    numbered AS MATERIALIZED (
+        SELECT *, row_number() OVER (ORDER BY fecha, alcaldia) AS k,
+               CAST(floor(count(*) OVER () * {D.TRAIN_FRACTION}) AS BIGINT) AS cut
+        FROM feats
+    ),
+    train AS MATERIALIZED (SELECT * FROM numbered WHERE k <= cut),
+    kinds AS (
+        SELECT alcaldia AS value, row_number() OVER (ORDER BY alcaldia) + 1 AS j
+        FROM (SELECT DISTINCT alcaldia FROM train)
+    ),
+    {newton_sql("train", "k", "alcaldia", "kinds", FEW, D.LABEL).replace("{all}", "numbered").strip()},
+    scored AS MATERIALIZED (
+        SELECT n.*, 1 / (1 + exp(-z)) AS p, {D.LABEL} AS y FROM numbered n JOIN odds ON odds.k = n.k
+    ),
+    umbrales AS (
+        SELECT CAST(0.01 AS DOUBLE) + i * ((CAST(0.01 AS DOUBLE) + CAST(0.01 AS DOUBLE))
+                                           - CAST(0.01 AS DOUBLE)) AS t
+        FROM range(99) r(i)
+    ),
+    best AS (
+        SELECT t, CAST(2 * count(*) FILTER (y = 1 AND p >= t) AS DOUBLE)
+                  / (2 * count(*) FILTER (y = 1 AND p >= t) + count(*) FILTER (y = 0 AND p >= t)
+                     + count(*) FILTER (y = 1 AND p < t)) AS f1
+        FROM scored, umbrales WHERE k > cut GROUP BY t ORDER BY f1 DESC, t LIMIT 1
+    )"""
+
+
+def _risk_few(spark, sf_dir):
+    table = features(spark, sf_dir).select("fecha", "alcaldia", *FEW, D.LABEL)
+    rounded = {c: F.round(c, 6) for c, kind in table.dtypes if kind == "double"}
+    return train_and_score(table.withColumns(rounded))
+
+
+@query(f"""
+    WITH {_RISK_CTE.strip()}
+    SELECT fecha, alcaldia, round(p, 6) AS probabilidad_lluvia_intensa,
+           CAST(p >= t AS INTEGER) AS prediccion_lluvia_intensa, CAST(y AS INTEGER) AS valor_real,
+           CASE WHEN p <= CAST(0.33 AS DOUBLE) THEN 'BAJO' WHEN p <= CAST(0.66 AS DOUBLE) THEN 'MEDIO'
+                ELSE 'ALTO' END AS riesgo
+    FROM scored, best
+""")
+def risk_report_few(spark, sf_dir):
+    """Split, fit, threshold and score of every region-day, with few enough columns for SQL."""
+    return _risk_few(spark, sf_dir).predictions.withColumn(
+        "probabilidad_lluvia_intensa", F.round("probabilidad_lluvia_intensa", 6)
+    )
+
+
+@query(f"""
+    WITH {_RISK_CTE.strip()},
+    c AS (
+        SELECT count(*) FILTER (y = 1 AND p >= t) AS tp, count(*) FILTER (y = 0 AND p >= t) AS fp,
+               count(*) FILTER (y = 1 AND p < t) AS fn, count(*) FILTER (y = 0 AND p < t) AS tn
+        FROM scored, best WHERE k > cut
+    ), pairs AS (
+        SELECT avg(CASE WHEN a.p > b.p THEN 1.0::DOUBLE WHEN a.p = b.p THEN 0.5::DOUBLE ELSE 0 END) AS auc
+        FROM scored a, scored b WHERE a.k > a.cut AND b.k > b.cut AND a.y = 1 AND b.y = 0
+    )
+    SELECT t AS threshold, CAST(tp + tn AS DOUBLE) / (tp + tn + fp + fn) AS accuracy,
+           coalesce(CAST(tp AS DOUBLE) / nullif(tp + fp, 0), 0) AS precision,
+           coalesce(CAST(tp AS DOUBLE) / nullif(tp + fn, 0), 0) AS recall,
+           CAST(2 * tp AS DOUBLE) / (2 * tp + fp + fn) AS f1, round(auc, 9) AS auc
+    FROM c, best, pairs
+""")
+def risk_evaluation_few(spark, sf_dir):
+    """Hold-out figures of that run, all from one table of counts by score."""
+    run = _risk_few(spark, sf_dir)
+    return run.metrics.select(
+        F.lit(run.threshold).alias("threshold"), *run.metrics.columns,
+        F.round(run.auc.scalar(), 9).alias("auc"))

@@ -7,6 +7,7 @@ a key that holds a third of the table costs one partial row per task.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -37,6 +38,18 @@ def crosstab(
     return rows.groupBy(*keys).agg(*is_value)
 
 
+def crosstab_map(df: DataFrame, keys: Sequence[str], category: str, out: str = "counts") -> DataFrame:
+    """Counts per category as one map column (category -> rows); rows null in a key or the category are dropped.
+
+    No list of categories is made anywhere, so there can be any number of them; a row holds those of
+    its key.  ``try_element_at(counts, v)`` reads one, null where a key has none.
+    """
+    keys = list(keys)
+    counts = df.dropna(subset=[*keys, category]).groupBy(*keys, category).agg(F.count(F.lit(1)).alias("_n"))
+    entries = F.sort_array(F.collect_list(F.struct(category, "_n")))
+    return counts.groupBy(*keys).agg(F.map_from_entries(entries).alias(out))
+
+
 def value_counts(df: DataFrame, col: str) -> DataFrame:
     """(value, n) by falling count, nulls dropped."""
     return (
@@ -75,6 +88,40 @@ def count_distinct_by(
     return rows.groupBy(*keys).agg(*[F.count_distinct(c).alias(c + "_distinct") for c in cols])
 
 
+def count_distinct_whole(
+    df: DataFrame, cols: Sequence[str], keys: Sequence[str] = (), sparse: int = 64
+) -> DataFrame:
+    """Exact distinct counts of whole-number columns by bitmaps, global or per group.
+
+    Values of 32,768 in a row share a bitmap of 4 KB, so what is shuffled and held depends on the
+    range of a column, not on its rows, and no row is repeated per column.  A column whose range is
+    more than ``sparse`` times its values, where bitmaps would be mostly empty, is counted by
+    ``count_distinct``; one aggregation over the table tells.
+    """
+    keys, cols = list(keys), list(cols)
+    rows = df.dropna(subset=keys) if keys else df
+    spans = rows.agg(*[
+        F.struct(F.min(c).alias("low"), F.max(c).alias("high"), F.approx_count_distinct(c).alias("n")).alias(c) for c in cols
+    ]).first()
+    parts = []
+    for i, c in enumerate(cols):
+        valued = rows.filter(F.col(c).isNotNull())
+        span = spans[c]
+        if span["n"] and span["high"] - span["low"] > sparse * span["n"]:
+            counted = valued.groupBy(*keys).agg(F.count_distinct(c).alias("_n"))
+        else:
+            value = F.col(c).cast("long")
+            bits = valued.groupBy(*keys, F.bitmap_bucket_number(value).alias("_bucket")).agg(
+                F.bitmap_construct_agg(F.bitmap_bit_position(value)).alias("_bits"))
+            counted = bits.groupBy(*keys).agg(F.coalesce(F.sum(F.bitmap_count("_bits")), F.lit(0)).alias("_n"))
+        parts.append(counted.select(*keys, F.lit(i).alias("_i"), "_n"))
+    if keys:  # a group without any value still counts, as zero
+        parts.append(rows.groupBy(*keys).agg(F.lit(len(cols)).alias("_i"), F.lit(0).cast("long").alias("_n")))
+    found = reduce(DataFrame.unionByName, parts)
+    wide = [F.coalesce(F.max(F.when(F.col("_i") == i, F.col("_n"))), F.lit(0)).alias(c + "_distinct") for i, c in enumerate(cols)]
+    return found.groupBy(*keys).agg(*wide)
+
+
 def count_by(df: DataFrame, key: str) -> DataFrame:
     """Rows per value in value order."""
     return df.dropna(subset=[key]).groupBy(key).agg(F.count(F.lit(1)).alias("n")).orderBy(key)

@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from stormgrid import defaults as D
 from stormgrid.functions.parse import to_number
@@ -29,8 +30,16 @@ def keep_nonempty(df: DataFrame, col: str) -> DataFrame:
 
 
 def numbers(df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    """Coerce each column to double, unusable values to null."""
-    return df.withColumns({c: to_number(F.col(c)) for c in cols})
+    """Coerce each column to double, unusable values to null; only text is parsed."""
+    kinds = {f.name: f.dataType for f in df.schema}
+
+    def number(c: str) -> Column:
+        value = F.col(c)
+        if isinstance(kinds[c], (T.DoubleType, T.FloatType)):
+            return F.nanvl(value.cast("double"), F.lit(None).cast("double"))
+        return value.cast("double") if isinstance(kinds[c], T.NumericType) else to_number(value)
+
+    return df.withColumns({c: number(c) for c in cols})
 
 
 def mask_sentinel(

@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from stormgrid import defaults as D
 from stormgrid.operators.scale import SLICE_ROWS, ranged
+from stormgrid.session import materialize
 
 
 def _ratio(a: Column, b: Column) -> Column:
@@ -33,6 +36,16 @@ def _thresholds_reached(p: Column, start: float, step: float, count: int) -> Col
     )
 
 
+def score_counts(df: DataFrame, y: str, p: str) -> DataFrame:
+    """(p, pos, neg): positive and negative rows per score; rows without label or score are left out.
+
+    Threshold, metrics, confusion, report and AUC of ``Evaluation`` all follow from this table.
+    """
+    return df.dropna(subset=[y, p]).groupBy(F.col(p).alias("p")).agg(
+        F.count_if(F.col(y) == 1).alias("pos"), F.count_if(F.col(y) != 1).alias("neg"),
+    )
+
+
 def best_threshold(
     df: DataFrame,
     y: str,
@@ -48,12 +61,17 @@ def best_threshold(
     threshold scores above zero the row is (0, 0).
     """
     start, step, count = thresholds
-    delta = (start + step) - start
     bins = (
         df.dropna(subset=[y, p])
         .groupBy(_thresholds_reached(F.col(p), start, step, count).alias("bin"))
         .agg(F.count_if(F.col(y) == 1).alias("pos"), F.count_if(F.col(y) != 1).alias("neg"))
     )
+    return _best_of(bins, start, step)
+
+
+def _best_of(bins: DataFrame, start: float, step: float) -> DataFrame:
+    """The best threshold from rows counted by the number of thresholds they reach."""
+    delta = (start + step) - start
     up = Window.orderBy("bin")
     down = Window.orderBy(F.desc("bin")).rowsBetween(Window.unboundedPreceding, 0)
     everything = up.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
@@ -89,8 +107,12 @@ def _cells(df: DataFrame, y: str, pred: str) -> DataFrame:
 
 def binary_metrics(df: DataFrame, y: str, pred: str) -> DataFrame:
     """One row: accuracy, precision, recall, f1 (0 where a denominator is 0)."""
+    return _metrics_of(_cells(df, y, pred))
+
+
+def _metrics_of(cells: DataFrame) -> DataFrame:
     tn, fp, fn, tp = (F.col(c) for c in ("tn", "fp", "fn", "tp"))
-    return _cells(df, y, pred).select(
+    return cells.select(
         _ratio(tp + tn, tp + tn + fp + fn).alias("accuracy"),
         _ratio(tp, tp + fp).alias("precision"),
         _ratio(tp, tp + fn).alias("recall"),
@@ -100,15 +122,23 @@ def binary_metrics(df: DataFrame, y: str, pred: str) -> DataFrame:
 
 def confusion(df: DataFrame, y: str, pred: str) -> DataFrame:
     """Four rows (actual, predicted, n), empty cells included."""
+    return _confusion_of(_cells(df, y, pred))
+
+
+def _confusion_of(counts: DataFrame) -> DataFrame:
     cells = F.array(*[
         F.struct(F.lit(a).alias("actual"), F.lit(b).alias("predicted"), F.col(c).alias("n"))
         for a, b, c in [(0, 0, "tn"), (0, 1, "fp"), (1, 0, "fn"), (1, 1, "tp")]
     ])
-    return _cells(df, y, pred).select(F.inline(cells))
+    return counts.select(F.inline(cells))
 
 
 def class_report(df: DataFrame, y: str, pred: str) -> DataFrame:
     """(label, precision, recall, f1, support): classes, accuracy, macro and weighted means."""
+    return _report_of(_cells(df, y, pred))
+
+
+def _report_of(cells: DataFrame) -> DataFrame:
     tn, fp, fn, tp = (F.col(c) for c in ("tn", "fp", "fn", "tp"))
 
     def line(label: str, hit: Column, extra: Column, missed: Column) -> Column:
@@ -120,7 +150,7 @@ def class_report(df: DataFrame, y: str, pred: str) -> DataFrame:
             (hit + missed).alias("support"),
         )
 
-    classes = _cells(df, y, pred).select(
+    classes = cells.select(
         "*", line("0", tn, fn, fp).alias("zero"), line("1", tp, fp, fn).alias("one")
     )
     zero, one = F.col("zero"), F.col("one")
@@ -153,20 +183,70 @@ def roc_auc(df: DataFrame, y: str, p: str, slice_rows: int = SLICE_ROWS) -> Data
     slices of ``slice_rows``: the negatives below a score are those of lower slices
     plus those below it in its own slice.
     """
-    scores = df.dropna(subset=[y, p]).groupBy(p).agg(
-        F.count_if(F.col(y) == 1).alias("pos"), F.count_if(F.col(y) != 1).alias("neg"),
-    )
+    return _auc_of(score_counts(df, y, p), slice_rows)
+
 
+def _auc_of(scores: DataFrame, slice_rows: int = SLICE_ROWS) -> DataFrame:
     def before(c: str, w) -> Column:
         return F.coalesce(F.sum(c).over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
 
-    cut = ranged(scores, [p], slice_rows)
+    cut = ranged(scores, ["p"], slice_rows)
     lower = (
         cut.groupBy("_slice").agg(F.sum("neg").alias("neg"))
         .select("_slice", before("neg", Window.orderBy("_slice")).alias("_lower"))
     )
-    own = Window.partitionBy("_slice").orderBy(p)
+    own = Window.partitionBy("_slice").orderBy("p")
     ranked = cut.join(lower, "_slice").withColumn("below", F.col("_lower") + before("neg", own))
     won = F.sum(F.col("pos") * (F.col("below") + F.col("neg") / 2))
     pairs = F.sum("pos").cast("double") * F.sum("neg").cast("double")
     return ranked.agg(F.try_divide(won, pairs).alias("auc"))
+
+
+@dataclass
+class Evaluation:
+    """All figures of one set of scores; the frames read the written table of counts by score."""
+
+    counts: DataFrame
+    threshold: float
+    f1: float
+    metrics: DataFrame
+    confusion: DataFrame
+    report: DataFrame
+    auc: DataFrame
+
+
+def evaluate_scores(
+    df: DataFrame,
+    y: str,
+    p: str,
+    threshold: float | None = None,
+    thresholds: tuple[float, float, int] = (
+        D.THRESHOLD_START, D.THRESHOLD_STEP, D.THRESHOLD_COUNT,
+    ),
+    slice_rows: int = SLICE_ROWS,
+) -> Evaluation:
+    """Threshold, metrics, confusion, report and AUC of scores that are read once.
+
+    The rows are merged per score and written; everything else is an aggregation of that table.
+    Without ``threshold`` the one with the highest F1 is taken, and ``f1`` is then its F1.  The
+    decision is ``p >= threshold``.
+    """
+    counts = materialize(score_counts(df, y, p))
+    start, step, count = thresholds
+    reached = _thresholds_reached(F.col("p"), start, step, count).alias("bin")
+    bins = counts.groupBy(reached).agg(F.sum("pos").alias("pos"), F.sum("neg").alias("neg"))
+    best = _best_of(bins, start, step).first()
+    chosen = best["threshold"] if threshold is None else float(threshold)
+    yes = F.col("p") >= F.lit(chosen)
+
+    def rows(c: str, decided: Column) -> Column:
+        return F.coalesce(F.sum(F.when(decided, F.col(c))), F.lit(0))
+
+    cells = counts.agg(
+        rows("neg", ~yes).alias("tn"), rows("neg", yes).alias("fp"),
+        rows("pos", ~yes).alias("fn"), rows("pos", yes).alias("tp"),
+    )
+    metrics = _metrics_of(cells)
+    f1 = best["f1"] if threshold is None else metrics.first()["f1"]
+    return Evaluation(
+        counts, chosen, f1, metrics, _confusion_of(cells), _report_of(cells), _auc_of(counts, slice_rows))

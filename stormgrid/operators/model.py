@@ -146,8 +146,10 @@ def fit(
     return FittedModel(indexes, Pipeline(stages=stages).fit(rows))
 
 
-def positive_probability(model: FittedModel, df: DataFrame, out: str = "p") -> DataFrame:
-    """``df`` with the probability of class 1."""
+def positive_probability(model, df: DataFrame, out: str = "p") -> DataFrame:
+    """``df`` with the probability of class 1, by a ``FittedModel`` or a ``NewtonModel``."""
+    if not isinstance(model, FittedModel):
+        return model.transform(df, out)
     scored = model.transform(df)
     return scored.select(*df.columns, vector_to_array("probability__")[1].alias(out))
 
@@ -157,7 +159,7 @@ def risk_class(p: Column) -> Column:
 
 
 def score(
-    model: FittedModel,
+    model,
     df: DataFrame,
     threshold: float,
     keys: Sequence[str] = ("fecha", "alcaldia"),

@@ -4,7 +4,8 @@
   the hot keys salted.
 * ``sliced``: the rows of hot keys, cut into contiguous slices by range partitioning, so that a
   running computation becomes "inside the slice" plus "carried over from earlier slices".
-* ``ranged`` and ``kth_key``: the same for the order of a whole frame.
+* ``ranged``: the same for the order of a whole frame.
+* ``kth_key``: an order statistic by counts, column by column, without moving rows.
 
 Slices come from Spark's sampled range partitioning over key, order and a tie column, so they hold
 about as many rows as asked for however often an order value repeats, and nothing is collected.
@@ -147,32 +148,86 @@ def ranged(df: DataFrame, order: Sequence[str | Column], slice_rows: int = SLICE
 # ---------------------------------------------------------------------------
 # Order statistics
 # ---------------------------------------------------------------------------
+def _rising(df: DataFrame, name: str) -> DataFrame:
+    """Rows per value of a column; single rows are merged before they are shuffled."""
+    return df.groupBy(name).agg(F.count(F.lit(1)).alias("_n"))
+
+
+#: Numbers a quantile sketch keeps, and the share of rows its answers may be off by.
+_SKETCH = 10_000
+_OFF = 2 / _SKETCH
+
+
+def _around(df: DataFrame, name: str, k: int, slice_rows: int) -> tuple[DataFrame, int]:
+    """The rows whose value is near the ``k``-th one's, and how many rows lie below them.
+
+    While a column has more than ``slice_rows`` distinct values, a quantile sketch names two values
+    the ``k``-th lies between and the rows are narrowed to those; sketches and counts are partial
+    aggregates, so no row moves.  Text has no quantiles and stays whole.
+    """
+    c, below = F.col(name), 0
+    kind = df.schema[name].dataType
+    while isinstance(kind, (T.NumericType, T.DateType, T.TimestampType, T.TimestampNTZType)):
+        seen = df.agg(F.count(F.lit(1)).alias("rows"), F.approx_count_distinct(c).alias("values")).first()
+        if seen["values"] <= slice_rows:
+            break
+        share = (k - below) / seen["rows"]
+        at = [max(0.0, share - _OFF), min(1.0, share + _OFF)]
+        low, high = df.agg(F.percentile_approx(c, at, _SKETCH).alias("q")).first()["q"]
+        inside = c.between(F.lit(low).cast(kind), F.lit(high).cast(kind))
+        counts = df.agg(F.count_if(c < F.lit(low).cast(kind)).alias("below"), F.count_if(inside).alias("inside")).first()
+        if not counts["below"] < k - below <= counts["below"] + counts["inside"] or counts["inside"] == seen["rows"]:
+            break
+        df, below = df.filter(inside), below + counts["below"]
+    return df, below
+
+
+def _kth_value(df: DataFrame, name: str, k: int, rows: int, slice_rows: int) -> Row | None:
+    """(value, below, own): the ``k``-th of a column, nulls last, rows before it and rows equal to it."""
+    below = 0
+    if rows > slice_rows:
+        known = df.filter(F.col(name).isNotNull())
+        valued = known.count()
+        if k > valued:
+            return Row(value=None, below=valued, own=rows - valued) if k <= rows else None
+        df, below = _around(known, name, k, slice_rows)
+    by = F.col(name).asc_nulls_last()
+    keys = ranged(_rising(df, name), [by], slice_rows) if rows > slice_rows else _rising(df, name).withColumn("_slice", F.lit(0))
+    chosen = 0
+    if rows > slice_rows:
+        for row in keys.groupBy("_slice").agg(F.sum("_n").alias("n")).orderBy("_slice").toLocalIterator():
+            if below + row["n"] >= k:
+                chosen = row["_slice"]
+                break
+            below += row["n"]
+    upto = Window.partitionBy("_slice").orderBy(by).rowsBetween(Window.unboundedPreceding, 0)
+    seen = keys.filter(F.col("_slice") == chosen).withColumn("_seen", F.sum("_n").over(upto))
+    found = seen.filter(F.col("_seen") >= k - below).orderBy("_seen").select(name, "_n", "_seen").first()
+    return found and Row(value=found[name], below=below + found["_seen"] - found["_n"], own=found["_n"])
+
+
 def kth_key(
-    df: DataFrame, order: Sequence[str], k: int, slice_rows: int = SLICE_ROWS
+    df: DataFrame, order: Sequence[str], k: int, slice_rows: int = SLICE_ROWS, rows: int | None = None
 ) -> Row | None:
     """Ordering key of the ``k``-th row (1-based) under ``order``, nulls last; None past the end.
 
-    Only the ordering columns move, merged into one weighted row per key, so copies of a key cost
-    nothing.  Slices of the keys are counted and only the one with the k-th row is sorted.
+    One column after the other: rows are counted by value, the value the ``k``-th row has is found
+    by adding up counts, and only rows with that value are looked at for the next column.  ``rows``
+    is the number of rows, where it is known.
     """
-    order = list(order)
-    if k < 1:
+    rows = df.count() if rows is None else rows
+    if not 1 <= k <= rows:
         return None
-    by = [F.col(c).asc_nulls_last() for c in order]
-    keys = ranged(df.groupBy(*order).agg(F.count(F.lit(1)).alias("_n")), by, slice_rows)
-    before, chosen = 0, None
-    for row in keys.groupBy("_slice").agg(F.sum("_n").alias("n")).orderBy("_slice").toLocalIterator():
-        if before + row["n"] >= k:
-            chosen = row["_slice"]
-            break
-        before += row["n"]
-    if chosen is None:
-        return None
-    own = Window.partitionBy("_slice").orderBy(*by).rowsBetween(Window.unboundedPreceding, 0)
-    return (
-        keys.filter(F.col("_slice") == chosen).withColumn("_seen", F.sum("_n").over(own))
-        .filter(F.col("_seen") >= k - before).orderBy("_seen").select(*order).first()
-    )
+    found = {}
+    for name in order:
+        at = _kth_value(df.select(*order), name, k, rows, slice_rows)
+        if at is None:
+            return None
+        found[name] = at["value"]
+        kind = df.schema[name].dataType
+        same = F.col(name).isNull() if at["value"] is None else F.col(name) == F.lit(str(at["value"])).cast(kind)
+        df, k, rows = df.filter(same), k - at["below"], at["own"]
+    return Row(**found)
 
 
 def up_to(order: Sequence[str], at: Row, kinds: T.StructType) -> Column:

@@ -177,8 +177,8 @@ def in_first_part(
     comparison with literals, so neither part of the split sorts or shuffles.
     ``order`` and ``tie`` together must identify a row.
     """
-    by = [order, *tie]
-    at = kth_key(df, by, int(df.count() * fraction), slice_rows)
+    by, rows = [order, *tie], df.count()
+    at = kth_key(df, by, int(rows * fraction), slice_rows, rows)
     return F.lit(False) if at is None else up_to(by, at, df.schema)
 
 

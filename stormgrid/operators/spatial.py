@@ -4,16 +4,26 @@ Each region is cut into square cells.  A cell keeps only the edges that can
 matter for a point inside it: those in its latitude band that are not entirely
 to its left (the test ray runs to the right).  A cell no edge touches is decided
 once, for the whole cell.  Points join on their cell and test the few edges left.
+
+``spatial_join`` takes the cell size from the caller.  ``spatial_join_adaptive`` finds it: a square
+around all regions is quartered as long as many edges touch it, so large regions have large cells
+inside and small cells only along their borders.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from stormgrid.operators.scale import salted_join
+from stormgrid.session import materialize
 
 CELL_TABLE_BYTES = 64 * 1024 * 1024
+#: Edges that may touch a cell before it is quartered, and how often a cell is quartered at most.
+MOST_EDGES = 16
+MOST_DEPTH = 16
 
 
 def _cross(e: Column, x: Column, y: Column) -> Column:
@@ -116,12 +126,24 @@ def spatial_join(
     cells = region_cells(regions, cell, tolerance, name)
     x, y = F.col(lon), F.col(lat)
     keyed = points.withColumns({"cx": _cell(x, cell), "cy": _cell(y, cell)})
+    return _located(points, keyed, cells, ["cx", "cy"], lat, lon, tolerance, out, max_bytes)
+
+
+def _located(
+    points: DataFrame, keyed: DataFrame, cells: DataFrame, at: list[str], lat: str, lon: str, tolerance: float,
+    out: str, max_bytes: int,
+) -> DataFrame:
+    """Points, ``keyed`` by the cells ``at`` they may lie in, with the first region that covers them.
+
+    A point has one row in ``keyed`` for which there are cells, or none.
+    """
+    x, y = F.col(lon), F.col(lat)
     size = cells.agg(
         F.count(F.lit(1)).alias("cells"), F.sum(F.size("edges")).alias("edges"),
         F.sum(F.octet_length("name")).alias("names"),
     ).first()
     if 96 * size["cells"] + 64 * (size["edges"] or 0) + (size["names"] or 0) <= max_bytes:
-        by_cell = cells.groupBy("cx", "cy").agg(
+        by_cell = cells.groupBy(*at).agg(
             F.sort_array(F.collect_list(F.struct("ordinal", "name", "whole", "edges")))
             .alias("parts")
         )
@@ -129,17 +151,112 @@ def spatial_join(
             "parts", lambda r: r["whole"] | covers(r["edges"], x, y, tolerance)
         )
         return (
-            keyed.join(F.broadcast(by_cell), ["cx", "cy"])
+            keyed.join(F.broadcast(by_cell), at)
             .withColumn("_hits", hits)
             .filter(F.size("_hits") > 0)
             .withColumn(out, F.col("_hits")[0]["name"])
-            .drop("cx", "cy", "parts", "_hits")
+            .drop(*at, "parts", "_hits")
         )
     located = (
-        salted_join(keyed.select(lat, lon, "cx", "cy").distinct(), cells, ["cx", "cy"], "inner")
+        salted_join(keyed.select(lat, lon, *at).distinct(), cells, at, "inner")
         .filter(F.col("whole") | covers(F.col("edges"), x, y, tolerance))
         .groupBy(lat, lon)
         .agg(F.min(F.struct("ordinal", "name")).alias("_first"))
         .select(lat, lon, F.col("_first.name").alias(out))
     )
     return salted_join(points, located, [lat, lon], "inner")
+
+
+def _square(regions: DataFrame) -> tuple[float, float, float] | None:
+    """(least x, least y, side) of a square with a margin around all regions; None without any."""
+    box = F.col("bbox")
+    ends = regions.agg(
+        F.min(box["minx"]).alias("minx"), F.min(box["miny"]).alias("miny"),
+        F.max(box["maxx"]).alias("maxx"), F.max(box["maxy"]).alias("maxy"),
+    ).first()
+    if ends["minx"] is None:
+        return None
+    side = max(ends["maxx"] - ends["minx"], ends["maxy"] - ends["miny"]) or 1.0
+    return ends["minx"] - side / 64, ends["miny"] - side / 64, side * (1 + 1 / 32)
+
+
+def _place(c: Column, least: float, side: float, depth: Column) -> Column:
+    return F.floor((c - F.lit(least)) / F.lit(side) * F.pow(F.lit(2.0), depth))
+
+
+def region_tree(
+    regions: DataFrame, most_edges: int = MOST_EDGES, most_depth: int = MOST_DEPTH, tolerance: float = 0.0,
+    name: str = "NOMGEO",
+) -> tuple[DataFrame, tuple[float, float, float]]:
+    """((depth, cx, cy, ordinal, name, whole, edges), square): the regions' parts in the cells of a quadtree.
+
+    A cell is quartered while more than ``most_edges`` edges touch it, of all regions together, so
+    cells do not overlap and there are at most some multiple of edges times depth of them.
+    """
+    square = _square(regions)
+    least_x, least_y, side = square or (0.0, 0.0, 1.0)
+    here = regions.select(
+        F.lit(0).cast("long").alias("cx"), F.lit(0).cast("long").alias("cy"), "ordinal", F.col(name).alias("name"),
+        F.lit(False).alias("whole"), "edges")
+    none = F.filter("edges", lambda e: F.lit(False))
+    leaves = []
+    for depth in range(most_depth + 1):
+        cell = side / 2 ** depth
+        pad = tolerance + cell * 1e-9
+
+        def low(c: str, least: float) -> Column:
+            return F.lit(least) + F.col(c) * cell - pad
+
+        def high(c: str, least: float) -> Column:
+            return F.lit(least) + (F.col(c) + 1) * cell + pad
+
+        in_reach = F.filter(
+            "edges",
+            lambda e: (F.greatest(e["y1"], e["y2"]) >= low("cy", least_y))
+            & (F.least(e["y1"], e["y2"]) <= high("cy", least_y))
+            & (F.greatest(e["x1"], e["x2"]) >= low("cx", least_x)))
+        touching = F.size(F.filter("edges", lambda e: F.least(e["x1"], e["x2"]) <= high("cx", least_x)))
+        center_x = F.lit(least_x) + (F.col("cx") + 0.5) * cell
+        center_y = F.lit(least_y) + (F.col("cy") + 0.5) * cell
+        # A part that no edge touches is inside or outside as a whole, and has no more use for edges.
+        cut = here.withColumn("edges", in_reach).withColumn("touching", F.when(F.col("whole"), 0).otherwise(touching))
+        inside = (F.col("touching") == 0) & _inside(F.col("edges"), center_x, center_y)
+        cut = cut.withColumn("whole", F.col("whole") | inside).filter(F.col("whole") | (F.col("touching") > 0))
+        cut = materialize(cut.withColumn("edges", F.when(F.col("whole"), none).otherwise(F.col("edges"))))
+        crowded = cut.groupBy("cx", "cy").agg(F.sum("touching").alias("_n")).filter(F.col("_n") > most_edges).select("cx", "cy")
+        last = depth == most_depth or crowded.isEmpty()
+        own = cut if last else cut.join(crowded, ["cx", "cy"], "left_anti")
+        leaves.append(own.select(F.lit(depth).alias("depth"), "cx", "cy", "ordinal", "name", "whole", "edges"))
+        if last:
+            break
+        quarters = F.explode(F.array(*[
+            F.struct((F.col("cx") * 2 + i).alias("cx"), (F.col("cy") * 2 + j).alias("cy")) for i in (0, 1) for j in (0, 1)]))
+        here = cut.join(crowded, ["cx", "cy"], "left_semi").select(
+            quarters.alias("q"), "ordinal", "name", "whole", "edges").select("q.*", "ordinal", "name", "whole", "edges")
+    return reduce(DataFrame.unionByName, leaves), (least_x, least_y, side)
+
+
+def spatial_join_adaptive(
+    points: DataFrame,
+    regions: DataFrame,
+    lat: str,
+    lon: str,
+    most_edges: int = MOST_EDGES,
+    most_depth: int = MOST_DEPTH,
+    tolerance: float = 0.0,
+    name: str = "NOMGEO",
+    out: str = "alcaldia",
+    max_bytes: int = CELL_TABLE_BYTES,
+) -> DataFrame:
+    """``spatial_join`` without a cell size, for regions of any mix of sizes.
+
+    A point is looked up in the cells around it, one for each depth that has cells; cells do not
+    overlap, so it meets one of them at most.
+    """
+    cells, (least_x, least_y, side) = region_tree(regions, most_edges, most_depth, tolerance, name)
+    cells = materialize(cells)
+    depths = [r["depth"] for r in cells.select("depth").distinct().orderBy("depth").collect()]
+    around = points.withColumn("depth", F.explode(F.lit(depths).cast("array<int>")))
+    keyed = around.withColumns({
+        "cx": _place(F.col(lon), least_x, side, F.col("depth")), "cy": _place(F.col(lat), least_y, side, F.col("depth"))})
+    return _located(points, keyed, cells, ["depth", "cx", "cy"], lat, lon, tolerance, out, max_bytes)

@@ -10,10 +10,9 @@ from pyspark.sql import functions as F
 
 from stormgrid import defaults as D
 from stormgrid.operators.cube import dim_region, dim_time, fact_risk
-from stormgrid.operators.metrics import (
-    best_threshold, binary_metrics, class_report, confusion, roc_auc,
-)
+from stormgrid.operators.metrics import best_threshold, evaluate_scores
 from stormgrid.operators.model import FittedModel, fit, positive_probability, score, select_features
+from stormgrid.operators.newton import MAX_COLUMNS, NewtonModel, fit_newton
 from stormgrid.operators.series import time_split
 from stormgrid.session import materialize
 from stormgrid.sources.tables import write_table
@@ -23,7 +22,7 @@ from stormgrid.sources.tables import write_table
 class RiskRun:
     """What one training run gives; the frames are lazy."""
 
-    model: FittedModel
+    model: FittedModel | NewtonModel
     threshold: float
     f1: float
     metrics: DataFrame
@@ -41,39 +40,54 @@ def train_and_score(
     fraction: float = D.TRAIN_FRACTION,
     tune_on: str = "test",
     ordered: bool = True,
+    solver: str = "newton",
 ) -> RiskRun:
     """Chronological split, fit on the early part, threshold, metrics, all rows scored.
 
+    ``solver`` is "newton" (a few exact passes; a model of more columns than ``MAX_COLUMNS`` takes the
+    other way by itself) or "lbfgs" (Spark ML).  Both minimise the same objective.
+
     The threshold is tuned on the later part by default, and the score table also
     covers the training rows, so its figures are optimistic; ``tune_on="train"``
     keeps the later part untouched.
     """
     if tune_on not in ("train", "test"):
         raise ValueError("tune_on must be 'train' or 'test'")
+    if solver not in ("newton", "lbfgs"):
+        raise ValueError("solver must be 'newton' or 'lbfgs'")
     frame = materialize(features)
     categorical, numeric = select_features(frame)
     train, test = time_split(frame, "fecha", ["alcaldia"], fraction)
-    model = fit(train, categorical, numeric, label)
-    held_out = materialize(positive_probability(model, test).select(label, "p"))  # scored once
-    tuning = held_out if tune_on == "test" else positive_probability(model, train)
-    best = best_threshold(tuning, label, "p").first()
-    scored = held_out.withColumn(
-        "pred", (F.col("p") >= F.lit(best["threshold"])).cast("int")
-    )
+    model = _fitted(train, categorical, numeric, label, solver)
+    held_out = positive_probability(model, test).select(label, "p")
+    chosen = None
+    if tune_on == "train":
+        chosen = best_threshold(positive_probability(model, train), label, "p").first()
+    found = evaluate_scores(held_out, label, "p", chosen and chosen["threshold"])
     return RiskRun(
         model=model,
-        threshold=best["threshold"],
-        f1=best["f1"],
-        metrics=binary_metrics(scored, label, "pred"),
-        confusion=confusion(scored, label, "pred"),
-        report=class_report(scored, label, "pred"),
-        auc=roc_auc(scored, label, "p"),
-        predictions=score(model, frame, best["threshold"], label=label, ordered=ordered),
+        threshold=found.threshold,
+        f1=chosen["f1"] if chosen else found.f1,
+        metrics=found.metrics,
+        confusion=found.confusion,
+        report=found.report,
+        auc=found.auc,
+        predictions=score(model, frame, found.threshold, label=label, ordered=ordered),
         train=train,
         test=test,
     )
 
 
+def _fitted(train, categorical, numeric, label: str, solver: str) -> FittedModel | NewtonModel:
+    if solver == "newton":
+        values = [F.approx_count_distinct(c).alias(c) for c in categorical]
+        columns = sum(train.agg(*values).first()) if values else 0
+        # The sketch may be a few per cent off: stay clear of the limit.
+        if 1 + len(numeric) + 1.2 * columns <= MAX_COLUMNS:
+            return fit_newton(train, categorical, numeric, label)
+    return fit(train, categorical, numeric, label)
+
+
 def write_cube(predictions: DataFrame, path: str, order_col: str | Sequence[str]) -> None:
     """Write ``dim_time``, ``dim_region`` and the fact, partitioned by day, under ``path``.
 

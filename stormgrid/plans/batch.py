@@ -6,26 +6,22 @@ from collections.abc import Sequence
 from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from stormgrid import defaults as D
-from stormgrid.operators.clean import drop_null
-from stormgrid.plans.calls import clean_calls, daily_incidents, unread_days
+from stormgrid.functions.parse import parse_day
+from stormgrid.plans.calls import clean_calls, daily_incidents
 from stormgrid.plans.panel import build_features, build_panel
+from stormgrid.plans.profile import StageLog
 from stormgrid.plans.risk import RiskRun, train_and_score, write_cube
 from stormgrid.plans.weather import (
     POINT, REGION_CELL, clean_weather, located_points, weather_from_payloads,
 )
-from stormgrid.sources.payload import read_payloads
+from stormgrid.sources.payload import PROBLEMS, rescue_payloads
 from stormgrid.sources.regions import read_regions
 from stormgrid.sources.tables import read_csv, write_table
 
 
-def _written(spark: SparkSession, df: DataFrame, path: str) -> DataFrame:
-    """Write a stage and go on from the written table, so later stages never redo it."""
-    write_table(df, path)
-    return spark.read.parquet(path)
-
-
 def prepare(
     spark: SparkSession,
     weather_csv: str,
@@ -37,12 +33,17 @@ def prepare(
     multi_line: bool = False,
     day_formats: Sequence[str] = D.DAY_FORMATS,
 ) -> DataFrame:
-    """Raw files to the feature table; every stage is kept as Parquet under ``out``."""
+    """Raw files to the feature table; every stage is kept as Parquet under ``out``.
+
+    ``out/profile`` has the counts of every stage (stage, metric, column, value), taken while the
+    stages were written.
+    """
+    log = StageLog(spark)
     regions = read_regions(spark, regions_geojson)
     # Text files are parsed once; what follows reads the rows twice.
-    raw = _written(spark, read_csv(spark, weather_csv, multi_line=multi_line), f"{out}/weather_raw")
-    weather = _written(spark, clean_weather(raw, regions, cell), f"{out}/weather_clean")
-    return _features(spark, weather, calls_csv, out, calls_encoding, multi_line, day_formats)
+    raw = log.written(read_csv(spark, weather_csv, multi_line=multi_line), f"{out}/weather_raw", "weather_raw")
+    weather = log.written(clean_weather(raw, regions, cell), f"{out}/weather_clean", "weather_clean")
+    return _features(log, weather, calls_csv, out, calls_encoding, multi_line, day_formats)
 
 
 def prepare_from_payloads(
@@ -56,31 +57,49 @@ def prepare_from_payloads(
     multi_line: bool = False,
     day_formats: Sequence[str] = D.DAY_FORMATS,
 ) -> DataFrame:
-    """As ``prepare``, with the weather from payload documents of the points inside a region."""
+    """As ``prepare``, with the weather from payload documents of the points inside a region.
+
+    Documents that cannot be used are kept with what is wrong with them under ``out/payloads_lost``
+    and counted in ``out/profile``; text where a number belongs is read as that number.
+    """
+    log = StageLog(spark)
     regions = read_regions(spark, regions_geojson)
-    payloads = drop_null(read_payloads(spark, payload_json, multi_line), POINT)
+    # Documents are parsed once; what follows reads them twice.
+    problems = {
+        ("lost", p): F.count_if(F.col("problem") == p) for p in PROBLEMS
+    } | {("unread", "values"): F.coalesce(F.sum("unread"), F.lit(0))}
+    payloads = log.written(
+        rescue_payloads(spark, payload_json, multi_line), f"{out}/payloads", "payloads", more=problems, every_column=False)
+    write_table(payloads.filter(F.col("problem").isNotNull()).select("source", "problem", "document"), f"{out}/payloads_lost")
+    payloads = payloads.filter(F.col("problem").isNull())
     points = located_points(payloads, regions, cell)
-    raw = _written(spark, weather_from_payloads(payloads, points), f"{out}/weather_raw")
-    weather = _written(spark, clean_weather(raw, regions, cell), f"{out}/weather_clean")
-    return _features(spark, weather, calls_csv, out, calls_encoding, multi_line, day_formats)
+    raw = log.written(weather_from_payloads(payloads, points), f"{out}/weather_raw", "weather_raw")
+    weather = log.written(clean_weather(raw, regions, cell), f"{out}/weather_clean", "weather_clean")
+    return _features(log, weather, calls_csv, out, calls_encoding, multi_line, day_formats)
 
 
 def _features(
-    spark: SparkSession, weather: DataFrame, calls_csv: str, out: str, calls_encoding: str,
+    log: StageLog, weather: DataFrame, calls_csv: str, out: str, calls_encoding: str,
     multi_line: bool, day_formats: Sequence[str],
 ) -> DataFrame:
-    raw_calls = read_csv(spark, calls_csv, encoding=calls_encoding, multi_line=multi_line)
-    calls = _written(spark, clean_calls(raw_calls, day_formats=day_formats), f"{out}/calls_clean")
-    write_table(unread_days(raw_calls, day_formats), f"{out}/calls_unread_days")
-    incidents = _written(spark, daily_incidents(calls), f"{out}/incidents_daily")
-    panel = _written(spark, build_panel(weather, incidents, normalized=True), f"{out}/panel")
-    return _written(spark, build_features(panel), f"{out}/features")
+    raw_calls = read_csv(log.spark, calls_csv, encoding=calls_encoding, multi_line=multi_line)
+    if "fecha_creacion" in raw_calls.columns:  # otherwise cleaning says what is missing
+        unread = F.count_if(parse_day(F.col("fecha_creacion"), day_formats).isNull())
+        raw_calls = log.watch(raw_calls, "calls_raw", more={("unread", "fecha_creacion"): unread}, every_column=False)
+    calls = log.written(clean_calls(raw_calls, day_formats=day_formats), f"{out}/calls_clean", "calls_clean")
+    incidents = log.written(daily_incidents(calls), f"{out}/incidents_daily", "incidents_daily")
+    panel = log.written(build_panel(weather, incidents, normalized=True), f"{out}/panel", "panel")
+    features = log.written(build_features(panel), f"{out}/features", "features")
+    write_table(log.table().coalesce(1), f"{out}/profile")
+    return features
 
 
 def evaluate(features: DataFrame, out: str) -> RiskRun:
     """Train and score, keep the predictions as CSV and Parquet, and write the cube."""
     run = train_and_score(features, ordered=False)
-    predictions = _written(features.sparkSession, run.predictions, f"{out}/predictions")
+    log = StageLog(features.sparkSession)
+    predictions = log.written(run.predictions, f"{out}/predictions", "predictions")
+    write_table(log.table().coalesce(1), f"{out}/profile_predictions")
     write_table(predictions, f"{out}/predictions_csv", fmt="csv")
     write_cube(predictions, f"{out}/cube", "probabilidad_lluvia_intensa")
     return replace(run, predictions=predictions)

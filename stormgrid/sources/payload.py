@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from stormgrid import defaults as D
+from stormgrid.functions.parse import to_number
 
 PAYLOAD_SCHEMA = T.StructType([
     T.StructField("lat", T.DoubleType()),
@@ -27,6 +28,51 @@ def read_payloads(spark: SparkSession, path: str, multi_line: bool = False) -> D
     return spark.read.schema(PAYLOAD_SCHEMA).option("multiLine", multi_line).json(path)
 
 
+#: What can be wrong with a document, the first that holds.
+PROBLEMS = ["not JSON", "no position", "no parameters", "no days"]
+_MISSING_WORDS = [t.upper() for t in D.NULL_TOKENS]
+
+
+def payload_columns(document: Column, anchor: str = D.PAYLOAD_ANCHOR) -> dict[str, Column]:
+    """Columns lat, lon, properties, problem, unread of a document given as text.
+
+    Types are not taken on trust: a position or value written as text is read as a number.
+    ``problem`` names what makes a document useless, one of ``PROBLEMS`` or null; ``unread`` counts
+    values that are neither a number nor a word for a missing one, which become null.
+    """
+    parsed = F.try_parse_json(document)
+    whole = F.try_variant_get(parsed, "$.properties.parameter", "map<string,variant>")
+    texts = F.map_filter(
+        F.transform_values(whole, lambda _, v: F.try_variant_get(v, "$", "map<string,string>")), lambda _, v: v.isNotNull())
+    numbers = F.transform_values(texts, lambda _, days: F.transform_values(days, lambda _, t: to_number(t)))
+    odd = F.aggregate(
+        F.map_values(texts), F.lit(0).cast("long"),
+        lambda n, days: n + F.size(F.filter(F.map_values(days), lambda t: to_number(t).isNull() & ~F.upper(F.trim(t)).isin(_MISSING_WORDS))))
+    lat, lon = (to_number(F.try_variant_get(parsed, f"$.{c}", "string")) for c in ("lat", "lon"))
+    days = F.try_element_at(numbers, F.lit(anchor))
+    problem = (
+        F.when(parsed.isNull(), PROBLEMS[0]).when(lat.isNull() | lon.isNull(), PROBLEMS[1])
+        .when(whole.isNull() | (F.size(texts) == 0), PROBLEMS[2]).when(days.isNull() | (F.size(days) == 0), PROBLEMS[3])
+    )
+    return {
+        "lat": lat, "lon": lon, "properties": F.struct(numbers.alias("parameter")),
+        "problem": problem, "unread": F.coalesce(odd, F.lit(0).cast("long")),
+    }
+
+
+def rescue_payloads(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
+    """(lat, lon, properties, problem, unread, document, source): every document, none is lost.
+
+    ``read_payloads`` gives nulls where a document is broken or a type is another; here it says
+    what is wrong.  ``document`` is kept where it cannot be used, ``source`` is its file.  Blank
+    lines are no documents.
+    """
+    text = spark.read.option("wholetext", multi_line).text(path).filter(F.trim("value") != "")
+    found = text.select("value", F.input_file_name().alias("source")).withColumns(payload_columns(F.col("value")))
+    unusable = F.when(F.col("problem").isNotNull(), F.col("value"))
+    return found.select("lat", "lon", "properties", "problem", "unread", unusable.alias("document"), "source")
+
+
 def explode_parameters(
     df: DataFrame,
     payload: str = "properties.parameter",

@@ -8,12 +8,17 @@ finished batch; nothing already landed is read again.
 
 from __future__ import annotations
 
-from pyspark.sql import SparkSession
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from stormgrid.sources.payload import PAYLOAD_SCHEMA, explode_parameters
+from stormgrid.sources.payload import PAYLOAD_SCHEMA, explode_parameters, payload_columns
+from stormgrid.sources.tables import land_batch
 
 FILES_PER_BATCH = 100
+#: Degrees of a tile, the unit of the landed table that a batch rewrites.
+TILE = 1.0
 
 
 def land_payloads(
@@ -39,3 +44,62 @@ def land_payloads(
         .option("path", target).option("checkpointLocation", progress)
         .outputMode("append").trigger(availableNow=True).start()
     )
+
+
+def land_latest(
+    spark: SparkSession,
+    source: str,
+    target: str,
+    lost: str,
+    progress: str,
+    files_per_batch: int = FILES_PER_BATCH,
+    multi_line: bool = True,
+    tile: float = TILE,
+) -> StreamingQuery:
+    """As ``land_payloads``, but a point that arrives again replaces the rows it had.
+
+    The table is partitioned by tiles.  A batch rewrites the tiles it has points in: their rows of
+    other points and the batch's own rows, of each point those of its newest file.  Doing a batch
+    again, as after a failure, gives the same table.  Documents that cannot be used are kept under
+    ``lost`` by batch.
+    """
+    text = (
+        spark.readStream.format("text").option("wholetext", multi_line)
+        .option("maxFilesPerTrigger", files_per_batch).load(source)
+        .select("value", F.col("_metadata.file_modification_time").alias("modified"), F.col("_metadata.file_path").alias("source"))
+    )
+    return (
+        text.filter(F.trim("value") != "").writeStream
+        .foreachBatch(lambda batch, number: _merge(batch, number, target, lost, tile))
+        .option("checkpointLocation", progress).trigger(availableNow=True).start()
+    )
+
+
+def _tile(degrees: Column, tile: float) -> Column:
+    return F.floor(degrees / F.lit(tile)).cast("int")
+
+
+def _merge(batch: DataFrame, number: int, target: str, lost: str, tile: float) -> None:
+    spark = batch.sparkSession
+    found = batch.withColumns(payload_columns(F.col("value")))
+    broken = found.filter(F.col("problem").isNotNull())
+    land_batch(broken.select("source", "problem", "value", F.lit(number).alias("batch")), lost, "batch")
+    newest = found.filter(F.col("problem").isNull()).groupBy("lat", "lon").agg(
+        F.max_by("properties", F.struct("modified", "source")).alias("properties"))
+    tiles = {"tile_lat": _tile(F.col("lat"), tile), "tile_lon": _tile(F.col("lon"), tile)}
+    rows = explode_parameters(newest).withColumns(tiles)
+    try:
+        landed = spark.read.parquet(target)
+    except AnalysisException as error:
+        if error.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            raise
+    else:
+        # A batch has a bounded number of files, so its points are few next to the table.
+        points = newest.select("lat", "lon")
+        touched = points.withColumns(tiles).select("tile_lat", "tile_lon").distinct()
+        others = landed.join(touched, ["tile_lat", "tile_lon"], "left_semi").join(points, ["lat", "lon"], "left_anti")
+        rows = rows.unionByName(others)
+    (
+        rows.repartition("tile_lat", "tile_lon", "lat", "lon").write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        .partitionBy("tile_lat", "tile_lon").parquet(target)
+    )

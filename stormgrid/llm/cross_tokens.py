@@ -25,9 +25,9 @@ from stormgrid.llm.pieces import Runs, byte_alphabet
 from stormgrid.llm.texts import slices, strings, written
 
 SPACE = "▁"
-#: Stretches a task remembers, and their characters, before it starts afresh.
-MEMO_STRETCHES = 400_000
-MEMO_CHARS = 14_000_000
+#: Stretches a worker remembers in each of two generations, and their characters.
+MEMO_STRETCHES = 200_000
+MEMO_CHARS = 8_000_000
 #: At most so many id pairs are broadcast: those with more than one in so many of all links' pairs.
 HOT_PAIRS = 200_000
 
@@ -64,8 +64,44 @@ def ends_of(starts: np.ndarray, ends: np.ndarray, sizes: np.ndarray) -> np.ndarr
     return total + np.where(last >= 0, ends[last] - total[last], 0)
 
 
+class Memo:
+    """Alignments of stretches by number: groups as text, four counts, pairs and their links."""
+
+    def __init__(self) -> None:
+        self.number: dict[str, int] = {}
+        self.chars = 0
+        self.keys, self.times = Runs(np.int64), Runs(np.int64)
+        self.text: list[str] = []
+        self.sums = np.zeros((1 << 12, 4), np.int64)
+        self.bad: set[int] = set()  # stretches whose bytes differ
+
+    def add(self, parts: list[str], text: list[str], sums: np.ndarray, keys: np.ndarray, times: np.ndarray, sizes: np.ndarray) -> None:
+        first = len(self.text)
+        for i, part in enumerate(parts):
+            self.number[part] = first + i
+        self.text += text
+        while len(self.sums) < len(self.text):
+            self.sums = np.concatenate([self.sums, np.zeros_like(self.sums)])
+        self.sums[first:len(self.text)] = sums
+        self.keys.add_flat(keys, sizes)
+        self.times.add_flat(times, sizes)
+        self.chars += sum(map(len, parts)) + sum(map(len, text))
+
+    def move(self, parts: list[str], to: Memo) -> None:
+        """Give what is known of these stretches to a younger memo."""
+        at = np.fromiter(map(self.number.__getitem__, parts), np.int64, len(parts))
+        first = len(to.text)
+        to.bad |= {first + i for i, n in enumerate(at.tolist()) if n in self.bad} if self.bad else set()
+        keys, sizes = self.keys.take(at)
+        to.add(parts, [self.text[n] for n in at.tolist()], self.sums[at], keys, self.times.take(at)[0], sizes)
+
+
 class Aligner:
-    """Both tokenizers, and the alignments of the stretches met so far."""
+    """Both tokenizers, and the alignments of the stretches met lately.
+
+    Stretches are remembered in two generations: when the younger is full the older one is
+    forgotten, and what is met again moves to the younger, so frequent stretches stay.
+    """
 
     def __init__(self, byte_path: str, piece_path: str, memo: int = MEMO_STRETCHES):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -89,15 +125,7 @@ class Aligner:
         self.shown = np.array([str(i) for i in range(max(len(self.a_bytes), self.n_b))], object)
         self.visible: dict[str, bool] = {}
         self.memo = memo
-        self._forget()
-
-    def _forget(self) -> None:
-        self.number: dict[str, int] = {}
-        self.chars = 0
-        self.keys, self.times = Runs(np.int64), Runs(np.int64)
-        self.text: list[str] = []  # groups as text
-        self.sums = np.zeros((1 << 12, 4), np.int64)
-        self.bad: set[int] = set()  # stretches whose bytes differ
+        self.now, self.before = Memo(), Memo()
 
     def _joins(self, part: str) -> bool:
         """Whether a stretch may stand between others: both its ends are visible characters."""
@@ -110,16 +138,18 @@ class Aligner:
     def _tokens(self, joined: str, of_a, of_b):
         """(ids, ends in bytes) of both sides, or None where bytes differ from a space and the text."""
         data = b" " + joined.encode("utf-8")
-        a, b = np.array(of_a.ids, np.int64), np.array([p.id for p in of_b.pieces], np.int64)
-        if b"".join(map(self.a_bytes.__getitem__, of_a.ids)) != data or b"".join([self.b_bytes[i] for i in b.tolist()]) != data:
+        pieces = list(of_b.pieces)
+        a_ids, b_ids = of_a.ids, [p.id for p in pieces]
+        if b"".join(map(self.a_bytes.__getitem__, a_ids)) != data or b"".join(map(self.b_bytes.__getitem__, b_ids)) != data:
             return None
+        a, b = np.array(a_ids, np.int64), np.array(b_ids, np.int64)
         spans = np.fromiter(chain.from_iterable(of_a.offsets), np.int64, 2 * len(a)).reshape(-1, 2)
         if len(data) != len(joined) + 1:  # from characters to bytes
             code = np.frombuffer((" " + joined).encode("utf-32-le"), np.uint32)
             spans = np.concatenate([[0], np.cumsum(1 + (code > 0x7F) + (code > 0x7FF) + (code > 0xFFFF))])[spans]
-        begins = np.array([p.begin for p in of_b.pieces], np.int64) + 1
+        begins = np.array([p.begin for p in pieces], np.int64) + 1
         begins[:1] = 0
-        ends = np.array([p.end for p in of_b.pieces], np.int64) + 1
+        ends = np.array([p.end for p in pieces], np.int64) + 1
         return a, ends_of(spans[:, 0], spans[:, 1], self.a_sizes[a]), b, ends_of(begins, ends, self.b_sizes[b])
 
     def align(self, batch: list[list[str]]):
@@ -184,40 +214,33 @@ class Aligner:
                 self._keep(parts, found)
 
     def _keep(self, parts: list[str], found) -> None:
-        first = len(self.text)
         if found is None:
-            self.bad.add(first)
+            self.now.bad.add(len(self.now.text))
             found = [""], np.zeros((1, 4), np.int64), *_NOTHING, np.zeros(1, np.int64)
-        shown, counts, keys, links, sizes = found
-        for i, part in enumerate(parts):
-            self.number[part] = first + i
-        self.text += shown
-        while len(self.sums) < len(self.text):
-            self.sums = np.concatenate([self.sums, np.zeros_like(self.sums)])
-        self.sums[first:len(self.text)] = counts
-        self.keys.add_flat(keys, sizes)
-        self.times.add_flat(links, sizes)
-        self.chars += sum(map(len, parts)) + sum(map(len, shown))
+        self.now.add(parts, *found)
 
     def texts(self, texts: list[str]):
         """Per text: (groups as text, '' without tokens, four counts, pair keys in order, their links)."""
-        if len(self.number) > self.memo or self.chars > MEMO_CHARS:
-            self._forget()
+        if len(self.now.number) > self.memo or self.now.chars > MEMO_CHARS:
+            self.now, self.before = Memo(), self.now
         parts = [(stretches(t) if self.apart else [t]) if t else [] for t in texts]
-        number = self.number
+        now, old = self.now, self.before.number
+        number = now.number
         fresh = dict.fromkeys(p for own in parts for p in own if p not in number)
-        if fresh:
-            self._learn(list(fresh))
+        if again := [p for p in fresh if p in old]:
+            self.before.move(again, now)
+        if new := [p for p in fresh if p not in old]:
+            self._learn(new)
         for text, own in zip(texts, parts):
             at = np.fromiter(map(number.__getitem__, own), np.int64, len(own))
-            if not own or (self.bad and not self.bad.isdisjoint(at.tolist())):
+            if not own or (now.bad and not now.bad.isdisjoint(at.tolist())):
                 yield self._whole(text) if own else ("", np.zeros(4, np.int64), *_NOTHING)
                 continue
-            keys, _ = self.keys.take(at)
-            times, _ = self.times.take(at)
+            keys, _ = now.keys.take(at)
+            times, _ = now.times.take(at)
             keys, where = np.unique(keys, return_inverse=True)
-            shown = ";".join([self.text[i] for i in at.tolist()])
-            yield shown, self.sums[at].sum(0), keys, np.bincount(where, times, len(keys)).astype(np.int64)
+            shown = ";".join([now.text[i] for i in at.tolist()])
+            yield shown, now.sums[at].sum(0), keys, np.bincount(where, times, len(keys)).astype(np.int64)
 
     def _whole(self, text: str):
         """A text with a stretch whose bytes differ: it has tokens only if its joined bytes agree."""
@@ -230,6 +253,16 @@ class Aligner:
 _NOTHING = (np.zeros(0, np.int64), np.zeros(0, np.int64))
 
 
+_ALIGNERS: dict[tuple, Aligner] = {}
+
+
+def _aligner(*key) -> Aligner:
+    """The worker's aligner; what a task has learnt serves the next one."""
+    if key not in _ALIGNERS:
+        _ALIGNERS[key] = Aligner(*key)
+    return _ALIGNERS[key]
+
+
 def _numbers(runs: list[np.ndarray]) -> pa.Array:
     offsets = np.cumsum([0, *map(len, runs)]).astype(np.int32)
     return pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate([*runs, _NOTHING[0]])))
@@ -254,7 +287,7 @@ def align(
     names = list(kinds)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        aligner = Aligner(byte_path, piece_path, memo)
+        aligner = _aligner(byte_path, piece_path, memo)
         for batch in batches:
             for rows in slices(batch, 128):
                 found = list(aligner.texts(strings(rows.column(1))))

@@ -15,6 +15,7 @@ Sliced rows are written once: a slice number must not change between two reads.
 from __future__ import annotations
 
 import math
+import re
 from collections.abc import Sequence
 from functools import reduce
 
@@ -47,6 +48,15 @@ def table_bytes(df: DataFrame) -> int:
     return df.agg(F.sum(row.cast("long"))).first()[0] or 0
 
 
+_READS = {"Project", "Filter", "Relation", "LogicalRDD", "LocalRelation", "Range"}
+
+
+def _stored(df: DataFrame) -> bool:
+    """Whether a frame only reads, filters and projects what is stored."""
+    plan = df._jdf.queryExecution().optimizedPlan().toString()
+    return set(re.findall(r"^[\s:+-]*([A-Za-z]+)", plan, re.M)) <= _READS
+
+
 def row_hash(df: DataFrame, *more: Column) -> Column:
     """A hash of the row; maps cannot be hashed and are left out."""
     cols = [F.col(f"`{f.name}`") for f in df.schema if not isinstance(f.dataType, T.MapType)]
@@ -64,9 +74,12 @@ def lookup_join(
     """Join ``df`` with a lookup table; ``how`` is inner, left, left_semi or left_anti.
 
     The bytes of the lookup side are measured first.  Up to ``max_bytes`` it is broadcast and
-    ``df`` is not shuffled; beyond that both sides shuffle, salted for hot keys.
+    ``df`` is not shuffled; beyond that both sides shuffle, salted for hot keys.  A lookup side that
+    is the result of joins or aggregations is written once, so measuring it does not compute it twice.
     """
     keys = list(keys)
+    if not _stored(dim):
+        dim = materialize(dim)
     if table_bytes(dim) <= max_bytes:
         return df.join(F.broadcast(dim), keys, how)
     return salted_join(df, dim, keys, how, hot_rows)

@@ -67,7 +67,7 @@ def rescue_payloads(spark: SparkSession, path: str, multi_line: bool = False) ->
     what is wrong.  ``document`` is kept where it cannot be used, ``source`` is its file.  Blank
     lines are no documents.
     """
-    text = spark.read.option("wholetext", multi_line).text(path).filter(F.trim("value") != "")
+    text = spark.read.text(path, wholetext=multi_line).filter(F.trim("value") != "")
     found = text.select("value", F.input_file_name().alias("source")).withColumns(payload_columns(F.col("value")))
     unusable = F.when(F.col("problem").isNotNull(), F.col("value"))
     return found.select("lat", "lon", "properties", "problem", "unread", unusable.alias("document"), "source")

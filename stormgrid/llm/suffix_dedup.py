@@ -9,7 +9,7 @@ a list of runs of string starts with one anchor each, about one run every 35 byt
 2. Runs meet by anchor hash.  Of equal runs the first stays and the others are late; an anchor
    with one content only is done with then.
 3. Runs of anchors with several contents fetch their bytes from the documents and meet again by
-   anchor, or, where an anchor has very many runs, string by string.  A block of runs is sorted as
+   anchor, or, where an anchor has more runs than an average partition, string by string.  A block of runs is sorted as
    suffixes in two stages and adjacent common prefixes of ``length`` bytes or more mark equal strings.
    A string by itself can be in any share of the documents, so it is a tournament: of equal ones
    only the earliest goes on from a slice of documents, then from a salt, and those of all salts
@@ -33,13 +33,16 @@ from stormgrid.llm.texts import utf8, written
 
 LENGTH = 100
 GRAM = 32
-#: Bytes whose grams are hashed at a time, and bytes of runs sorted at a time.
+#: Bytes whose grams are hashed at a time, and bytes of runs sorted at a time (some 60 times that in memory).
 SPAN = 1 << 22
-BLOCK_BYTES = 1 << 22
+BLOCK_BYTES = 1 << 20
 #: Bytes of documents read, and of single strings listed, at a time.
 SLICE_BYTES = 1 << 23
-#: Runs of one anchor above which its strings are compared one by one.
+#: An anchor is crowded, and its strings are compared one by one, above an average partition's runs:
+#: at least so many, and at most as many as one block sorts.  Being relative, it is the same share
+#: of anchors at every size, until runs of an anchor would no longer fit a block.
 HOT_RUNS = 256
+MOST_RUNS = BLOCK_BYTES // 128
 _NO_ID = (1 << 63) - 1
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 
@@ -130,22 +133,22 @@ def late_starts(data: np.ndarray, run_at: np.ndarray, starts: np.ndarray, rank:
     by string in order of runs, whether it is late, and its run.
     """
     n = int(starts.sum())
-    run = np.repeat(np.arange(len(starts)), starts)
+    run = np.repeat(np.arange(len(starts), dtype=np.int32), starts)
     if not n:
         return np.zeros(0, bool), run
     sizes = np.diff(run_at)
     text = np.zeros(len(data) + len(sizes) + length, np.uint8)  # one separator a run
-    where = np.arange(len(data)) + np.repeat(np.arange(len(sizes)), sizes)
+    where = np.arange(len(data), dtype=np.int32) + np.repeat(np.arange(len(sizes), dtype=np.int32), sizes)
     text[where] = data + np.uint8(1)  # UTF-8 has no byte 255
-    within = np.arange(n) - np.repeat(np.cumsum(starts) - starts, starts)
-    place = run_at[run] + run + within
+    within = np.arange(n, dtype=np.int32) - np.repeat((np.cumsum(starts) - starts).astype(np.int32), starts)
+    place = run_at.astype(np.int32)[run] + run + within
     wanted = np.zeros(len(text), bool)
     wanted[place] = True
     order = two_stage_order(text, wanted, length + 4)
     heads = common_prefixes(text, order, length) < length
     heads[0] = True
-    position = np.zeros(len(text), np.int64)
-    position[place] = np.arange(n)
+    position = np.zeros(len(text), np.int32)
+    position[place] = np.arange(n, dtype=np.int32)
     string = position[order]
     key = rank[run[string]].astype(np.int64) << 32 | (at[run[string]] + within[string])
     edges = np.flatnonzero(heads)
@@ -381,18 +384,19 @@ def _unpacked_slices(batch: pa.RecordBatch) -> Iterator[tuple[pa.RecordBatch, li
             begin, held, size = row + 1, [], 0
 
 
-def _with_bytes(documents: DataFrame, runs: DataFrame, length: int, hot_runs: int) -> tuple[DataFrame, bool]:
+def _with_bytes(documents: DataFrame, runs: DataFrame, length: int, hot_runs: int | None) -> tuple[DataFrame, bool]:
     """Every run with its bytes and the key it is compared under, and whether there are single strings.
 
     Single strings have ``single`` set; rows without bytes are known to be late.
     """
-    hot = written(runs.groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > hot_runs).select(
+    salts = int(documents.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    most = max(HOT_RUNS, min(runs.count() // salts, MOST_RUNS)) if hot_runs is None else hot_runs
+    hot = written(runs.groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > most).select(
         "key", F.lit(True).alias("hot")))
     none = hot.isEmpty()
     runs = runs.withColumn("hot", F.lit(False)) if none else runs.join(hot, "key", "left")
     of_document = runs.groupBy("id", "hash").agg(
         F.collect_list(F.struct("key", "low", "count", F.coalesce("hot", F.lit(False)).alias("hot"))).alias("runs"))
-    salts = int(documents.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
     def singles(ids, hashes, low, count, at, data) -> Iterator[pa.RecordBatch]:
         """Runs of very frequent anchors, string by string, under a salted hash of their bytes."""
@@ -534,7 +538,7 @@ def _met_again(rows: DataFrame) -> DataFrame:
         "late").select("id", "hash", "low", "count")
 
 
-def late_stretches(documents: DataFrame, length: int = LENGTH, hot_runs: int = HOT_RUNS) -> DataFrame:
+def late_stretches(documents: DataFrame, length: int = LENGTH, hot_runs: int | None = None) -> DataFrame:
     """(id, hash, low, count) of all strings of ``length`` bytes that also start earlier."""
     met = written(_met(_listed(documents, length)))
     waiting = met.filter(F.col("kind") < KIND_LATE).drop("kind")
@@ -545,7 +549,7 @@ def late_stretches(documents: DataFrame, length: int = LENGTH, hot_runs: int = H
 
 
 def cut_repeats(
-    df: DataFrame, length: int = LENGTH, id_col: str = "doc_id", text_col: str = "text", hot_runs: int = HOT_RUNS,
+    df: DataFrame, length: int = LENGTH, id_col: str = "doc_id", text_col: str = "text", hot_runs: int | None = None,
     carry: bool = False,
 ) -> DataFrame:
     """(id, n_bytes, removed, kept) of every row, and with ``carry`` its text and the rest of the row.

@@ -130,3 +130,36 @@ def test_null_and_repeated_ids(awkward):
 
 def test_empty_table(nothing):
     assert cut_repeats(nothing).count() == 0
+
+
+def test_anchors_of_a_text_over_several_spans(monkeypatch):
+    """A start has the same anchor wherever the text is cut into spans."""
+    rng = np.random.default_rng(8)
+    data = rng.integers(97, 101, 5000).astype(np.uint8)
+
+    def by_start(span):
+        monkeypatch.setattr(suffix_dedup, "SPAN", span)
+        key, low, count = suffix_dedup.anchor_runs(data)
+        assert low.tolist() == sorted(low.tolist()) and int(count.sum()) == len(data) - 99
+        assert (low[1:] == low[:-1] + count[:-1]).all()
+        return np.repeat(key, count).tolist()
+
+    whole = by_start(1 << 22)
+    assert by_start(300) == whole and by_start(1777) == whole
+
+
+@pytest.mark.parametrize("n", [1, 40])
+def test_block_of_runs_needs_bounded_memory(n):
+    """Judging a block takes at most some 80 times its bytes."""
+    import tracemalloc
+
+    rng = np.random.default_rng(9)
+    size = 1 << 18
+    data = rng.integers(97, 123, size).astype(np.uint8)
+    cuts = np.linspace(0, size, n + 1).astype(np.int64)
+    starts = np.diff(cuts) - 99
+    tracemalloc.start()
+    late, _ = suffix_dedup.late_starts(data, cuts, starts, np.arange(n), np.zeros(n, np.int64))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert not late.any() and peak < 160 * size

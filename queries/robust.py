@@ -6,6 +6,7 @@ from queries.inputs import CALLS_CTE, calls_raw, point, point_sql, table
 from queries.registry import query
 from stormgrid import operators as op
 from stormgrid.functions.parse import parse_day
+from stormgrid.functions.text import normalize_key, normalize_text
 from stormgrid.plans.calls import clean_calls, daily_incidents
 from stormgrid.plans.profile import StageLog
 from stormgrid.session import table_path
@@ -181,6 +182,19 @@ def distinct_ids_by_group(spark, sf_dir):
     return op.count_distinct_whole(rows, ["l_suppkey", "l_partkey", "k"], ["l_returnflag"])
 
 
+@query("""
+    SELECT c_custkey, upper(trim(strip_accents(' Región ' || c_mktsegment))) AS segmento,
+           lower(trim(strip_accents('Ñ' || (c_nationkey % 7)))) AS zona
+    FROM customer
+""")
+def folded_values(spark, sf_dir):
+    """Keys of few values, folded once a value and looked up."""
+    rows = table(spark, sf_dir, "customer").select(
+        "c_custkey", F.concat(F.lit(" Región "), "c_mktsegment").alias("segmento"),
+        F.concat(F.lit("Ñ"), (F.col("c_nationkey") % 7).cast("string")).alias("zona"))
+    return op.fold_values(rows, {"segmento": normalize_key, "zona": normalize_text})
+
+
 # ---------------------------------------------------------------------------
 # Regions of mixed sizes
 # ---------------------------------------------------------------------------

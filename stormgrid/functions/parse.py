@@ -66,14 +66,20 @@ def parse_day(c: Column, formats: Iterable[str] = D.DAY_FORMATS) -> Column:
     """Timestamp text to its day; the first format that fits wins, else null.
 
     A failed parse costs an exception inside Spark, so each format is tried only
-    on text of its shape.
+    on text of its shape, and shapes with a slash only on text with one.
     """
     text = F.trim(c.cast("string"))
-    tries = []
+    tries: dict[bool, list[Column]] = {True: [], False: []}
     for fmt in formats:
         shape, parsed = _shape(fmt), F.try_to_timestamp(text, F.lit(fmt))
-        tries.append(parsed if shape is None else F.when(text.rlike(shape), parsed))
-    return F.coalesce(*tries).cast("date")
+        fits = parsed if shape is None else F.when(text.rlike(shape), parsed)
+        maybe = "/" in "".join(re.findall(r"\[[^\]]*", fmt))  # in an optional part
+        for slash in (True, False):
+            if shape is None or maybe or slash == ("/" in fmt):
+                tries[slash].append(fits)
+    never = F.lit(None).cast("timestamp")
+    with_slash, without = (F.coalesce(never, *tries[slash]) for slash in (True, False))
+    return F.when(F.contains(text, F.lit("/")), with_slash).otherwise(without).cast("date")
 
 
 def to_upper(c: Column) -> Column:

@@ -14,7 +14,7 @@ from stormgrid.operators.cube import (
     date_range, dim_region, dim_time, fact_risk, ranked, region_features, slice_by_date,
     typed_metrics,
 )
-from stormgrid.operators.joins import attach, keep_known, left_zero, style
+from stormgrid.operators.joins import attach, fold_values, keep_known, left_zero, style
 from stormgrid.operators.metrics import (
     best_threshold, binary_metrics, class_report, confusion, evaluate_scores, roc_auc, score_counts,
 )
@@ -34,7 +34,7 @@ __all__ = [
     "class_weights", "clean_names", "confusion", "count_by", "count_distinct_by",
     "count_distinct_whole", "covers", "crosstab", "crosstab_map", "date_range", "difference", "dim_region", "dim_time", "distinct_by",
     "distinct_sorted", "drop_null", "ensure_columns", "evaluate_scores", "fact_risk", "fill", "fit",
-    "fit_newton", "history",
+    "fit_newton", "fold_values", "history",
     "in_first_part", "keep_bbox", "keep_known", "keep_nonempty", "keep_values", "lag",
     "left_zero", "lookup_join", "mask_sentinel", "mean_by", "null_counts", "numbers",
     "positive_probability", "present", "product", "ranked", "rate_by", "region_cells",

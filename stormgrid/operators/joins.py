@@ -2,14 +2,15 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from stormgrid import defaults as D
 from stormgrid.operators.columns import ensure_columns
 from stormgrid.operators.scale import LOOKUP_BYTES, lookup_join
+from stormgrid.session import materialize
 
 
 def keep_known(
@@ -27,6 +28,28 @@ def attach(
     return lookup_join(df, dim, keys, "inner", max_bytes)
 
 
+def fold_values(
+    df: DataFrame, folds: Mapping[str, Callable[[Column], Column]], max_bytes: int = LOOKUP_BYTES
+) -> DataFrame:
+    """Replace text columns by a function of them, computed once per distinct value.
+
+    The distinct values of all columns are found in one scan with partial aggregation and written
+    with their folded form; rows then meet them through the measured lookup, so a column of few
+    values costs a hash lookup a row however dear the function is.  Nulls are folded too.
+    """
+    columns = df.columns
+    values = F.array(*[F.struct(F.lit(i).alias("_i"), F.col(c).cast("string").alias("_v")) for i, c in enumerate(folds)])
+    found = df.select(F.inline(values)).filter(F.col("_v").isNotNull()).distinct()
+    folded = F.coalesce(*[F.when(F.col("_i") == i, fold(F.col("_v"))) for i, fold in enumerate(folds.values())])
+    found = materialize(found.withColumn("_f", folded))
+    for i, (c, fold) in enumerate(folds.items()):
+        own = found.filter(F.col("_i") == i).select(F.col("_v").alias(c), F.col("_f").alias(f"_{i}"))
+        df = lookup_join(df.withColumn(c, F.col(c).cast("string")), own, [c], "left", max_bytes)
+        nothing = fold(F.lit(None).cast("string"))
+        df = df.withColumn(c, F.when(F.col(c).isNull(), nothing).otherwise(F.col(f"_{i}"))).drop(f"_{i}")
+    return df.select(*columns)
+
+
 def left_zero(
     df: DataFrame, other: DataFrame, keys: Sequence[str], fill_cols: Sequence[str]
 ) -> DataFrame:

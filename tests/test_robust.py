@@ -177,6 +177,28 @@ def test_only_text_is_parsed(spark):
     assert "rlike" not in plan(numbers(df, ["b", "c", "d"])).lower()
 
 
+@pytest.mark.parametrize("max_bytes", [1 << 26, 0])
+def test_values_are_folded_once_each(spark, max_bytes):
+    from stormgrid.functions.text import normalize_key, normalize_text
+    from stormgrid.operators.joins import fold_values
+
+    df = spark.createDataFrame([(i, [" Ñandú ", "b", None, "É\t x"][i % 4], ["Á", None][i % 2]) for i in range(400)], "id int, a string, b string")
+    want = df.withColumns({"a": normalize_text(F.col("a")), "b": normalize_key(F.col("b"))})
+    got = fold_values(df, {"a": normalize_text, "b": normalize_key}, max_bytes)
+    assert got.columns == df.columns and rows(got) == rows(want)
+    assert "translate" not in plan(got)  # the rows themselves are only looked up
+
+
+def test_day_formats_with_and_without_slash(spark):
+    from stormgrid.functions.parse import parse_day
+
+    df = spark.createDataFrame([("2021-01-02",), ("1/2/2021",), ("2021/01/02",), ("02.01.2021",), (None,), ("/",), ("x",)], "t string")
+    day = datetime.date(2021, 1, 2)
+    assert [r[0] for r in df.select(parse_day(F.col("t"))).collect()] == [day, day, day, None, None, None, None]
+    formats = ["dd.MM.yyyy", "d[/]M[/]yyyy", "yyyy-MM-dd"]
+    assert [r[0] for r in df.select(parse_day(F.col("t"), formats)).collect()] == [day, datetime.date(2021, 2, 1), None, day, None, None, None]
+
+
 # ---------------------------------------------------------------------------
 # Adaptive cells
 # ---------------------------------------------------------------------------

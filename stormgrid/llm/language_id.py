@@ -8,12 +8,12 @@ kernel matrix.  Scoring is two matrix products a batch of texts.
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -37,7 +37,7 @@ RIDGE = 1e-2
 OWN_SHARE = 0.01
 OWN_ORDERS = (2, 3, 4)
 OWN_BEFORE = 10
-_LETTER = re.compile(r"[^\W\d_]")
+_LETTER = regex.compile(r"\p{L}")
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 #: Bytes whose n-grams are looked up at a time.
@@ -117,18 +117,27 @@ def fit(texts: list[str], languages: list[str], grams: int = GRAMS, landmarks: i
         ridge: float = RIDGE) -> Model:
     """Train on texts in a fixed order; no text gives a model that answers ``und``."""
     names = sorted(set(languages))
-    present = np.zeros((len(texts), 1 << SLOT_BITS), bool)
-    for row, text in zip(present, texts):
-        for slots in gram_slots(_bytes(text)):
-            row[slots] = True
+    # Only the slots a text has are held; whole columns are made for the chosen ones.
+    slots_of = [np.unique(np.concatenate([np.zeros(0, np.int64), *gram_slots(_bytes(text))])) for text in texts]
+    counts = {k: np.zeros(1 << SLOT_BITS, np.int32) for k in names}
+    for slots, k in zip(slots_of, languages):
+        counts[k][slots] += 1
     # The n-grams whose share of texts differs most between languages.
     known = np.array(languages, dtype=object)
-    share = np.array([present[known == k].mean(axis=0) for k in names]) if names else np.zeros((0, 1 << SLOT_BITS))
-    spread = share.max(axis=0) - share.min(axis=0) if len(names) > 1 else present.mean(axis=0) if names else np.zeros(1 << SLOT_BITS)
+    sizes = {k: np.count_nonzero(known == k) for k in names}
+    most, least = np.zeros(1 << SLOT_BITS), np.full(1 << SLOT_BITS, np.inf)
+    for k in names:
+        share = counts[k] / sizes[k]
+        np.maximum(most, share, out=most)
+        np.minimum(least, share, out=least)
+    spread = most - least if len(names) > 1 else most
     chosen = np.sort(np.argsort(-spread, kind="stable")[:grams])
     column_of = np.full(1 << SLOT_BITS, len(chosen), np.int32)
     column_of[chosen] = np.arange(len(chosen))
-    x = present[:, chosen].astype(np.float32)
+    x = np.zeros((len(texts), len(chosen) + 1), np.float32)  # the last column takes the slots not chosen
+    for row, slots in zip(x, slots_of):
+        row[column_of[slots]] = 1
+    x = x[:, :-1]
     x /= np.sqrt(np.maximum(x.sum(axis=1, keepdims=True), 1))
     # Landmarks in turn from each language, so that all are represented.
     turn = {k: 0 for k in names}
@@ -140,8 +149,7 @@ def fit(texts: list[str], languages: list[str], grams: int = GRAMS, landmarks: i
     z = x[marks].T.astype(np.float32)
     if not names:
         return Model([], column_of, z, np.zeros((0, 0), np.float32), np.zeros((0, 0), np.uint8))
-    has = np.array([
-        np.packbits(present[known == k].sum(axis=0) >= max(1, OWN_SHARE * np.count_nonzero(known == k))) for k in names])
+    has = np.array([np.packbits(counts[k] >= max(1, OWN_SHARE * sizes[k])) for k in names])
     own = (x[marks] @ z).astype(np.float64)
     values, vectors = np.linalg.eigh(own)
     keep = values > 1e-6 * values[-1]
@@ -180,12 +188,13 @@ def identify(
     df: DataFrame, learn: Column, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
     carry: bool = False,
 ) -> DataFrame:
-    """(id, lang_pred, score) of every row, and with ``carry`` the input row as ``row`` and ``known``.
+    """(id, lang_pred, score) of every row, and with ``carry`` also ``text``, ``row`` and ``known``.
 
     The model is fitted on rows where ``learn`` holds and the language is known; only the text
     goes into a prediction.  A null text or one without a letter is ``und`` with score 0, as is
     every text when there is nothing to learn from.  Ties go to the first language by name.
-    ``known`` is the share of a text's n-grams that its predicted language has itself.
+    ``known`` is the share of a text's n-grams that its predicted language has itself; ``row`` has
+    the other columns of the input, so that a text travels once.
     """
     sample = fit_sample(df, learn, id_col, text_col, lang_col).collect()
     sample.sort(key=lambda r: (r["lang"], r["at"], r["text"]))
@@ -196,16 +205,16 @@ def identify(
             for part in slices(batch, 256):
                 texts = strings(part.column(1))
                 names, score = model.value.predict(texts)
-                more = [pa.array(model.value.known(texts, names))] if carry else []
+                more = [part.column(1), part.column(2), pa.array(model.value.known(texts, names))] if carry else []
                 yield pa.RecordBatch.from_arrays(
-                    [part.column(0), pa.array(names, pa.string()), pa.array(score), *part.columns[2:], *more],
-                    ["id", "lang_pred", "score", *(["row", "known"] if carry else [])],
+                    [part.column(0), pa.array(names, pa.string()), pa.array(score), *more],
+                    ["id", "lang_pred", "score", *(["text", "row", "known"] if carry else [])],
                 )
 
     rows = df.select(
         df[id_col].alias("id"), df[text_col].cast("string").alias("text"),
-        *([F.struct(*[df[c] for c in df.columns]).alias("row")] if carry else []),
+        *([F.struct(*[df[c] for c in df.columns if c != text_col]).alias("row")] if carry else []),
     )
     kind = df.schema[id_col].dataType.simpleString()
-    tail = f", row {rows.schema['row'].dataType.simpleString()}, known double" if carry else ""
+    tail = f", text string, row {rows.schema['row'].dataType.simpleString()}, known double" if carry else ""
     return rows.mapInArrow(run, f"id {kind}, lang_pred string, score double{tail}").withColumnRenamed("id", id_col)

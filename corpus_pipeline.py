@@ -29,7 +29,7 @@ def keep_known_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     ship_package(spark)
     found = identify(docs, remainder(5) != 0, carry=True)
     kept = found.filter((F.col("lang_pred") != UNDETERMINED) & (F.col("known") >= MIN_KNOWN_GRAMS))
-    return kept.select("row.*")
+    return kept.select(*["text" if c == "text" else F.col("row")[c].alias(c) for c in docs.columns])
 
 
 def drop_exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -208,7 +208,9 @@ class Runs:
 
     def add(self, runs: list) -> None:
         sizes = np.fromiter(map(len, runs), np.int64, len(runs))
-        self.add_flat(np.concatenate([np.asarray(r, self.values.dtype) for r in runs]) if runs else self.values[:0], sizes)
+        kind = self.values.dtype
+        arrays = [r if isinstance(r, np.ndarray) else np.asarray(r, kind) for r in runs]
+        self.add_flat(np.concatenate(arrays).astype(kind, copy=False) if runs else self.values[:0], sizes)
 
     def add_flat(self, values: np.ndarray, sizes: np.ndarray) -> None:
         """Runs given in a row."""

@@ -34,7 +34,10 @@ from stormgrid.llm.texts import slices, strings, written
 MARK = "▁"
 CHUNK = 1 << 14
 BLOCK = 256
-MEMO_WORDS = 250_000
+#: Words remembered in each of two generations.
+MEMO_WORDS = 150_000
+#: Ids whose bytes are looked up at a time.
+SPAN = 1 << 18
 _WORD = re.compile(f"{MARK}+[^{MARK}]*|[^{MARK}]+")
 NORMAL, UNKNOWN, BYTE = 1, 2, 6
 
@@ -69,6 +72,8 @@ class Pieces:
         if any(MARK in p.lstrip(MARK) for p in self.ids):
             raise ValueError("a piece has a space mark after another character")
         self.byte_ids = byte_ids
+        self.bytes = np.frombuffer(b"".join(self.shown), np.uint8)
+        self.bytes_at = np.cumsum([0, *map(len, self.shown)]).astype(np.int32)
         self.longest = max(map(len, self.ids), default=1)
         # Pieces by number; characters that are no piece get numbers from the vocabulary's size on.
         self.text_of = {i: p for p, i in self.ids.items()}
@@ -77,10 +82,10 @@ class Pieces:
         self.first_other = len(model.pieces)
         self.endings = Endings(self.ids)
         self._meet: dict[int, bool] = {}
-        self._start()
-
-    def _start(self) -> None:
+        self.narrow = np.dtype("<u2" if len(self.shown) <= 1 << 16 else "<i4")
+        # Words met lately, and those before them: what is met again moves to the younger ones.
         self.words, self.runs = Numbered(), Runs(np.int32)
+        self.old_words, self.old_runs = Numbered(), Runs(np.int32)
 
     def merged(self, text: str) -> list[str]:
         """Merge the best pair, of equal ones the leftmost, one at a time; for two pieces only."""
@@ -176,22 +181,44 @@ class Pieces:
     def encode_all(self, texts: list[str]) -> list[np.ndarray]:
         """Ids of texts that begin and end at cuts, spaces shown as marks."""
         if len(self.words) > MEMO_WORDS:
-            self._start()
+            self.old_words, self.old_runs = self.words, self.runs
+            self.words, self.runs = Numbered(), Runs(np.int32)
         at = []
         for text in texts:
             words = _WORD.findall(text)
             at.append(np.fromiter(map(self.words.__getitem__, words), np.int64, len(words)))
         fresh, self.words.fresh = self.words.fresh, []
         if fresh:
-            chains = self.chains(fresh)
-            self.runs.add([self.shown_ids(chains[w]) for w in fresh])
+            old = self.old_words
+            chains = self.chains([w for w in fresh if w not in old])
+            again = [w for w in fresh if w in old]
+            ids, sizes = self.old_runs.take(np.fromiter((old[w] for w in again), np.int64, len(again)))
+            known = dict(zip(again, np.split(ids, np.cumsum(sizes)[:-1]))) if again else {}
+            self.runs.add([known[w] if w in known else self.shown_ids(chains[w]) for w in fresh])
         return [self.runs.take(numbers)[0] for numbers in at]
 
     def encode(self, text: str) -> np.ndarray:
         return self.encode_all([text])[0]
 
+    def decode_all(self, runs: list[np.ndarray]) -> list[str]:
+        """Texts of id runs; their bytes are taken from one table, SPAN ids at a time."""
+        ids = np.concatenate([np.zeros(0, np.int32), *runs])
+        held, sizes_of = [], []
+        for at in range(0, len(ids), SPAN):
+            own = ids[at:at + SPAN]
+            starts = self.bytes_at[own]
+            sizes = self.bytes_at[own + 1] - starts
+            total = np.cumsum(sizes, dtype=np.int32)
+            where = np.arange(total[-1], dtype=np.int32) + np.repeat(starts - (total - sizes), sizes)
+            held.append(self.bytes[where].tobytes())
+            sizes_of.append(sizes)
+        data = b"".join(held)
+        ends = np.concatenate([[0], np.cumsum(np.concatenate([np.zeros(0, np.int64), *sizes_of]))])
+        cuts = ends[np.cumsum([0, *map(len, runs)])].tolist()
+        return [data[a:b].decode("utf-8", "each_byte") for a, b in zip(cuts, cuts[1:])]
+
     def decode(self, ids: np.ndarray) -> str:
-        return b"".join(map(self.shown.__getitem__, ids.tolist())).decode("utf-8", "each_byte")
+        return self.decode_all([ids])[0]
 
 
 # ---------------------------------------------------------------------------
@@ -261,8 +288,28 @@ class Chunk:
     def _to(self, found: dict, at: int) -> dict[State, tuple[int, tuple]]:
         return {(len(p) - (e - at), e - at): v for (e, p), v in found.items()}
 
-    def matrix(self, pieces: Pieces, first: bool, last: bool) -> dict[tuple[State, State], int]:
-        """Weight of the best way between each left and each right state; a document's ends have one."""
+    def middle(self) -> str:
+        """The text between the first and the last cut, whose ids do not depend on the states."""
+        cuts = self.cuts()
+        return self.text[cuts[0]:cuts[1]] if cuts else ""
+
+    def margins(self, pieces: Pieces) -> tuple[str, str, int, int]:
+        """(head, tail, low, end): what tracing needs besides the middle's ids.
+
+        The head goes on behind the first cut, ``low``, as far as a piece reaches; the tail begins a
+        character before the last cut, and ``end`` is its place there.  Without cuts the head is
+        everything and ``low`` is -1.
+        """
+        cuts = self.cuts()
+        if cuts is None:
+            return self.text, "", -1, self.end
+        return self.text[:cuts[0] + pieces.longest], self.text[cuts[1] - 1:], cuts[0], self.end - cuts[1] + 1
+
+    def matrix(self, pieces: Pieces, first: bool, last: bool, middle: np.ndarray | None = None) -> dict[tuple[State, State], int]:
+        """Weight of the best way between each left and each right state; a document's ends have one.
+
+        ``middle`` are the ids between the cuts, where they are known.
+        """
         free = self.free(first)
         lefts = [(0, 0)] if free else self.states(pieces, self.begin)
         cuts = self.cuts()
@@ -273,7 +320,7 @@ class Chunk:
                     out[s, t] = w
             return out
         low, high = cuts
-        middle = -len(pieces.encode(self.text[low:high]))
+        weight = -len(pieces.encode(self.text[low:high]) if middle is None else middle)
         tails = self._right(self.walk(pieces, None, high, self.end), last)
         for s in lefts:
             if s[1] > low - self.begin:
@@ -282,7 +329,7 @@ class Chunk:
             head = max((w for (e, _), (w, _) in heads.items() if e == low), default=None)
             if head is not None:
                 for t, (w, _) in tails.items():
-                    out[s, t] = head + middle + w
+                    out[s, t] = head + weight + w
         return out
 
     def _right(self, found: dict, last: bool) -> dict[State, tuple[int, tuple]]:
@@ -293,18 +340,27 @@ class Chunk:
 
     def trace(self, pieces: Pieces, first: bool, last: bool, left: State, right: State) -> np.ndarray:
         """Ids of the pieces that begin in the chunk, given its true states."""
-        start = None if self.free(first) else left
-        cuts = self.cuts()
-        if cuts is None:
-            found = self._right(self.walk(pieces, start, self.begin, self.end), last)
-            return np.array(pieces.numbers(_chain(found[right][1])), np.int32)
-        low, high = cuts
-        heads = self.walk(pieces, start, self.begin, low)
-        head = max((v for (e, _), v in heads.items() if e == low), key=lambda v: v[0])
-        tail = self._right(self.walk(pieces, None, high, self.end), last)[right]
-        return np.concatenate([
-            np.array(pieces.numbers(_chain(head[1])), np.int32), pieces.encode(self.text[low:high]),
-            np.array(pieces.numbers(_chain(tail[1])), np.int32)])
+        head, tail, low, end = self.margins(pieces)
+        middle = pieces.encode(self.middle()) if low >= 0 else None
+        return from_margins(pieces, head, tail, self.begin, low, end, middle, first, last, left, right)
+
+
+def from_margins(
+    pieces: Pieces, head: str, tail: str, begin: int, low: int, end: int, middle: np.ndarray | None,
+    first: bool, last: bool, left: State, right: State,
+) -> np.ndarray:
+    """Ids of a chunk from its margins, the ids between its cuts, and its true states."""
+    chunk = Chunk(head, begin, end if low < 0 else low)
+    start = None if chunk.free(first) else left
+    if low < 0:
+        found = chunk._right(chunk.walk(pieces, start, begin, end), last)
+        return np.array(pieces.numbers(_chain(found[right][1])), np.int32)
+    heads = chunk.walk(pieces, start, begin, low)
+    best = max((v for (e, _), v in heads.items() if e == low), key=lambda v: v[0])
+    rest = Chunk(tail, 1, end)
+    found = rest._right(rest.walk(pieces, None, 1, end), last)[right]
+    return np.concatenate([
+        np.array(pieces.numbers(_chain(best[1])), np.int32), middle, np.array(pieces.numbers(_chain(found[1])), np.int32)])
 
 
 def _chain(link: tuple) -> list[str]:
@@ -372,16 +428,28 @@ def _cut_up(giants: DataFrame, model: str, chunk: int) -> DataFrame:
     return giants.mapInArrow(run, "doc bigint, part bigint, parts bigint, text string, begin bigint, end bigint")
 
 
+#: A chunk for tracing: its margins and the ids between them.
+_TRACED = "head string, tail string, begin bigint, low bigint, end bigint, middle binary"
+
+
 def _with_matrices(chunks: DataFrame, model: str) -> DataFrame:
+    """(doc, part, parts, margins, ids of the middle, matrix): a chunk's middle is encoded here and only here."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pieces = _pieces(model)
         for batch in batches:
             for part in slices(batch, 64):
-                found = [_rows(Chunk(r["text"], r["begin"], r["end"]).matrix(pieces, r["part"] == 0, r["part"] == r["parts"] - 1))
-                         for r in part.to_pylist()]
-                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(found, _MATRIX)], [*part.schema.names, "matrix"])
+                rows = part.to_pylist()
+                cut = [Chunk(r["text"], r["begin"], r["end"]) for r in rows]
+                middles = pieces.encode_all([c.middle() for c in cut])
+                found = [_rows(c.matrix(pieces, r["part"] == 0, r["part"] == r["parts"] - 1, m)) for c, r, m in zip(cut, rows, middles)]
+                head, tail, low, end = zip(*(c.margins(pieces) for c in cut)) if cut else ((), (), (), ())
+                yield pa.RecordBatch.from_arrays(
+                    [*part.columns[:3], pa.array(head, pa.string()), pa.array(tail, pa.string()), part.column(4),
+                     pa.array(low, pa.int64()), pa.array(end, pa.int64()),
+                     pa.array([m.astype(pieces.narrow).tobytes() for m in middles], pa.binary()), pa.array(found, _MATRIX)],
+                    ["doc", "part", "parts", "head", "tail", "begin", "low", "end", "middle", "matrix"])
 
-    return chunks.mapInArrow(run, f"doc bigint, part bigint, parts bigint, text string, begin bigint, end bigint, matrix {_MATRIX_SQL}")
+    return chunks.mapInArrow(run, f"doc bigint, part bigint, parts bigint, {_TRACED}, matrix {_MATRIX_SQL}")
 
 
 def _products(parts: DataFrame, *key: str) -> DataFrame:
@@ -461,8 +529,9 @@ def encode(
         pieces = _pieces(model)
         for batch in batches:
             for part in slices(batch, 64):
-                ids = [Chunk(r["text"], r["begin"], r["end"]).trace(
-                    pieces, r["part"] == 0, r["part"] == r["parts"] - 1, (r["a"], r["b"]), (r["c"], r["d"])
+                ids = [from_margins(
+                    pieces, r["head"], r["tail"], r["begin"], r["low"], r["end"], np.frombuffer(r["middle"], pieces.narrow).astype(np.int32),
+                    r["part"] == 0, r["part"] == r["parts"] - 1, (r["a"], r["b"]), (r["c"], r["d"])
                 ).astype("<i4").tobytes() for r in part.to_pylist()]
                 yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(ids, pa.binary())], ["doc", "part", "ids"])
 
@@ -484,7 +553,7 @@ def decode(parts: DataFrame, model: str, id_col: str = "doc_id", keep_ids: bool
         pieces = _pieces(model)
         for batch in batches:
             for some in slices(batch):
-                texts = [pieces.decode(np.frombuffer(ids or b"", "<i4")) for ids in some.column(3).to_pylist()]
+                texts = pieces.decode_all([np.frombuffer(ids or b"", "<i4") for ids in some.column(3).to_pylist()])
                 texts = [t[1:] if pieces.lead and k == 0 and t.startswith(" ") else t
                          for t, k in zip(texts, some.column(2).to_pylist())]
                 yield pa.RecordBatch.from_arrays(

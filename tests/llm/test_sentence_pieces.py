@@ -27,6 +27,18 @@ def test_ids_and_texts_are_the_library_s():
         assert shown[1:] == LIBRARY.decode(ids.tolist())
 
 
+def test_forgetting_words_changes_nothing(monkeypatch):
+    from stormgrid.llm import sentence_pieces
+
+    monkeypatch.setattr(sentence_pieces, "MEMO_WORDS", 4)
+    small = Pieces(PATH)
+    texts = made_up(4) * 3
+    for at in range(0, len(texts), 3):
+        some = texts[at:at + 3]
+        found = small.encode_all([small.lead + t.replace(" ", MARK) for t in some])
+        assert [ids.tolist() for ids in found] == [LIBRARY.encode(t) for t in some]
+
+
 def test_bytes_that_are_no_utf8():
     ids = [PIECES.byte_ids[b] for b in b"\xe6\xbc\xff"]
     assert PIECES.decode(np.array(ids)) == "�" * 3 == LIBRARY.decode(ids)

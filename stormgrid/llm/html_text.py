@@ -23,11 +23,13 @@ from pyspark.sql import functions as F
 from stormgrid.llm.texts import hashed_sample, slices, strings
 
 # Elements by their role in a page.
-INLINE = set("a abbr acronym b bdi bdo big br cite code data del dfn em font i img ins kbd label mark q rp rt "
-             "ruby s samp small span strike strong sub sup time tt u var wbr".split())
+INLINE = set("a abbr acronym annotation annotation-xml b bdi bdo big br canvas cite code data del dfn em font i img ins "
+             "kbd label map mark math merror mfrac mi mn mo mover mpadded mphantom mroot mrow ms msqrt mstyle msub msubsup msup mtable "
+             "mtd mtext mtr munder munderover object q rp rt ruby s samp semantics small span strike strong sub sup "
+             "time tt u var wbr".split())
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
-SILENT = set("script style noscript template head title svg math iframe object canvas select option textarea "
-             "button".split())
+SILENT = set("script style noscript template head title svg iframe select option textarea button annotation "
+             "annotation-xml".split())
 #: What a head may hold; anything else ends one whose end tag is left out.
 IN_HEAD = set("base basefont bgsound head html link meta noframes noscript script style template title".split())
 CLOSES_PARAGRAPH = set("address article aside blockquote details div dl fieldset figcaption figure footer form h1 h2 "
@@ -122,6 +124,7 @@ class _Leaves(HTMLParser):
                 for i in range(len(self.open) - 1, -1, -1):
                     if self.open[i][0] == tag:
                         self.links -= tag == "a"
+                        self.silent -= tag in SILENT
                         del self.open[i]
                         break
                     if self.open[i][0] not in INLINE:

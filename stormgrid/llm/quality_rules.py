@@ -1,8 +1,9 @@
 """Quality rules by distribution divergence.
 
 A document's character-class and common-word histograms are compared with the reference of its
-language by Jensen-Shannon distance.  References are means over all documents of a language, each
-distinct content counting once, so neither long texts nor copies outweigh others.  Texts below a
+language by Jensen-Shannon distance.  References are means over all documents of a language that
+pass the base rules, each distinct content counting once, so neither junk, long texts nor copies
+outweigh others.  Texts below a
 minimum length are not judged by a histogram, since short samples diverge by chance.
 """
 
@@ -98,6 +99,10 @@ def _mean_of(column: str, size: int) -> Column:
     return F.array(*[F.avg(F.col(column)[i]) for i in range(size)])
 
 
+def _base_failed() -> Column:
+    return (F.col("n_words") < 20) | (100 * F.col("n_repeat_words") > 30 * F.col("n_words"))
+
+
 def references(
     hists: DataFrame, common_words: Mapping[str, Sequence[str]] = COMMON_WORDS,
     min_chars: int = MIN_CHARS, min_words: int = MIN_WORDS, min_docs: int = MIN_REFERENCE_DOCS,
@@ -108,11 +113,10 @@ def references(
     fewer than ``min_docs`` distinct contents has no reference.
     """
     widest = 1 + max(map(len, common_words.values()), default=0)
-    long = hists.filter((F.col("word_chars") >= min_chars) & (F.col("n_words") >= min_words))
-    # Copies first: one row a content, so that a content held by a third of the rows is one row.
-    distinct = long.groupBy("content").agg(
-        F.first("lang").alias("lang"), F.first("classes").alias("classes"), F.first("common").alias("common")
-    )
+    long = hists.filter((F.col("word_chars") >= min_chars) & (F.col("n_words") >= min_words) & ~_base_failed())
+    # Copies first: one row a content and language, so that a content held by a third of the rows is
+    # one row.  All else of such rows is equal, so the references do not depend on the rows' order.
+    distinct = long.groupBy("content", "lang").agg(F.first("classes").alias("classes"), F.first("common").alias("common"))
     shares = distinct.select("lang", _shares(F.col("classes")).alias("c"), _shares(F.col("common")).alias("w"))
     found = shares.rollup("lang").agg(
         F.grouping("lang").alias("all"), F.count(F.lit(1)).alias("n"), _mean_of("c", 8).alias("c"),
@@ -163,10 +167,9 @@ def judge(
     for lang, (c, w) in by_lang.items():
         class_ref = F.when(F.col("lang") == lang, _literal(c)).otherwise(class_ref)
         word_ref = F.when(F.col("lang") == lang, _literal(w)).otherwise(word_ref)
-    failed = (F.col("n_words") < 20) | (100 * F.col("n_repeat_words") > 30 * F.col("n_words"))
     judged = hists.select(
         F.col("id").alias(id_col), "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
-        "lang", failed.alias("base_failed"),
+        "lang", _base_failed().alias("base_failed"),
         F.when(F.col("word_chars") >= min_chars, js_distance(_shares(F.col("classes")), class_ref)).alias("class_distance"),
         F.when(F.col("n_words") >= min_words, js_distance(_shares(F.col("common")), word_ref)).alias("word_distance"),
     )

@@ -31,6 +31,17 @@ def test_head_without_end(html, wanted):
     assert all("head" not in b.path for b in blocks(html))
 
 
+@pytest.mark.parametrize("html, wanted", [
+    ("<p>E = <math><mi>m</mi><msup><mi>c</mi><mn>2</mn></msup></math> holds</p>", ["E = mc2 holds"]),
+    ("<p><math><semantics><mi>x</mi><annotation encoding=tex>\\x</annotation></semantics></math>y</p>", ["xy"]),
+    ("<p>a <object data=x>plain <b>words</b></object> b</p>", ["a plain words b"]),
+    ("<p>a<canvas id=c> drawn </canvas>b</p>", ["a drawn b"]),
+    ("<object><p>a</p></object>b", ["a", "b"]),
+])
+def test_formulas_and_fallback_texts_stay(html, wanted):
+    assert texts(html) == wanted
+
+
 def test_silver_labels_follow_names():
     page = blocks("<nav>n</nav><article><h1>t</h1><p>x</p><div class='comments'><p>c</p></div></article><footer>f</footer>")
     assert silver_labels(page) == [False, True, True, False, False]

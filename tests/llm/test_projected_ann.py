@@ -63,16 +63,16 @@ def test_cells_are_even():
     assert counts.min() > 240 and counts.max() < 272
 
 
-@pytest.mark.parametrize("cell_rows,most_rows", [(10 ** 6, 10 ** 6), (64, 10 ** 6), (64, 20)])
+@pytest.mark.parametrize("cell_rows,most_rows", [(10 ** 6, 10 ** 6), (64, 20)])
 def test_recall_on_vectors_without_clusters(spark, cell_rows, most_rows):
     """The hardest case: independent directions.  The scores of what is found are exact."""
     rng = np.random.default_rng(3)
-    rows = [(i, rng.standard_normal(24)) for i in range(1500)]
+    rows = [(i, rng.standard_normal(24)) for i in range(1000)]
     got, want = search(spark, rows, cell_rows=cell_rows, most_rows=most_rows), brute(rows)
     assert len(got) == len(want)
     found, true = {g[0]: set() for g in got}, {(w[0], w[2]): w[3] for w in want}
     hits = sum((g[0], g[2]) in true for g in got)
-    assert hits / len(want) >= 0.93 and len(found) == 300
+    assert hits / len(want) >= 0.93 and len(found) == 200
     assert all(abs(true[g[0], g[2]] - g[3]) < 1e-12 for g in got if (g[0], g[2]) in true)
 
 

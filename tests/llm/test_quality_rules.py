@@ -72,6 +72,33 @@ def test_verdict(spark):
     assert out[102]["kept"] and out[102]["word_distance"] is None  # too short to be judged
 
 
+def test_references_are_plain_means_whatever_the_order(spark):
+    """Copies under two languages count once in each, junk not at all."""
+    from stormgrid.llm.quality_rules import COMMON_WORDS, references
+
+    rng = random.Random(6)
+    word = lambda: rng.choice(COMMON_WORDS["en"]) if rng.random() < 0.5 else "".join(rng.choice("etaoinshr") for _ in range(5))
+    texts = [" ".join(word() for _ in range(150)) + "." for _ in range(30)]
+    rows = [(i, t, "en") for i, t in enumerate(texts)]
+    rows += [(100 + i, texts[i % 3], "fr" if i % 2 else "en") for i in range(50)]  # copies
+    rows += [(200 + i, "$%& of 17 " * 200, "en") for i in range(40)]  # repeats itself: fails the base rules
+    distinct = sorted({(t, k) for _, t, k in rows if "$" not in t})
+    shares = [[c / sum(h) for c in h] for h in (class_counts(t).tolist() for t, k in distinct if k == "en")]
+    listed = {w: i for i, w in enumerate(COMMON_WORDS["en"])}
+    words = []
+    for t, k in distinct:
+        if k == "en":
+            own = [w.strip(".,;:!?\"'()").lower() for w in t.split(" ")]
+            words.append([sum(w == x for w in own) / len(own) for x in listed] + [sum(w not in listed for w in own) / len(own)])
+    for seed in (1, 2):
+        rng.shuffle(rows)
+        frame = spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(3 + seed)
+        found = {lang: (c, w) for lang, c, w in references(histograms(frame))}
+        assert found["en"][0] == pytest.approx([sum(x) / len(x) for x in zip(*shares)], abs=1e-12)
+        assert found["en"][1] == pytest.approx([sum(x) / len(x) for x in zip(*words)], abs=1e-12)
+        assert "fr" not in found  # too few contents
+
+
 def test_unknown_language_has_no_word_histogram(spark):
     row = spark.createDataFrame([(1, "αβγ δεζ " * 60, "el")], "doc_id long, text string, lang string")
     found = histograms(row).first()

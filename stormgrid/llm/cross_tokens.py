@@ -199,12 +199,15 @@ class Aligner:
         """Align stretches not met before, many at a time where they can stand side by side."""
         batch: list[list[str]] = []
         size = JOINED
-        for part in sorted(fresh, key=self._joins):  # those that stand alone first
-            if size >= JOINED or not self._joins(part):
+        for part in fresh:
+            if not self._joins(part):
+                batch.insert(0, [part])
+                continue
+            if size >= JOINED:
                 batch.append([])
                 size = 0
             batch[-1].append(part)
-            size = JOINED if not self._joins(part) else size + len(part)
+            size += len(part)
         for parts, found in zip(batch, self.align(batch)):
             if found is None and len(parts) > 1:
                 again = [[p] for p in parts]
@@ -226,10 +229,10 @@ class Aligner:
         parts = [(stretches(t) if self.apart else [t]) if t else [] for t in texts]
         now, old = self.now, self.before.number
         number = now.number
-        fresh = dict.fromkeys(p for own in parts for p in own if p not in number)
+        fresh = set(chain.from_iterable(parts)).difference(number)
         if again := [p for p in fresh if p in old]:
             self.before.move(again, now)
-        if new := [p for p in fresh if p not in old]:
+        if new := list(fresh.difference(old)):
             self._learn(new)
         for text, own in zip(texts, parts):
             at = np.fromiter(map(number.__getitem__, own), np.int64, len(own))

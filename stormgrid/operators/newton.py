@@ -50,6 +50,12 @@ class NewtonModel:
         return df.select(*columns, (1 / (1 + F.exp(-odds))).alias(out))
 
 
+def one_class(positive: bool) -> NewtonModel:
+    """The model of rows that all have one label: the intercept grows without end, the probability is 1 or 0."""
+    limit = np.inf if positive else -np.inf
+    return NewtonModel(float(limit), {}, {}, {}, 0, np.array([limit]))
+
+
 def _rows(
     train: DataFrame, numeric: Sequence[str], scaled: dict, indexes: dict[str, DataFrame], sizes: dict[str, int],
     label: str, weight: Column,

@@ -12,7 +12,7 @@ from stormgrid import defaults as D
 from stormgrid.operators.cube import dim_region, dim_time, fact_risk
 from stormgrid.operators.metrics import best_threshold, evaluate_scores
 from stormgrid.operators.model import FittedModel, fit, positive_probability, score, select_features
-from stormgrid.operators.newton import MAX_COLUMNS, NewtonModel, fit_newton
+from stormgrid.operators.newton import MAX_COLUMNS, NewtonModel, fit_newton, one_class
 from stormgrid.operators.series import time_split
 from stormgrid.session import materialize
 from stormgrid.sources.tables import write_table
@@ -45,7 +45,8 @@ def train_and_score(
     """Chronological split, fit on the early part, threshold, metrics, all rows scored.
 
     ``solver`` is "newton" (a few exact passes; a model of more columns than ``MAX_COLUMNS`` takes the
-    other way by itself) or "lbfgs" (Spark ML).  Both minimise the same objective.
+    other way by itself) or "lbfgs" (Spark ML).  Both minimise the same objective.  Where the early part
+    has rows of one class only, every row gets that class for certain, to which the objective tends.
 
     The threshold is tuned on the later part by default, and the score table also
     covers the training rows, so its figures are optimistic; ``tune_on="train"``
@@ -79,6 +80,9 @@ def train_and_score(
 
 
 def _fitted(train, categorical, numeric, label: str, solver: str) -> FittedModel | NewtonModel:
+    classes = [r[label] for r in train.select(label).dropna().distinct().limit(3).collect()]
+    if classes in ([0], [1]):
+        return one_class(classes == [1])
     if solver == "newton":
         values = [F.approx_count_distinct(c).alias(c) for c in categorical]
         columns = sum(train.agg(*values).first()) if values else 0

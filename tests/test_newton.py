@@ -89,6 +89,22 @@ def test_too_many_categories_take_the_other_way(spark):
     assert type(train_and_score(many).model).__name__ == "FittedModel"
 
 
+@pytest.mark.parametrize("solver", ["newton", "lbfgs"])
+@pytest.mark.parametrize("only", [0, 1])
+def test_early_part_of_one_class(spark, only, solver):
+    """36 rows are held out; their labels are of both classes, or of the one as well."""
+    early = panel(spark).withColumn(
+        "lluvia_intensa", F.when(F.col("fecha") < "2021-02-18", only).otherwise(F.col("lluvia_intensa")))
+    for df in (early, early.withColumn("lluvia_intensa", F.lit(only))):
+        run = train_and_score(df, solver=solver)
+        assert rows(run.predictions.select("probabilidad_lluvia_intensa").distinct()) == [(float(only),)]
+        assert run.predictions.count() == 180 and run.confusion.agg(F.sum("n")).first()[0] == 36
+        assert run.auc.first()[0] == (0.5 if df is early else None)
+    found = run.metrics.first()
+    # Without a positive no threshold is better than 0, at which all rows count as positive.
+    assert (run.threshold, found["accuracy"], found["f1"]) == ((0.01, 1.0, 1.0) if only else (0.0, 0.0, 0.0))
+
+
 def scored(spark, n=300, seed=4):
     rng = np.random.default_rng(seed)
     held = [(int(rng.random() < 0.4), float(np.round(rng.random(), 2))) for _ in range(n)]

@@ -9,7 +9,8 @@
 
 Slices come from Spark's sampled range partitioning over key, order and a tie column, so they hold
 about as many rows as asked for however often an order value repeats, and nothing is collected.
-Sliced rows are written once: a slice number must not change between two reads.
+Sliced rows are written once: a slice number must not change between two reads.  There can be many
+more slices than tasks.
 """
 
 from __future__ import annotations
@@ -139,22 +140,43 @@ def sliced(
     if not rows:
         return df, None
     hot = hot.select("_key")
-    parts = math.ceil(rows / slice_rows)
-    cut = (
-        keyed.join(hot, "_key", "left_semi").withColumn("_tie", row_hash(df))
-        .repartitionByRange(parts, *keys, *order, "_tie")
-        .withColumn("_slice", F.spark_partition_id())
-    )
-    return keyed.join(hot, "_key", "left_anti").drop("_key"), materialize(cut)
+    tied = keyed.join(hot, "_key", "left_semi").withColumn("_tie", row_hash(df))
+    cut = _cut(tied, [*keys, *order, "_tie"], math.ceil(rows / slice_rows), rows)
+    return keyed.join(hot, "_key", "left_anti").drop("_key"), cut
 
 
 def ranged(df: DataFrame, order: Sequence[str | Column], slice_rows: int = SLICE_ROWS) -> DataFrame:
-    """``df`` with ``_slice``, rising with ``order``, of about ``slice_rows`` rows each."""
-    parts = math.ceil(df.count() / slice_rows)
+    """``df`` with ``_slice``, rising with ``order``, of about ``slice_rows`` rows each.
+
+    Rows that ``order`` does not tell apart may be in two slices that follow each other.
+    """
+    rows = df.count()
+    parts = math.ceil(rows / slice_rows)
     if parts <= 1:
         return df.withColumn("_slice", F.lit(0))
-    return materialize(
-        df.repartitionByRange(parts, *order).withColumn("_slice", F.spark_partition_id())
+    return _cut(df, order, parts, rows)
+
+
+def _cut(df: DataFrame, by: Sequence[str | Column], parts: int, rows: int) -> DataFrame:
+    """``df`` with ``_slice``: ``parts`` or a few more slices, rising with ``by``; written once.
+
+    A task is not a slice: with small slices there are no more tasks than the session shuffles to, so
+    the sample of the range partitioning and the figures of the tasks, which go to the driver, do not
+    grow with the rows.  A task sorts its range and cuts it by position into slices of even size.
+    """
+    tasks = min(parts, max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), math.ceil(rows / SLICE_ROWS)))
+    dealt = df.repartitionByRange(tasks, *by)
+    if tasks == parts:
+        return materialize(dealt.withColumn("_slice", F.spark_partition_id()))
+    # The id is the number of the partition, then 33 bits of the position in it.
+    placed = materialize(dealt.sortWithinPartitions(*by).withColumn("_id", F.monotonically_increasing_id()))
+    part, at = F.shiftright("_id", 33), F.col("_id").bitwiseAND(F.lit((1 << 33) - 1))
+    sizes = placed.groupBy(part.alias("_part")).agg(F.count(F.lit(1)).alias("_rows"))
+    each = math.ceil(parts / tasks)
+    number = F.col("_part") * each + F.floor(at * each / F.col("_rows"))
+    return (
+        placed.withColumn("_part", part).join(F.broadcast(sizes), "_part")
+        .withColumn("_slice", number.cast("int")).drop("_id", "_part", "_rows")
     )
 
 

@@ -89,7 +89,7 @@ def _predecessors(hot: DataFrame, order: list[str], rows: int) -> DataFrame:
     tails = (
         hot.withColumn("_back", F.row_number().over(latest)).filter(F.col("_back") <= rows)
         .drop("_back")
-        .withColumn("_pos", F.row_number().over(Window.partitionBy("_key").orderBy(*order, "_tie")))
+        .withColumn("_pos", F.row_number().over(Window.partitionBy("_key").orderBy("_slice", *order, "_tie")))
     )
     by_slice = Window.partitionBy("_key").orderBy("_slice")
     needs = (
@@ -138,7 +138,8 @@ def history(
     both = hot.withColumn("_copy", F.lit(False)).unionByName(
         _predecessors(hot, order, deepest).withColumn("_copy", F.lit(True))
     )
-    w = Window.partitionBy("_key", "_slice").orderBy(*order, "_tie")
+    # Copies come first, also where a row of the slice is equal to one of them.
+    w = Window.partitionBy("_key", "_slice").orderBy(F.desc("_copy"), *order, "_tie")
     carved = both.withColumns(added(w)).filter(~F.col("_copy"))
     return out.unionByName(carved.select(*out.columns))
 

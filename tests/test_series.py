@@ -9,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from stormgrid import operators as op
-from stormgrid.operators.scale import kth_key, sliced, up_to
+from stormgrid.operators.scale import kth_key, ranged, sliced, up_to
 from tests.conftest import plan, rows
 
 DAY0 = datetime.date(2021, 1, 1)
@@ -116,6 +116,30 @@ def test_few_order_values_and_null_keys_are_cut(spark, key):
     assert counts.agg(F.sum("one_25d")).first()[0] == 25 * (20_000 - 25) + sum(range(25))
 
 
+def test_many_slices_take_few_tasks(spark):
+    """4,000 slices of one key, cut in as many tasks as the session shuffles to, evenly and in order."""
+    df = spark.range(20_000).select(F.lit("h").alias("k"), F.col("id").alias("d"), F.pmod(F.col("id"), F.lit(97)).alias("x"))
+    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    cut = ranged(df, ["d"], 5)
+    for parts in (sliced(df, ["k"], ["d"], 5)[1], cut):
+        assert parts.rdd.getNumPartitions() <= tasks
+        ends = parts.groupBy("_slice").agg(F.count(F.lit(1)).alias("n"), F.min("d").alias("a"), F.max("d").alias("b"))
+        found = rows(ends.select("a", "b", "n", "_slice"), "_slice")
+        assert len(found) == 4000 and max(n for _, _, n, _ in found) <= 10
+        assert [d for a, b, _, _ in found for d in (a, b)] == sorted(d for a, b, _, _ in found for d in (a, b))
+
+
+@pytest.mark.parametrize("slice_rows", [1, 3, 7])
+def test_copies_of_rows_over_several_slices(spark, slice_rows):
+    """Rows that come up to 20 times on one day: each has as many rows before it as its place says."""
+    data = [("h", DAY0 + datetime.timedelta(i // 20), None if i // 20 % 2 else float(i // 20), 1) for i in range(200)]
+    df = spark.createDataFrame(data, SCHEMA).repartition(5)
+    counts = op.history(df, "k", "d", lags={"x": [1], "n": [3]}, sums={"n": [4, 30]}, slice_rows=slice_rows)
+    plain = op.history(df, "k", "d", lags={"x": [1], "n": [3]}, sums={"n": [4, 30]}, slice_rows=None)
+    assert rows(counts) == rows(plain)
+    assert rows(op.fill(df, "k", "d", ["x"], slice_rows)) == rows(op.fill(df, "k", "d", ["x"], None))
+
+
 def test_history_needs_one_shuffle_and_one_sort(spark, frame):
     text = plan(op.history(
         frame, "k", "d", lags={"x": [1], "n": [1]}, sums={"x": [3, 7, 14, 30], "n": [3, 7]},

@@ -33,31 +33,36 @@ PROBLEMS = ["not JSON", "no position", "no parameters", "no days"]
 _MISSING_WORDS = [t.upper() for t in D.NULL_TOKENS]
 
 
-def payload_columns(document: Column, anchor: str = D.PAYLOAD_ANCHOR) -> dict[str, Column]:
-    """Columns lat, lon, properties, problem, unread of a document given as text.
+def with_payload(df: DataFrame, document: str, anchor: str = D.PAYLOAD_ANCHOR) -> DataFrame:
+    """``df`` with the columns lat, lon, properties, problem, unread of documents given as text.
 
     Types are not taken on trust: a position or value written as text is read as a number.
     ``problem`` names what makes a document useless, one of ``PROBLEMS`` or null; ``unread`` counts
     values that are neither a number nor a word for a missing one, which become null.
+
+    What several columns need is a column first, so that a document is parsed once and not per use.
     """
-    parsed = F.try_parse_json(document)
-    whole = F.try_variant_get(parsed, "$.properties.parameter", "map<string,variant>")
-    texts = F.map_filter(
-        F.transform_values(whole, lambda _, v: F.try_variant_get(v, "$", "map<string,string>")), lambda _, v: v.isNotNull())
-    numbers = F.transform_values(texts, lambda _, days: F.transform_values(days, lambda _, t: to_number(t)))
+    parsed, whole, texts, numbers = (F.col(c) for c in ("_parsed", "_whole", "_texts", "_numbers"))
+    lat, lon = F.col("lat"), F.col("lon")
+    days = F.try_element_at(numbers, F.lit(anchor))
     odd = F.aggregate(
         F.map_values(texts), F.lit(0).cast("long"),
         lambda n, days: n + F.size(F.filter(F.map_values(days), lambda t: to_number(t).isNull() & ~F.upper(F.trim(t)).isin(_MISSING_WORDS))))
-    lat, lon = (to_number(F.try_variant_get(parsed, f"$.{c}", "string")) for c in ("lat", "lon"))
-    days = F.try_element_at(numbers, F.lit(anchor))
     problem = (
         F.when(parsed.isNull(), PROBLEMS[0]).when(lat.isNull() | lon.isNull(), PROBLEMS[1])
         .when(whole.isNull() | (F.size(texts) == 0), PROBLEMS[2]).when(days.isNull() | (F.size(days) == 0), PROBLEMS[3])
     )
-    return {
-        "lat": lat, "lon": lon, "properties": F.struct(numbers.alias("parameter")),
-        "problem": problem, "unread": F.coalesce(odd, F.lit(0).cast("long")),
-    }
+    steps = df.withColumn("_parsed", F.try_parse_json(F.col(document))).withColumns({
+        "_whole": F.try_variant_get(parsed, "$.properties.parameter", "map<string,variant>"),
+        **{c: to_number(F.try_variant_get(parsed, f"$.{c}", "string")) for c in ("lat", "lon")},
+    }).withColumn("_texts", F.map_filter(
+        F.transform_values(whole, lambda _, v: F.try_variant_get(v, "$", "map<string,string>")), lambda _, v: v.isNotNull()))
+    steps = steps.withColumn(
+        "_numbers", F.transform_values(texts, lambda _, days: F.transform_values(days, lambda _, t: to_number(t))))
+    return steps.withColumns({
+        "properties": F.struct(numbers.alias("parameter")), "problem": problem,
+        "unread": F.coalesce(odd, F.lit(0).cast("long")),
+    }).drop("_parsed", "_whole", "_texts", "_numbers")
 
 
 def rescue_payloads(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
@@ -68,7 +73,7 @@ def rescue_payloads(spark: SparkSession, path: str, multi_line: bool = False) ->
     lines are no documents.
     """
     text = spark.read.text(path, wholetext=multi_line).filter(F.trim("value") != "")
-    found = text.select("value", F.input_file_name().alias("source")).withColumns(payload_columns(F.col("value")))
+    found = with_payload(text.select("value", F.input_file_name().alias("source")), "value")
     unusable = F.when(F.col("problem").isNotNull(), F.col("value"))
     return found.select("lat", "lon", "properties", "problem", "unread", unusable.alias("document"), "source")
 

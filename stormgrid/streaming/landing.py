@@ -13,7 +13,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from stormgrid.sources.payload import PAYLOAD_SCHEMA, explode_parameters, payload_columns
+from stormgrid.session import materialize
+from stormgrid.sources.payload import PAYLOAD_SCHEMA, explode_parameters, with_payload
 from stormgrid.sources.tables import land_batch
 
 FILES_PER_BATCH = 100
@@ -81,7 +82,9 @@ def _tile(degrees: Column, tile: float) -> Column:
 
 def _merge(batch: DataFrame, number: int, target: str, lost: str, tile: float) -> None:
     spark = batch.sparkSession
-    found = batch.withColumns(payload_columns(F.col("value")))
+    # Written once: parsing a batch costs more than the rest of it, and four frames read it.
+    kept = F.when(F.col("problem").isNotNull(), F.col("value"))
+    found = materialize(with_payload(batch, "value").withColumn("value", kept))
     broken = found.filter(F.col("problem").isNotNull())
     land_batch(broken.select("source", "problem", "value", F.lit(number).alias("batch")), lost, "batch")
     newest = found.filter(F.col("problem").isNull()).groupBy("lat", "lon").agg(
@@ -99,7 +102,8 @@ def _merge(batch: DataFrame, number: int, target: str, lost: str, tile: float) -
         touched = points.withColumns(tiles).select("tile_lat", "tile_lon").distinct()
         others = landed.join(touched, ["tile_lat", "tile_lon"], "left_semi").join(points, ["lat", "lon"], "left_anti")
         rows = rows.unionByName(others)
+    # By tile and not by point, or each task has a file in every tile; a large tile is split by its bytes.
     (
-        rows.repartition("tile_lat", "tile_lon", "lat", "lon").write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        rows.hint("rebalance", "tile_lat", "tile_lon").write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
         .partitionBy("tile_lat", "tile_lon").parquet(target)
     )

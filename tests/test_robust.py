@@ -11,7 +11,7 @@ from stormgrid.operators import numbers
 from stormgrid.operators.spatial import region_tree
 from stormgrid.plans.batch import prepare_from_payloads
 from stormgrid.plans.profile import StageLog, stage_profile
-from stormgrid.sources import explode_parameters, read_payloads, rescue_payloads, with_edges
+from stormgrid.sources import explode_parameters, read_payloads, rescue_payloads, with_edges, with_payload
 from stormgrid.streaming.landing import land_latest
 from tests.conftest import plan, rows
 
@@ -142,6 +142,17 @@ def test_a_point_landed_again_replaces_itself(spark, tmp_path):
     assert spark.read.parquet(folders[1]).count() == 10
 
 
+def test_a_tile_is_one_file_and_a_document_is_parsed_once(spark, tmp_path):
+    """40 points in two tiles, landed by one batch: as many files as tiles, not as tasks."""
+    folders = [str(tmp_path / n) for n in ("in", "out", "lost", "progress")]
+    documents = [json.dumps(GOOD | {"lat": 0.25 * i, "lon": 1.0}) for i in range(40)]
+    spark.createDataFrame([(d,) for d in documents], "value string").coalesce(1).write.text(folders[0])
+    land_latest(spark, *folders, multi_line=False, tile=5.0).awaitTermination()
+    landed = spark.read.parquet(folders[1])
+    assert landed.count() == 80 and landed.select(F.input_file_name()).distinct().count() == 2
+    assert plan(with_payload(spark.read.text(folders[0]), "value")).lower().count("parsejson") == 1
+
+
 # ---------------------------------------------------------------------------
 # Crosstab, distinct counts, numbers
 # ---------------------------------------------------------------------------

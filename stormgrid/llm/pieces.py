@@ -198,6 +198,56 @@ class Numbered(dict):
         return n
 
 
+class Lookup:
+    """Numbers from 0 by 64-bit keys, looked up many at a time."""
+
+    FREE = np.iinfo(np.int64).min
+    _SPREAD = np.uint64(0x9E3779B97F4A7C15)
+
+    def __init__(self, keys=(), values=()):
+        self.n = 0
+        self._room(1 << 16)
+        self.add(np.asarray(keys, np.int64), np.asarray(values, np.int32))
+
+    def _room(self, size: int) -> None:
+        self.keys, self.values = np.full(size, self.FREE), np.zeros(size, np.int32)
+        self._shift = np.uint64(65 - size.bit_length())
+
+    def _place(self, keys: np.ndarray) -> np.ndarray:
+        return (keys.astype(np.uint64) * self._SPREAD >> self._shift).astype(np.int64)
+
+    def get(self, keys: np.ndarray) -> np.ndarray:
+        """The number of each key, -1 for those without one."""
+        at = self._place(keys)
+        held = self.keys[at]
+        same = held == keys
+        out = np.where(same, self.values[at], np.int32(-1))
+        rest = np.flatnonzero(~same & (held != self.FREE))
+        while len(rest):
+            at[rest] = here = (at[rest] + 1) & (len(self.keys) - 1)
+            held = self.keys[here]
+            same = held == keys[rest]
+            out[rest[same]] = self.values[here[same]]
+            rest = rest[~same & (held != self.FREE)]
+        return out
+
+    def add(self, keys: np.ndarray, values: np.ndarray) -> None:
+        """Different keys that have no number yet."""
+        if 2 * (self.n + len(keys)) > len(self.keys):
+            used = self.keys != self.FREE
+            keys, values = np.concatenate([self.keys[used], keys]), np.concatenate([self.values[used], values])
+            self.n = 0
+            self._room(1 << (4 * len(keys)).bit_length())
+        self.n += len(keys)
+        at = self._place(keys)
+        while len(keys):
+            free = self.keys[at] == self.FREE
+            self.keys[at[free]] = keys[free]  # of keys for one place the last stays
+            own = self.keys[at] == keys
+            self.values[at[own]] = values[own]
+            keys, values, at = keys[~own], values[~own], (at[~own] + 1) & (len(self.keys) - 1)
+
+
 class Runs:
     """Growing store of one number run per piece."""
 

@@ -13,14 +13,17 @@ merges make of their joint text.  So a chain is a path over piece ends, allowed
 
 No piece has the space mark after another character, so every space mark after one is a cut with
 a single state.  Between cuts the product of a chunk is that of its words, which are memorised.
+Words also end between characters that no chain of pieces connects, since no merge goes over them.
+New words are chained together: each step looks at one more character of all of them.
 """
 
 from __future__ import annotations
 
 import codecs
 import re
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
@@ -28,17 +31,23 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
-from stormgrid.llm.pieces import Endings, Numbered, Runs
+from stormgrid.llm.pieces import Endings, Lookup, Numbered, Runs
 from stormgrid.llm.texts import slices, strings, written
 
 MARK = "▁"
 CHUNK = 1 << 14
 BLOCK = 256
 #: Words remembered in each of two generations.
-MEMO_WORDS = 150_000
+MEMO_WORDS = 100_000
 #: Ids whose bytes are looked up at a time.
 SPAN = 1 << 18
-_WORD = re.compile(f"{MARK}+[^{MARK}]*|[^{MARK}]+")
+#: Pairs of pieces remembered.
+PAIRS = 400_000
+#: Sets of connected characters that words are told apart by; the smaller sets count as one.
+SETS = 8
+#: Words of at most so many characters are chained together, so many at a time.
+SHORT, TOGETHER = 64, 1 << 13
+NONE = -2
 NORMAL, UNKNOWN, BYTE = 1, 2, 6
 
 codecs.register_error("each_byte", lambda e: ("�" * (e.end - e.start), e.end))
@@ -80,22 +89,45 @@ class Pieces:
         self.text_of[-1] = ""
         self.others: dict[str, int] = {}
         self.first_other = len(model.pieces)
-        self.endings = Endings(self.ids)
         self._meet: dict[int, bool] = {}
+        self.met = Lookup()
         self.narrow = np.dtype("<u2" if len(self.shown) <= 1 << 16 else "<i4")
         # Words met lately, and those before them: what is met again moves to the younger ones.
         self.words, self.runs = Numbered(), Runs(np.int32)
         self.old_words, self.old_runs = Numbered(), Runs(np.int32)
 
+    # Not needed for decoding, so made at first use.
+    @cached_property
+    def endings(self) -> Endings:
+        return Endings(self.ids)
+
+    @cached_property
+    def word(self) -> re.Pattern:
+        return words_of(self.ids)
+
+    @cached_property
+    def trie(self) -> tuple[Lookup, np.ndarray]:
+        """``endings`` as arrays: nodes by the node above and a character, and their tokens."""
+        below = [(node << 21 | ord(c), to) for node, next_ in enumerate(self.endings.next) for c, to in next_.items()]
+        return Lookup(*zip(*below)), np.array(self.endings.token, np.int32)
+
+    @cached_property
+    def single(self) -> np.ndarray:
+        return np.full(0x110000, -1, np.int32)
+
     def merged(self, text: str) -> list[str]:
         """Merge the best pair, of equal ones the leftmost, one at a time; for two pieces only."""
-        parts = list(text)
-        while len(parts) > 1:
-            best = max((self.score.get(a + b, -np.inf), -i) for i, (a, b) in enumerate(zip(parts, parts[1:])))
-            if best[0] == -np.inf:
-                break
-            i = -best[1]
+        parts, none = list(text), -np.inf
+        score = self.score.get
+        found = [score(a + b, none) for a, b in zip(parts, parts[1:])]
+        while found and (best := max(found)) > none:
+            i = found.index(best)
             parts[i:i + 2] = [parts[i] + parts[i + 1]]
+            del found[i]
+            if i < len(found):
+                found[i] = score(parts[i] + parts[i + 1], none)
+            if i:
+                found[i - 1] = score(parts[i - 1] + parts[i], none)
         return parts
 
     def number(self, piece: str) -> int:
@@ -112,12 +144,29 @@ class Pieces:
         """Whether two pieces, by number, may be neighbours; -1 stands for a cut."""
         known = self._meet.get(left << 32 | right)
         if known is None:
-            if len(self._meet) > 400_000:
+            if len(self._meet) > PAIRS:
                 self._meet.clear()
-            a, b = self.text_of[left], self.text_of[right]
-            known = self._meet[left << 32 | right] = self.merged(a + b) == ([a, b] if a else [b])
+            known = self._meet[left << 32 | right] = self.judged(left, right)
         return known
 
+    def judged(self, left: int, right: int) -> bool:
+        a, b = self.text_of[left], self.text_of[right]
+        return self.merged(a + b) == ([a, b] if a else [b])
+
+    def meet_all(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        """``meets`` of many pairs."""
+        keys = left.astype(np.int64) << 32 | right
+        known = self.met.get(keys)
+        fresh = np.flatnonzero(known < 0)
+        if len(fresh):
+            new, at = np.unique(keys[fresh], return_inverse=True)
+            judged = np.fromiter((self.judged(k >> 32, k & 0xFFFFFFFF) for k in new.tolist()), np.int32, len(new))
+            known[fresh] = judged[at]
+            if self.met.n > PAIRS:
+                self.met = Lookup()
+            self.met.add(new, judged)
+        return known > 0
+
     def at(self, text: str, end: int) -> list[tuple[int, int]]:
         """(start, number) of the pieces that end there, the shortest first; any character is one."""
         found = self.endings.at(text, end)
@@ -161,6 +210,113 @@ class Pieces:
             out[text], before = chain[::-1], text
         return out
 
+    def singles(self, codes: np.ndarray) -> np.ndarray:
+        """``number`` of single characters, given as code points."""
+        found = self.single[codes]
+        if len(found) and found.min() < 0:
+            for c in np.unique(codes[found < 0]).tolist():
+                self.single[c] = self.number(chr(c))
+            found = self.single[codes]
+        return found
+
+    def ends_all(self, codes: np.ndarray, row: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """``at`` of many places: numbers and sizes of the pieces that end there, and how many."""
+        number = np.zeros((len(row), self.longest), np.int32)
+        size = np.ones((len(row), self.longest), np.int16)
+        count = np.ones(len(row), np.int64)
+        flat, last = codes.ravel(), row * codes.shape[1] + end - 1
+        number[:, 0] = self.singles(flat[last])
+        below, tokens = self.trie
+        left, node = np.arange(len(row)), np.zeros(len(row), np.int64)
+        for k in range(self.longest):
+            node = below.get(node << 21 | flat[last[left] - k]).astype(np.int64)
+            left, node = left[node >= 0], node[node >= 0]
+            if k:
+                token = tokens[node]
+                found, token = left[token >= 0], token[token >= 0]
+                number[found, count[found]], size[found, count[found]] = token, k + 1
+                count[found] += 1
+            more = end[left] > k + 1
+            left, node = left[more], node[more]
+        return number, size, count
+
+    def chain_together(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Numbers of the chains of different short words, sorted, in a row, and their sizes.
+
+        As in ``chains``, but each step goes one character further in all words; beginnings a word
+        has in common with the one before it are copied from there.
+        """
+        n = len(words)
+        sizes = np.fromiter(map(len, words), np.int64, n)
+        width = int(sizes.max())
+        codes = np.full((n, width), -1, np.int64)
+        codes[np.arange(width) < sizes[:, None]] = np.frombuffer("".join(words).encode("utf-32-le", "surrogatepass"), "<u4")
+        same = np.zeros(n, np.int64)
+        same[1:] = np.argmin(np.pad(codes[1:] == codes[:-1], ((0, 0), (0, 1))), axis=1)
+        end, row = np.nonzero((same[:, None] <= np.arange(width)).T & (np.arange(width) < sizes[:, None]).T)
+        number, size, count = self.ends_all(codes, row, end + 1)
+        bounds = np.searchsorted(end, np.arange(width + 1))
+        last, step = np.full((n, width + 1), NONE, np.int32), np.zeros((n, width + 1), np.int32)
+        last[:, 0] = -1
+        for at in range(1, width + 1):
+            here = np.arange(bounds[at - 1], bounds[at])
+            owner = np.zeros(n, np.int64)
+            owner[row[here]] = row[here]
+            which = count[here] - 1
+            while len(here):
+                piece, back = number[here, which], size[here, which]
+                left = last[row[here], at - back]
+                good = left != NONE
+                good[good] = self.meet_all(left[good], piece[good])
+                last[row[here[good]], at], step[row[here[good]], at] = piece[good], back[good]
+                rest = ~good & (which > 0)
+                here, which = here[rest], which[rest] - 1
+            owner = np.maximum.accumulate(owner)
+            last[:, at], step[:, at] = last[owner, at], step[owner, at]
+        links, row, end = [], np.arange(n), sizes
+        while len(row):
+            links.append((row, last[row, end]))
+            end = end - step[row, end]
+            row, end = row[end > 0], end[end > 0]
+        lengths = np.zeros(n, np.int64)
+        for row, _ in links:
+            lengths[row] += 1
+        ends = np.cumsum(lengths)
+        out = np.zeros(int(ends[-1]), np.int32)
+        for back, (row, piece) in enumerate(links):
+            out[ends[row] - 1 - back] = piece
+        return out, lengths
+
+    def spelled(self, numbers: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """``shown_ids`` of chains in a row, none of them empty."""
+        other = numbers >= self.first_other
+        if not other.any():
+            return numbers, lengths
+        kinds, at = np.unique(numbers[other], return_inverse=True)
+        runs = Runs(np.int32)
+        runs.add([self.shown_ids([k]) for k in kinds.tolist()])
+        values, sizes = runs.take(at)
+        times = np.ones(len(numbers), np.int64)
+        times[other] = sizes
+        out = np.repeat(numbers, times)
+        out[np.repeat(other, times)] = values
+        return out, np.add.reduceat(times, np.cumsum(lengths) - lengths)
+
+    def ids_of(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of different words in a row, and their sizes."""
+        order = sorted(range(len(words)), key=words.__getitem__)
+        short = [i for i in order if len(words[i]) <= SHORT]
+        long = [i for i in order if len(words[i]) > SHORT]
+        found = Runs(np.int32)
+        for at in range(0, len(short), TOGETHER):
+            found.add_flat(*self.spelled(*self.chain_together([words[i] for i in short[at:at + TOGETHER]])))
+        if long:
+            chains = self.chains([words[i] for i in long])
+            found.add([self.shown_ids(chains[words[i]]) for i in long])
+        place = np.zeros(len(words), np.int64)
+        place[short + long] = np.arange(len(words))
+        return found.take(place)
+
     def shown_ids(self, chain: list[int]) -> list[int]:
         """Ids of a chain; characters that are no piece become their bytes."""
         if max(chain, default=0) < self.first_other:
@@ -185,16 +341,17 @@ class Pieces:
             self.words, self.runs = Numbered(), Runs(np.int32)
         at = []
         for text in texts:
-            words = _WORD.findall(text)
-            at.append(np.fromiter(map(self.words.__getitem__, words), np.int64, len(words)))
+            words = self.word.findall(text)
+            at.append(np.fromiter(map(self.words.__getitem__, words), np.int32, len(words)))
         fresh, self.words.fresh = self.words.fresh, []
         if fresh:
-            old = self.old_words
-            chains = self.chains([w for w in fresh if w not in old])
-            again = [w for w in fresh if w in old]
-            ids, sizes = self.old_runs.take(np.fromiter((old[w] for w in again), np.int64, len(again)))
-            known = dict(zip(again, np.split(ids, np.cumsum(sizes)[:-1]))) if again else {}
-            self.runs.add([known[w] if w in known else self.shown_ids(chains[w]) for w in fresh])
+            old = np.fromiter((self.old_words.get(w, -1) for w in fresh), np.int64, len(fresh))
+            again = old >= 0
+            found = Runs(np.int32)
+            found.add_flat(*self.old_runs.take(old[again]))
+            found.add_flat(*self.ids_of([w for w, n in zip(fresh, old.tolist()) if n < 0]))
+            place = np.where(again, np.cumsum(again), again.sum() + np.cumsum(~again)) - 1
+            self.runs.add_flat(*found.take(place))
         return [self.runs.take(numbers)[0] for numbers in at]
 
     def encode(self, text: str) -> np.ndarray:
@@ -221,6 +378,22 @@ class Pieces:
         return self.decode_all([ids])[0]
 
 
+def words_of(pieces: Iterable[str]) -> re.Pattern:
+    """Words that merges stay in: space marks, then characters that pieces connect, or one that none does."""
+    set_of: dict[str, set[str]] = {}
+    for piece in pieces:
+        for a, b in zip(piece, piece[1:]):
+            if a != MARK and set_of.setdefault(a, {a}) is not set_of.setdefault(b, {b}):
+                few, many = sorted((set_of[a], set_of[b]), key=len)
+                many |= few
+                for c in few:
+                    set_of[c] = many
+    sets = sorted({id(s): s for s in set_of.values()}.values(), key=lambda s: (-len(s), min(s)))
+    sets[SETS:] = [set().union(*sets[SETS:])] if sets[SETS:] else []
+    some = [f"[{''.join(map(re.escape, sorted(s)))}]+" for s in sets]
+    return re.compile(f"{MARK}*(?:{'|'.join([*some, f'[^{MARK}]'])})|{MARK}+", re.DOTALL)
+
+
 # ---------------------------------------------------------------------------
 # Chunks
 # ---------------------------------------------------------------------------
@@ -249,6 +422,7 @@ class Chunk:
         """Whether the left end is a cut, where the one state is (0, 0)."""
         return first or (self.text[self.begin:self.begin + 1] == MARK and self.text[self.begin - 1] != MARK)
 
+    @cached_property
     def cuts(self) -> tuple[int, int] | None:
         """First and last cut inside, if there is one."""
         marks = [m.start() for m in re.finditer(f"(?<=[^{MARK}]){MARK}", self.text) if self.begin <= m.start() <= self.end]
@@ -290,7 +464,7 @@ class Chunk:
 
     def middle(self) -> str:
         """The text between the first and the last cut, whose ids do not depend on the states."""
-        cuts = self.cuts()
+        cuts = self.cuts
         return self.text[cuts[0]:cuts[1]] if cuts else ""
 
     def margins(self, pieces: Pieces) -> tuple[str, str, int, int]:
@@ -300,7 +474,7 @@ class Chunk:
         character before the last cut, and ``end`` is its place there.  Without cuts the head is
         everything and ``low`` is -1.
         """
-        cuts = self.cuts()
+        cuts = self.cuts
         if cuts is None:
             return self.text, "", -1, self.end
         return self.text[:cuts[0] + pieces.longest], self.text[cuts[1] - 1:], cuts[0], self.end - cuts[1] + 1
@@ -312,7 +486,7 @@ class Chunk:
         """
         free = self.free(first)
         lefts = [(0, 0)] if free else self.states(pieces, self.begin)
-        cuts = self.cuts()
+        cuts = self.cuts
         out: dict[tuple[State, State], int] = {}
         if cuts is None:
             for s in lefts:

@@ -6,7 +6,8 @@ import pytest
 import sentencepiece
 from pyspark.sql import functions as F
 
-from stormgrid.llm.sentence_pieces import MARK, Chunk, Pieces, decode, encode, times, _chain
+from stormgrid.llm.pieces import Lookup
+from stormgrid.llm.sentence_pieces import MARK, Chunk, Pieces, decode, encode, times, words_of, _chain
 
 PATH = public_tokenizers.path("piece_bpe_32k.model")
 LIBRARY = sentencepiece.SentencePieceProcessor(model_file=PATH)
@@ -39,6 +40,51 @@ def test_forgetting_words_changes_nothing(monkeypatch):
         assert [ids.tolist() for ids in found] == [LIBRARY.encode(t) for t in some]
 
 
+def test_new_words_are_chained_together(monkeypatch):
+    from stormgrid.llm import sentence_pieces
+
+    monkeypatch.setattr(sentence_pieces, "TOGETHER", 50)
+    monkeypatch.setattr(sentence_pieces, "PAIRS", 100)
+    texts = [*made_up(12), "ab" * 32, "ab" * 33, "x", "\U0010ffff", "e\U0010ffff\x00é", "", " " * 64, " " * 65]
+    some = Pieces(PATH)
+    looked_at = []
+    monkeypatch.setattr(some, "at", lambda text, end: looked_at.append(text) or Pieces.at(some, text, end))
+    found = some.encode_all([some.lead + t.replace(" ", MARK) if t else "" for t in texts])
+    assert [ids.tolist() for ids in found] == [LIBRARY.encode(t) for t in texts]
+    # One at a time only what is too long for a table of all.
+    assert looked_at and all(len(t) > sentence_pieces.SHORT for t in looked_at)
+
+
+def test_no_merge_goes_over_the_end_of_a_word():
+    some = Pieces(PATH)
+    some.encode(f"{MARK}thedoran.{MARK}thedoran,{MARK}thedoran\n")
+    assert set(some.words) == {f"{MARK}thedoran", ".", ",", "\n"}
+
+
+@pytest.mark.parametrize("sets", [1, 8])
+def test_words_of_pieces(monkeypatch, sets):
+    from stormgrid.llm import sentence_pieces
+
+    monkeypatch.setattr(sentence_pieces, "SETS", sets)
+    pieces = [MARK, MARK * 2, f"{MARK}ab", "bc", "]-", "^\\", "12", "x"]
+    word = words_of(pieces)
+    apart = word.findall(f"{MARK * 3}cab]-^\\21xx{MARK}{MARK}")
+    rest = ["]-", "^\\", "21"] if sets == 8 else ["]-^\\21"]
+    assert apart == [f"{MARK * 3}cab", *rest, "x", "x", MARK * 2]
+
+
+def test_lookup():
+    rng = np.random.default_rng(3)
+    keys = np.unique(np.concatenate([rng.integers(-1 << 40, 1 << 60, 90_000), np.arange(-5, 60_000) << 32]))
+    rng.shuffle(keys)
+    held = Lookup(keys[:10], range(10))
+    for at in range(10, len(keys), 40_000):
+        held.add(keys[at:at + 40_000], np.arange(at, min(len(keys), at + 40_000), dtype=np.int32))
+    assert (held.get(keys) == np.arange(len(keys))).all()
+    assert (held.get(np.setdiff1d(keys + 1, keys)) == -1).all()
+    assert len(held.get(keys[:0])) == 0
+
+
 def test_bytes_that_are_no_utf8():
     ids = [PIECES.byte_ids[b] for b in b"\xe6\xbc\xff"]
     assert PIECES.decode(np.array(ids)) == "�" * 3 == LIBRARY.decode(ids)
